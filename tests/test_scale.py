@@ -1,0 +1,186 @@
+"""Plan properties that matter once the tables no longer fit on one machine."""
+
+from __future__ import annotations
+
+import re
+from contextlib import contextmanager
+
+import pytest
+import shop
+from pyspark.sql import functions as F
+
+import submit
+from vendaval.operators import changed_since, price_lines, rollup, upsert
+from vendaval.plans import (
+    extract_all,
+    ingest_all,
+    read_master,
+    register_views,
+    reports,
+)
+from vendaval.session import shared_folder
+from vendaval.sources import FrameSource, encode_events
+from vendaval.specs import CUSTOMER_TICKET, TABLES
+
+LINES = 60_000
+
+
+@contextmanager
+def settings(spark, **values):
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def final_plan(frame):
+    frame.write.format("noop").mode("overwrite").save()
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def optimized(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def hot_shop(spark, tmp_path_factory):
+    """A third of the lines belong to one sale, and a third to one product."""
+    root = str(tmp_path_factory.mktemp("hot"))
+    number = F.col("id")
+    spark.range(LINES, numPartitions=8).select(
+        F.when(number % 3 == 1, 7).otherwise(number % 997).cast("int").alias("id_produto"),
+        F.when(number % 3 == 0, 7).otherwise(number % 5003).cast("int").alias("id_venda"),
+        (number % 8 + 1).cast("int").alias("quantidade"),
+        F.lit("9.90").cast("decimal(10,2)").alias("valor_unitario"),
+        F.lit("19.80").cast("decimal(10,2)").alias("valor_total"),
+        F.lit("0.20").cast("decimal(10,2)").alias("desconto"),
+        F.lit("2025-04-10 10:00:00").cast("timestamp").alias("criacao"),
+    ).write.parquet(f"{root}/itens_venda")
+    spark.range(5003).select(
+        F.col("id").cast("int").alias("id_venda"),
+        (F.col("id") % 10).cast("int").alias("id_vendedor"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("id_cliente"),
+        F.lit("2025-04-10").cast("date").alias("data"),
+        F.lit("19.80").cast("decimal(10,2)").alias("total"),
+        F.lit("2025-04-10 10:00:00").cast("timestamp").alias("criacao"),
+    ).write.parquet(f"{root}/vendas")
+    spark.range(997).select(
+        F.col("id").cast("int").alias("id_produto"),
+        F.concat(F.lit("produto "), "id").alias("produto"),
+        F.lit("9.90").cast("decimal(10,2)").alias("preco"),
+    ).write.parquet(f"{root}/produtos")
+    spark.range(10).select(
+        F.col("id").cast("int").alias("id_vendedor"), F.lit("Rui").alias("nome")
+    ).write.parquet(f"{root}/vendedores")
+    return {n: spark.read.parquet(f"{root}/{n}") for n in ("itens_venda", "vendas", "produtos", "vendedores")}
+
+
+@pytest.fixture
+def no_broadcast_and_small_partitions(spark):
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="40k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__shuffle__partitions="16",
+    ):
+        yield
+
+
+def test_hot_sale_and_product_are_split_in_joins(hot_shop, no_broadcast_and_small_partitions):
+    detail = reports.item_detail(
+        hot_shop["itens_venda"], hot_shop["produtos"], hot_shop["vendas"], hot_shop["vendedores"]
+    )
+    plan = final_plan(detail)
+    assert plan.count("SortMergeJoin(skew=true)") == 2
+    assert detail.count() == LINES
+    encoded = encode_events(hot_shop["vendas"], hot_shop["itens_venda"])
+    assert "SortMergeJoin(skew=true)" in final_plan(encoded)
+    assert encoded.count() == LINES
+    lines = hot_shop["itens_venda"].select("id_produto", "quantidade", F.lit(5).alias("percentual_desconto"))
+    assert "SortMergeJoin(skew=true)" in final_plan(price_lines(lines, hot_shop["produtos"]))
+
+
+def test_reports_shuffle_aggregates_not_sales(hot_shop, no_broadcast_and_small_partitions):
+    """The first exchange above each fact scan comes after a partial aggregate."""
+    report = reports.product_sales(hot_shop["itens_venda"], hot_shop["produtos"])
+    plan = optimized(report)
+    assert plan.index("partial_sum(valor_total") > plan.index("SortMergeJoin")
+    # Join and second aggregate reuse the partitioning: one exchange per side.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_rollup_is_one_shuffle_of_partial_aggregates(hot_shop):
+    plan = optimized(rollup(hot_shop["vendas"], CUSTOMER_TICKET, "total"))
+    assert plan.count("Exchange") == 1
+    assert plan.index("partial_sum") > plan.index("Exchange")
+    assert re.search(r"ReadSchema: struct<id_venda:int,id_cliente:int,total:decimal\(10,2\)>", plan)
+    # The hash is computed on finished groups, above the final aggregate.
+    assert plan.index("sha2") < plan.index("HashAggregate") < plan.index("Exchange")
+
+
+def test_no_plan_uses_a_cross_join_or_python(spark, hot_shop):
+    import __spark_entry__ as registered
+
+    for name, query in registered.queries().items():
+        if name.startswith("stream_") or name == "ingest_delta":
+            continue
+        plan = optimized(query(spark, "/root/testdata/sf0.001"))
+        for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas"):
+            assert operator not in plan, f"{name} uses {operator}"
+
+
+def test_increment_filters_reach_the_scan(hot_shop):
+    plan = optimized(changed_since(hot_shop["vendas"], "2025-04-01 00:00:00", ["criacao"]))
+    assert "GreaterThan(criacao,2025-04-01" in plan
+
+
+def test_upsert_shuffles_each_row_once(spark):
+    rows = shop.table(spark, "produtos", [shop.product(1), shop.product(2)])
+    plan = optimized(upsert(rows, rows, ["id_produto"], TABLES["produtos"].version_columns))
+    assert plan.count("Exchange") == 1
+
+
+def test_views_have_sql_names(spark, layout):
+    tables = {
+        "vendas": shop.sales(spark),
+        "produtos": shop.table(spark, "produtos", [shop.product(1)]),
+        "clientes": shop.table(spark, "clientes", [(10, None, None, None, "Ana", "SP", None, "F", "Gold", "2025-04-01 00:00:00", None)]),
+        "vendedores": shop.table(spark, "vendedores", [(1, None, None, None, None, "Rui", "2025-04-01 00:00:00", None)]),
+        "itens_venda": shop.table(spark, "itens_venda", [(1, 1, 2, "50.00", "100.00", "5.00", "2025-04-10 10:00:01")]),
+    }
+    assert all(o.error is None for o in extract_all(spark, FrameSource(tables), layout))
+    assert all(o.error is None for o in ingest_all(spark, layout))
+    names = register_views(spark, layout)
+    assert len(names) == 11
+    counts = {n: spark.table(n).count() for n in names if n.startswith("vw_")}
+    assert counts == {
+        "vw_clientes_perfil": 1,
+        "vw_faturamento_diario": 3,
+        "vw_itens_detalhados": 1,
+        "vw_ticket_medio_cliente": 1,
+        "vw_vendas_por_produto": 1,
+        "vw_vendas_por_vendedor": 1,
+    }
+    sql = "SELECT total_faturado FROM vw_faturamento_diario WHERE data = DATE '2025-04-10'"
+    assert str(spark.sql(sql).first()[0]) == "150.55"
+    assert read_master(spark, layout, TABLES["vendas"]).count() == 7
+
+
+def test_shared_folder_is_the_clusters(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_jobs_take_their_options():
+    options = submit.parse(["ingest", "--root", "/shared/shop", "--mode", "append"])
+    assert (options.job, options.root, options.mode) == ("ingest", "/shared/shop", "append")
+    with pytest.raises(SystemExit):
+        submit.parse(["speed", "--root", "/shared/shop"])

@@ -10,6 +10,7 @@ from vendaval.plans.gold_views import (
 )
 from vendaval.plans.ingest import ingest_all, ingest_table, read_master
 from vendaval.plans.layout import Layout
+from vendaval.plans.sql_views import register_views
 
 __all__ = [
     "Layout",
@@ -24,5 +25,6 @@ __all__ = [
     "read_master",
     "refresh_batch_views",
     "refresh_gold_views",
+    "register_views",
     "straddling_windows",
 ]

@@ -164,11 +164,9 @@ def purge_snapshots(
     """
     manifest = read_manifest(spark, layout)
     _, expired = manifests.split_expired(manifest, today, days)
-    doomed = [
-        row["path"]
-        for row in expired.select("table", "path").collect()
-        if _ingested(spark, layout, row["table"], row["path"])
-    ]
+    rows = expired.select("table", "path").collect()  # metadata: a row per old snapshot
+    ingested = {t: last_commit(spark, layout.master(t)) or "" for t in {r["table"] for r in rows}}
+    doomed = [r["path"] for r in rows if r["path"].rsplit("/", 1)[-1] <= ingested[r["table"]]]
     if not doomed:
         return []
     kept = manifest.where(~F.col("path").isin(doomed))
@@ -184,10 +182,5 @@ def snapshot_name(watermark: str) -> str:
     return parsed.strftime("%Y%m%dT%H%M%S%f")
 
 
-def _ingested(spark: SparkSession, layout: Layout, table: str, path: str) -> bool:
-    newest = last_commit(spark, layout.master(table))
-    return newest is not None and path.rsplit("/", 1)[-1] <= newest
-
-
 def _text(moment: datetime) -> str:
     return moment.strftime("%Y-%m-%d %H:%M:%S.%f")

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-
-def session(app_name: str = "vendaval", **settings: str) -> SparkSession:
-    """Session with a fixed time zone and adaptive execution; the master is left to the cluster."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
-    for name, value in settings.items():
+DEFAULTS = {
+    # Watermarks travel as text between runs, so every session must read them alike.
+    "spark.sql.session.timeZone": "UTC",
+    # Runtime broadcast decisions, partition sizes and skew splits.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Window state outside the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
+def session(app_name: str = "vendaval", settings: Mapping[str, str] | None = None) -> SparkSession:
+    """A session with the defaults above; master and resources are left to the cluster."""
+    builder = SparkSession.builder.appName(app_name)
+    for name, value in (DEFAULTS | dict(settings or {})).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
