@@ -300,14 +300,12 @@ def _retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingest_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two extraction runs write snapshots and manifest; then the pending ones are read."""
     spec = TABLES["vendas"]
-    sales = TpchShop(spark, sf_dir).sales.withColumn("id_vendedor", F.lit(None))
-    typed = sales.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
-    source = FrameSource({spec.name: typed})
+    source = FrameSource(TpchShop(spark, sf_dir).operational_tables())
     layout = Layout(f"{shared_folder(spark)}/extract_{run_name()}")
     for until in (SINCE, None):
         extract_table(spark, source, spec, layout, until=until, base="1900-01-01 00:00:00")
     paths = [row["path"] for row in pending_snapshots(spark, layout, spec).collect()]
-    return _plain(read_snapshots(spark, spec.schema, paths).drop("id_vendedor"))
+    return _plain(read_snapshots(spark, spec.schema, paths))
 
 
 def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -741,8 +739,9 @@ def oracle_sql() -> dict[str, str]:
         "retention_expired": f"SELECT * FROM ({_MANIFEST}) WHERE {moment} <= {limit}",
         "ingest_delta": f"""
             SELECT CAST(id_venda AS INTEGER) AS id_venda,
+                   CAST(id_vendedor AS INTEGER) AS id_vendedor,
                    CAST(id_cliente AS INTEGER) AS id_cliente, data, total, criacao
-            FROM ({_SALES})""",
+            FROM ({_SALES}) LEFT JOIN {_SELLER} ON k = id_venda""",
         "ingest_upsert": _upsert_sql(),
         "ingest_upsert_small_delta": _upsert_sql(),
         "event_decode": """

@@ -176,13 +176,16 @@ def test_mutable_master_keeps_two_states(spark, layout):
     assert shop.rows_of(read_master(spark, layout, PRODUTOS), "preco") == [("4.00",)]
 
 
-def test_append_only_master_is_split_by_day(spark, layout):
-    extract_table(spark, source(spark, shop.GOLDEN_SALES), VENDAS, layout)
+def test_append_only_master_is_split_by_month(spark, layout):
+    older = (8, 1, 1, "2025-03-05", "1.00", "2025-03-05 10:00:00")
+    extract_table(spark, source(spark, [older, *shop.GOLDEN_SALES]), VENDAS, layout)
     path = ingest_table(spark, layout, VENDAS).path
-    days = [n for n in list_names(spark, path) if n.startswith("dia=")]
-    assert days == ["dia=2025-04-10", "dia=2025-04-11", "dia=2025-04-12"]
-    recent = read_master(spark, layout, VENDAS, from_day="2025-04-12")
-    assert "PartitionFilters: [isnotnull(dia" in recent._jdf.queryExecution().toString()
+    months = [n for n in list_names(spark, path) if n.startswith("mes=")]
+    assert months == ["mes=2025-03", "mes=2025-04"]
+    recent = read_master(spark, layout, VENDAS, since="2025-04-12 00:00:00")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(mes" in plan
+    assert "GreaterThanOrEqual(criacao,2025-04-12" in plan
     assert shop.rows_of(recent, "id_venda") == [("7",)]
 
 

@@ -7,9 +7,9 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from vendaval.operators.rollup import rollup
-from vendaval.plans.extract import Outcome
 from vendaval.plans.ingest import read_master
 from vendaval.plans.layout import Layout
+from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.versioned import last_commit, publish, read_current
 from vendaval.specs import TABLES, VIEWS, ViewSpec
 
@@ -26,23 +26,17 @@ def read_batch_view(spark: SparkSession, layout: Layout, view: ViewSpec) -> Data
 
 
 def refresh_batch_views(
-    spark: SparkSession, layout: Layout, *, salt: str | None = None
+    spark: SparkSession, layout: Layout, *, salt: str | None = None, workers: int = 3
 ) -> list[Outcome]:
-    """Recompute and publish the batch views, each stored in the order of its key.
-
-    A view that fails is reported and does not stop the others.
-    """
+    """Recompute and publish the batch views, each stored in the order of its key."""
     if last_commit(spark, layout.master("vendas")) is None:
         log.info("no sales master yet, batch views left as they are")
         return []
     sales = read_master(spark, layout, TABLES["vendas"])
-    outcomes = []
-    for view in VIEWS.values():
-        try:
-            rows = batch_view(sales, view, salt).orderBy(view.key)
-            path = publish(rows, layout.batch_view(view.name))
-            outcomes.append(Outcome(view.name, path=path))
-        except Exception as error:
-            log.exception("%s: batch view failed", view.name)
-            outcomes.append(Outcome(view.name, error=error))
-    return outcomes
+
+    def refresh(name: str) -> Outcome:
+        view = VIEWS[name]
+        rows = batch_view(sales, view, salt).orderBy(view.key)
+        return Outcome(name, path=publish(rows, layout.batch_view(name)))
+
+    return run_each(refresh, VIEWS, workers=workers)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
-from dataclasses import dataclass
 from datetime import datetime, timedelta
 from typing import Protocol
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vendaval.operators import manifest as manifests
 from vendaval.plans.layout import Layout
+from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.files import delete_path
 from vendaval.sources.versioned import (
     append_rows,
@@ -50,17 +50,6 @@ class Source(Protocol):
     ) -> DataFrame: ...
 
 
-@dataclass(frozen=True)
-class Outcome:
-    """What a job did to one table or view."""
-
-    name: str
-    rows: int = 0
-    watermark: str | None = None
-    path: str | None = None
-    error: Exception | None = None
-
-
 def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_current(spark, layout.manifest, MANIFEST_SCHEMA)
 
@@ -108,7 +97,7 @@ def extract_table(
     )
     if profile["qtd_linhas"] == 0:
         log.info("%s: nothing newer than %s", spec.name, since)
-        return Outcome(spec.name, watermark=since)
+        return Outcome(spec.name, 0, since)
 
     newest = max(profile["watermark"], last)
     delta = source.delta(
@@ -130,24 +119,18 @@ def extract_all(
     tables: Iterable[str] = tuple(TABLES),
     **options,
 ) -> list[Outcome]:
-    """Extract every table. A table that fails is reported and does not stop the others."""
-    outcomes = []
-    for table in tables:
-        try:
-            outcomes.append(extract_table(spark, source, TABLES[table], layout, **options))
-        except Exception as error:
-            log.exception("%s: extraction failed", table)
-            outcomes.append(Outcome(table, error=error))
-    return outcomes
+    """Extract every table, one after another: they share the source's connection limit."""
+    return run_each(
+        lambda table: extract_table(spark, source, TABLES[table], layout, **options), tables
+    )
 
 
 def record_snapshot(
     spark: SparkSession, layout: Layout, table: str, watermark: str, path: str, since: str
 ) -> None:
-    texts = "table string, date string, path string, since string"
-    entry = spark.createDataFrame([(table, watermark, path, since)], texts)
-    typed = entry.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA])
-    append_rows(typed.coalesce(1), layout.manifest)
+    values = {"table": table, "date": watermark, "path": path, "since": since}
+    columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA]
+    append_rows(spark.range(1, numPartitions=1).select(*columns), layout.manifest)
 
 
 def purge_snapshots(

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from vendaval.functions import mean_money
 from vendaval.operators.rollup import rollup
 from vendaval.plans.batch_views import read_batch_view
-from vendaval.plans.extract import Outcome
 from vendaval.plans.layout import Layout
+from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.files import read_or_empty
 from vendaval.sources.versioned import last_commit, publish
 from vendaval.specs import EMPTY_BATCH_CUTOFF, VIEWS, ViewSpec
@@ -103,13 +103,12 @@ def refresh_gold_view(
     return Outcome(view.name, path=publish(rows.orderBy(view.key), layout.gold_view(view.name)))
 
 
-def refresh_gold_views(spark: SparkSession, layout: Layout, **options) -> list[Outcome]:
+def refresh_gold_views(
+    spark: SparkSession, layout: Layout, *, workers: int = 3, **options
+) -> list[Outcome]:
     """Publish every gold view once. Repetition belongs to the caller or to the stream."""
-    outcomes = []
-    for view in VIEWS.values():
-        try:
-            outcomes.append(refresh_gold_view(spark, layout, view, **options))
-        except Exception as error:
-            log.exception("%s: gold view failed", view.name)
-            outcomes.append(Outcome(view.name, error=error))
-    return outcomes
+    return run_each(
+        lambda name: refresh_gold_view(spark, layout, VIEWS[name], **options),
+        VIEWS,
+        workers=workers,
+    )

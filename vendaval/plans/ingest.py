@@ -16,8 +16,9 @@ from vendaval.operators.upsert import (
     upsert,
     upsert_small_delta,
 )
-from vendaval.plans.extract import Outcome, read_manifest
+from vendaval.plans.extract import read_manifest
 from vendaval.plans.layout import Layout
+from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.files import read_snapshots
 from vendaval.sources.versioned import (
     extend,
@@ -31,28 +32,36 @@ from vendaval.specs import TABLES, TableSpec
 log = logging.getLogger(__name__)
 
 MODES = ("upsert", "append", "replace")
-DAY = "dia"
-"""Partition of append-only masters: the day a row was created."""
+MONTH = "mes"
+"""Partition of append-only masters: the month a row was created, as yyyy-MM."""
 
 SMALL_DELTA_ROWS = 1_000_000
 """Up to this many delta rows, an upsert leaves the untouched master rows out of the shuffle."""
 
 
 def read_master(
-    spark: SparkSession, layout: Layout, spec: TableSpec, *, from_day: str | None = None
+    spark: SparkSession, layout: Layout, spec: TableSpec, *, since: str | None = None
 ) -> DataFrame:
-    """Master dataset of a table; ``from_day`` skips older days of an append-only one."""
+    """Master dataset of a table.
+
+    ``since`` keeps the rows created at or after a moment. Of an append-only master, older
+    months are then not read at all, and within a month files are skipped by their range.
+    """
+    root = layout.master(spec.name)
     if spec.mutable:
-        return read_current(spark, layout.master(spec.name), spec.schema)
-    with_day = T.StructType([*spec.schema.fields, T.StructField(DAY, T.DateType())])
-    rows = read_current(
-        spark, layout.master(spec.name), with_day, partition=DAY, from_partition=from_day
-    )
+        rows = read_current(spark, root, spec.schema)
+    else:
+        with_month = T.StructType([*spec.schema.fields, T.StructField(MONTH, T.StringType())])
+        rows = read_current(spark, root, with_month)
+    if since is not None:
+        if not spec.mutable:
+            rows = rows.where(F.col(MONTH) >= F.lit(since[:7]))
+        rows = rows.where(F.col("criacao") >= F.lit(since))
     return rows.select(*spec.schema.fieldNames())
 
 
 def pending_snapshots(spark: SparkSession, layout: Layout, spec: TableSpec) -> DataFrame:
-    """Manifest entries the master does not hold yet, oldest first.
+    """Manifest entries the master does not hold yet; their names sort oldest first.
 
     A commit of the master is named after the newest snapshot in it, so this compares names
     and never reads the master.
@@ -65,10 +74,10 @@ def pending_snapshots(spark: SparkSession, layout: Layout, spec: TableSpec) -> D
     return entries.select(
         F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date"),
         F.date_format("since", "yyyyMMdd'T'HHmmssSSSSSS").alias("since"),
-        F.date_format("since", "yyyy-MM-dd").alias("since_day"),
+        F.date_format("since", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since_text"),
         "path",
         name.alias("name"),
-    ).orderBy("name")
+    )
 
 
 def ingest_table(
@@ -84,9 +93,10 @@ def ingest_table(
     mode = mode or ("upsert" if spec.mutable else "append")
     if mode not in MODES:
         raise ValueError(f"unknown ingest mode {mode!r}")
-    entries = pending_snapshots(spark, layout, spec).collect()  # metadata: a row per snapshot
+    # Metadata only: a row per snapshot.
+    entries = sorted(pending_snapshots(spark, layout, spec).collect(), key=lambda e: e["name"])
     if not entries:
-        return Outcome(spec.name)
+        return Outcome(spec.name, 0)
     delta = read_snapshots(spark, spec.schema, [e["path"] for e in entries])
     name = entries[-1]["name"]
     root = layout.master(spec.name)
@@ -95,19 +105,19 @@ def ingest_table(
         overlap = _first_overlap(spark, layout, spec, entries)
         if overlap:
             delta = newest_per_key(delta, spec.key, spec.version_columns)
-            stored = read_master(spark, layout, spec, from_day=overlap)
+            stored = read_master(spark, layout, spec, since=overlap)
             delta = append_missing(stored, delta, spec.key)
         written, rows = _ready_to_write(delta, spec)
-        path = extend(rows, root, name, partition_by=_day_of(spec))
+        path = extend(rows, root, name, partition_by=_month_of(spec))
     elif mode == "upsert":
         merge = upsert_small_delta if delta.count() <= SMALL_DELTA_ROWS else upsert
         master = read_master(spark, layout, spec)
         merged = merge(master, delta, spec.key, spec.version_columns)
         written, rows = _ready_to_write(merged, spec)
-        path = publish(rows, root, name, partition_by=_day_of(spec))
+        path = publish(rows, root, name, partition_by=_month_of(spec))
     else:
         written, rows = _ready_to_write(delta, spec)
-        path = publish(rows, root, name, keep=1, partition_by=_day_of(spec))
+        path = publish(rows, root, name, keep=1, partition_by=_month_of(spec))
 
     log.info("%s: %s rows written by %s", spec.name, written.get["rows"], mode)
     return Outcome(spec.name, written.get["rows"], entries[-1]["date"], path)
@@ -118,46 +128,45 @@ def ingest_all(
     layout: Layout,
     tables: Iterable[str] = tuple(TABLES),
     mode: str | None = None,
+    *,
+    workers: int = 3,
 ) -> list[Outcome]:
-    """Ingest every table. A table that fails is reported and does not stop the others."""
-    outcomes = []
-    for table in tables:
-        try:
-            outcomes.append(ingest_table(spark, layout, TABLES[table], mode))
-        except Exception as error:
-            log.exception("%s: ingestion failed", table)
-            outcomes.append(Outcome(table, error=error))
-    return outcomes
+    """Ingest every table, several at a time."""
+    return run_each(
+        lambda table: ingest_table(spark, layout, TABLES[table], mode), tables, workers=workers
+    )
 
 
 def _ready_to_write(rows: DataFrame, spec: TableSpec) -> tuple[Observation, DataFrame]:
-    """Rows grouped by day where the master is, and their count as a by-product of the write.
+    """Rows laid out as the master is, and their count as a by-product of the write.
 
-    The hint makes each day a few well-sized files, and lets Spark split a day that is much
-    larger than the others.
+    The hint makes each month a few well-sized files, and lets Spark split a month that is
+    much larger than the others. Rows are in time order within a file.
     """
     if not spec.mutable:
-        rows = rows.withColumn(DAY, F.to_date("criacao")).hint("rebalance", DAY)
+        month = F.date_format("criacao", "yyyy-MM")
+        rows = rows.withColumn(MONTH, month).hint("rebalance", MONTH)
+        rows = rows.sortWithinPartitions(MONTH, "criacao")
     written = Observation()
     return written, rows.observe(written, F.count(F.lit(1)).alias("rows"))
 
 
-def _day_of(spec: TableSpec) -> str | None:
-    return None if spec.mutable else DAY
+def _month_of(spec: TableSpec) -> str | None:
+    return None if spec.mutable else MONTH
 
 
 def _first_overlap(
     spark: SparkSession, layout: Layout, spec: TableSpec, entries: Sequence[Row]
 ) -> str | None:
-    """Day from which the new snapshots may repeat stored rows or each other."""
+    """Moment from which the new snapshots may repeat stored rows or each other."""
     done = last_commit(spark, layout.master(spec.name))
     reached = _watermark_of(done) if done else None
-    days = []
+    moments = []
     for entry in entries:
         if reached is not None and entry["since"] < reached:
-            days.append(entry["since_day"])
+            moments.append(entry["since_text"])
         reached = max(reached or "", _watermark_of(entry["name"]))
-    return min(days) if days else None
+    return min(moments) if moments else None
 
 
 def _watermark_of(name: str) -> str:

@@ -4,28 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-
-
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """No rows, in a form the optimizer recognises, so joins with it vanish from the plan."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).where(F.lit(False)).select(*columns)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet at ``path``, or an empty frame of that schema when nothing is there yet.
 
-    Any other failure is raised.
+    Data that is there but cannot be read is an error.
     """
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in _ABSENT:
-            return empty(spark, schema)
-        raise
+    if not path_exists(spark, path):
+        return empty(spark, schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_snapshots(

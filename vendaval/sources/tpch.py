@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendaval.functions import money
+from vendaval.specs import TABLES, TableSpec
 
 
 @dataclass(frozen=True)
@@ -111,12 +112,36 @@ class TpchShop:
         first = self.sales.groupBy("id_cliente").agg(F.min("criacao").alias("criacao"))
         return self.customers.join(first, "id_cliente", "left")
 
+    def operational_tables(self, created: str = "1995-01-01 00:00:00") -> dict[str, DataFrame]:
+        """The five tables with exactly the shop's columns; the missing ones are null.
+
+        Dimensions have no creation time here, so all get ``created``.
+        """
+        new = F.lit(created)
+        frames = {
+            "vendas": self.sales_with_seller,
+            "itens_venda": self.lines,
+            "produtos": self.products.withColumn("criacao", new),
+            "clientes": self.customers.withColumn("criacao", new),
+            "vendedores": self.sellers.withColumn("criacao", new),
+        }
+        return {name: _typed(rows, TABLES[name]) for name, rows in frames.items()}
+
     @property
     def events(self) -> DataFrame:
         """Sale events; the event type stands in for the seller."""
         return event_columns(self.table("events"))
 
 
+def _typed(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    present = set(rows.columns)
+    columns = [
+        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in spec.schema
+    ]
+    return rows.select(*columns)
+
+
 def event_columns(events: DataFrame) -> DataFrame:
     """Sale-event columns of an ``events`` table, stored or streaming."""
     return events.select(

@@ -12,7 +12,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vendaval.sources.files import delete_path, empty, list_names, path_exists
@@ -47,27 +46,14 @@ def last_commit(spark: SparkSession, root: str) -> str | None:
     return commits(spark, root, known[-1])[-1] if known else None
 
 
-def read_current(
-    spark: SparkSession,
-    root: str,
-    schema: T.StructType,
-    *,
-    partition: str | None = None,
-    from_partition: str | None = None,
-) -> DataFrame:
-    """The dataset as last published; empty when nothing was.
-
-    ``from_partition`` keeps the partitions at or after a value, so the other
-    directories are not read.
-    """
+def read_current(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The dataset as last published; empty when nothing was."""
     known = bases(spark, root)
     if not known:
         return empty(spark, schema)
     directory = f"{root}/{_BASE}{known[-1]}"
     paths = [f"{directory}/{_COMMIT}{c}" for c in commits(spark, root, known[-1])]
     rows = spark.read.schema(schema).option("basePath", directory).parquet(*paths)
-    if partition and from_partition is not None:
-        rows = rows.where(F.col(partition) >= F.lit(from_partition))
     return rows.select(*schema.fieldNames())
 
 
