@@ -7,20 +7,26 @@ cents, so both sides round the same exact value. Timestamps leave as zone-less t
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from vendaval.functions import in_any_range, row_version
 from vendaval.operators import (
+    append_missing,
     changed_since,
     delta_profile,
     duplicate_keys,
     highest_id,
     insert_if_absent,
+    orphans,
     price_lines,
     rollup,
     split_valid,
@@ -34,7 +40,7 @@ from vendaval.plans import reports
 from vendaval.plans.checks import referential_report
 from vendaval.plans.extract import extract_table
 from vendaval.plans.gold_views import exact_gold_view, gold_view, straddling_windows
-from vendaval.plans.ingest import pending_snapshots
+from vendaval.plans.ingest import ingest_table, pending_snapshots, read_master
 from vendaval.plans.layout import Layout
 from vendaval.session import shared_folder
 from vendaval.sources.events import decode_events, encode_events
@@ -246,9 +252,9 @@ def _delta_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _watermark_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = TpchShop(spark, sf_dir)
     marks = {
-        "vendas": watermark(shop.sales, ["criacao"]),
-        "itens_venda": watermark(shop.lines, ["criacao"]),
-        "versoes": watermark(shop.sale_versions, VERSION),
+        "vendas": watermark(shop.sales),
+        "itens_venda": watermark(shop.lines),
+        "versoes": watermark(shop.sale_versions),
     }
     named = [rows.select(F.lit(name).alias("tabela"), "watermark") for name, rows in marks.items()]
     return reduce(DataFrame.unionByName, named)
@@ -308,6 +314,32 @@ def _ingest_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(read_snapshots(spark, spec.schema, paths))
 
 
+def _ingest_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction and ingestion in turn, each time reading a day of old rows again."""
+    spec = TABLES["vendas"]
+    source = FrameSource(TpchShop(spark, sf_dir).operational_tables())
+    layout = Layout(f"{shared_folder(spark)}/ingest_{run_name()}")
+    for until in (SINCE, None):
+        extract_table(
+            spark,
+            source,
+            spec,
+            layout,
+            until=until,
+            base="1900-01-01 00:00:00",
+            overlap_seconds=86_400,
+        )
+        ingest_table(spark, layout, spec)
+    return _plain(read_master(spark, layout, spec))
+
+
+def _ingest_append_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines shipped up to a moment are stored; the delta holds every line again."""
+    lines = TpchShop(spark, sf_dir).lines
+    stored = lines.where(F.col("criacao") <= F.lit(SINCE))
+    return _plain(append_missing(stored, lines, TABLES["itens_venda"].key))
+
+
 def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Sales as the master; every later shipment of a sale is a changed version of it."""
     shop = TpchShop(spark, sf_dir)
@@ -388,6 +420,12 @@ def _dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dq_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without any line."""
+    shop = TpchShop(spark, sf_dir)
+    return _plain(orphans(shop.sales, shop.lines, "id_venda"))
+
+
 def _dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(TpchShop(spark, sf_dir).lines, TABLES["itens_venda"].key)
 
@@ -429,6 +467,8 @@ def queries() -> dict[str, Query]:
         "retention_keep": _retention_keep,
         "retention_expired": _retention_expired,
         "ingest_delta": _ingest_delta,
+        "ingest_master": _ingest_master,
+        "ingest_append_missing": _ingest_append_missing,
         "ingest_upsert": _ingest_upsert(upsert),
         "ingest_upsert_small_delta": _ingest_upsert(upsert_small_delta),
         "event_decode": _event_decode,
@@ -438,6 +478,7 @@ def queries() -> dict[str, Query]:
         "dq_quarantine": _dq_quarantine,
         "insert_if_absent": _insert_if_absent,
         "dq_orphans": _dq_orphans,
+        "dq_orphan_rows": _dq_orphan_rows,
         "dq_duplicate_keys": _dq_duplicate_keys,
     }
 
@@ -594,6 +635,11 @@ _DISCOUNT_CENTS = f"(({_TOTAL_CENTS} * {_PERCENT} + 50) // 100)"
 
 _SELLER = "(SELECT l_orderkey AS k, min(l_suppkey) AS id_vendedor FROM lineitem GROUP BY 1)"
 
+_STORED_SALES = f"""
+    SELECT CAST(id_venda AS INTEGER) AS id_venda, CAST(id_vendedor AS INTEGER) AS id_vendedor,
+           CAST(id_cliente AS INTEGER) AS id_cliente, data, total, criacao
+    FROM ({_SALES}) LEFT JOIN {_SELLER} ON k = id_venda"""
+
 _CUSTOMERS = """
     SELECT c_custkey AS id_cliente, c_name AS cliente, n_name AS estado,
            substr(c_mktsegment, 1, 1) AS sexo, r_name AS origem_racial, c_mktsegment AS status,
@@ -737,11 +783,18 @@ def oracle_sql() -> dict[str, str]:
             WHERE "table" = 'vendas' AND {moment} > TIMESTAMP '{SINCE}'""",
         "retention_keep": f"SELECT * FROM ({_MANIFEST}) WHERE {moment} > {limit}",
         "retention_expired": f"SELECT * FROM ({_MANIFEST}) WHERE {moment} <= {limit}",
-        "ingest_delta": f"""
-            SELECT CAST(id_venda AS INTEGER) AS id_venda,
-                   CAST(id_vendedor AS INTEGER) AS id_vendedor,
-                   CAST(id_cliente AS INTEGER) AS id_cliente, data, total, criacao
-            FROM ({_SALES}) LEFT JOIN {_SELLER} ON k = id_venda""",
+        "ingest_delta": _STORED_SALES,
+        "ingest_master": _STORED_SALES,
+        "ingest_append_missing": f"""
+            SELECT l_orderkey AS id_venda, l_partkey AS id_produto, l_suppkey AS id_vendedor,
+                   CAST(l_quantity AS INTEGER) AS quantidade,
+                   {_money(_UNIT_CENTS)} AS valor_unitario, l_extendedprice AS valor_total,
+                   CAST({_PERCENT} AS INTEGER) AS percentual_desconto,
+                   {_money(_DISCOUNT_CENTS)} AS desconto, l_shipdate AS criacao
+            FROM lineitem l WHERE NOT EXISTS (
+                SELECT 1 FROM lineitem s
+                WHERE s.l_orderkey = l.l_orderkey AND s.l_partkey = l.l_partkey
+                  AND s.l_shipdate <= TIMESTAMP '{SINCE}')""",
         "ingest_upsert": _upsert_sql(),
         "ingest_upsert_small_delta": _upsert_sql(),
         "event_decode": """
@@ -782,6 +835,9 @@ def oracle_sql() -> dict[str, str]:
             WHERE position = 1 AND NOT EXISTS (
                 SELECT 1 FROM parts s WHERE s.p_brand = 'Brand#1' AND s.produto = a.produto)""",
         "dq_orphans": _orphans_sql(),
+        "dq_orphan_rows": f"""
+            SELECT * FROM ({_SALES}) WHERE NOT EXISTS (
+                SELECT 1 FROM lineitem WHERE l_orderkey = id_venda)""",
         "dq_duplicate_keys": """
             SELECT l_partkey AS id_produto, l_orderkey AS id_venda, count(*) AS linhas
             FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",

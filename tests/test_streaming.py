@@ -110,14 +110,16 @@ def test_malformed_and_old_events_are_left_out(spark, layout, tmp_path):
         event(6, 3, id_venda=None),
         event(7, 4, id_venda="seven"),
         event(8, 5, valor_total="cheap"),
+        event(11, 5, valor_total=1e15),
+        event(12, 5, valor_total=float("nan")),
         event(9, 6),
         event(9, 6),
-        event(10, 60),
+        event(20, 60),
     ]
     deliver(inbox, "a", records)
     run(spark, inbox, layout, cutoff=4)
     row = read_speed_view(spark, layout, DAILY_REVENUE).first()
-    assert (row["menor_id"], row["maior_id"], row["qtd_vendas"]) == (5, 9, 4)
+    assert (row["menor_id"], row["maior_id"], row["qtd_vendas"]) == (5, 12, 6)
     assert str(row["total_faturado"]) == "53.75" and str(row["ticket_medio"]) == "17.92"
 
 

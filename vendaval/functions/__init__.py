@@ -3,6 +3,7 @@
 from vendaval.functions.columns import (
     MONEY,
     TOTAL,
+    event_money,
     in_any_range,
     mean,
     mean_money,
@@ -14,6 +15,7 @@ from vendaval.functions.columns import (
 __all__ = [
     "MONEY",
     "TOTAL",
+    "event_money",
     "in_any_range",
     "mean",
     "mean_money",

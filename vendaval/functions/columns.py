@@ -23,6 +23,14 @@ def money(amount: str | Column) -> Column:
     return _column(amount).cast(MONEY)
 
 
+def event_money(amount: str | Column) -> Column:
+    """Like :func:`money` for amounts from outside: one that is no such amount is null.
+
+    A stream must not end on a single absurd record.
+    """
+    return _column(amount).try_cast(MONEY)
+
+
 def mean(total: str | Column, count: str | Column) -> Column:
     """``avg(x)`` of amounts from their sum and count, so only one sum is kept per group.
 

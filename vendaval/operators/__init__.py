@@ -1,6 +1,11 @@
 """Operators: functions from DataFrames to DataFrames, without side effects."""
 
-from vendaval.operators.increments import changed_since, delta_profile, watermark
+from vendaval.operators.increments import (
+    changed_since,
+    delta_profile,
+    version_columns_of,
+    watermark,
+)
 from vendaval.operators.pricing import price_lines
 from vendaval.operators.quality import (
     duplicate_keys,
@@ -36,6 +41,7 @@ __all__ = [
     "split_valid",
     "upsert",
     "upsert_small_delta",
+    "version_columns_of",
     "view_since",
     "watermark",
 ]

@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 
 from vendaval.functions import row_version
 
+VERSION_COLUMNS = ("criacao", "atualizacao")
+
+
+def version_columns_of(rows: DataFrame) -> list[str]:
+    """The version columns a table has, always in the same order."""
+    return [c for c in VERSION_COLUMNS if c in rows.columns]
+
 
 def changed_since(
     rows: DataFrame,
@@ -53,6 +60,7 @@ def delta_profile(
     ).select(limit.alias("max_conn"), "low_bound", "upper_bound", "qtd_linhas", "watermark")
 
 
-def watermark(rows: DataFrame, version_columns: Sequence[str]) -> DataFrame:
+def watermark(rows: DataFrame, version_columns: Sequence[str] | None = None) -> DataFrame:
     """One row with the newest version timestamp of the table."""
-    return rows.agg(F.max(row_version(version_columns)).alias("watermark"))
+    columns = version_columns or version_columns_of(rows)
+    return rows.agg(F.max(row_version(columns)).alias("watermark"))

@@ -39,4 +39,4 @@ def refresh_batch_views(
         rows = batch_view(sales, view, salt).orderBy(view.key)
         return Outcome(name, path=publish(rows, layout.batch_view(name)))
 
-    return run_each(refresh, VIEWS, workers=workers)
+    return run_each(spark, refresh, VIEWS, workers=workers)

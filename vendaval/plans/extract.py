@@ -121,7 +121,9 @@ def extract_all(
 ) -> list[Outcome]:
     """Extract every table, one after another: they share the source's connection limit."""
     return run_each(
-        lambda table: extract_table(spark, source, TABLES[table], layout, **options), tables
+        spark,
+        lambda table: extract_table(spark, source, TABLES[table], layout, **options),
+        tables,
     )
 
 

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaval.functions import mean_money
+from vendaval.functions import event_money, mean_money
 from vendaval.operators.rollup import rollup
 from vendaval.plans.batch_views import read_batch_view
 from vendaval.plans.layout import Layout
@@ -61,6 +61,7 @@ def exact_gold_view(
     kept, and the mean is total over count. ``recent_sales`` may hold older sales as well.
     """
     newer = recent_sales.where(F.col(id_column) > batch_cutoff(batch))
+    newer = newer.withColumn(amount, event_money(amount))
     columns = [view.key, "qtd_vendas", view.total]
     recent = rollup(newer, view, amount, id_column=id_column, salt=salt)
     return (
@@ -108,6 +109,7 @@ def refresh_gold_views(
 ) -> list[Outcome]:
     """Publish every gold view once. Repetition belongs to the caller or to the stream."""
     return run_each(
+        spark,
         lambda name: refresh_gold_view(spark, layout, VIEWS[name], **options),
         VIEWS,
         workers=workers,

@@ -133,7 +133,10 @@ def ingest_all(
 ) -> list[Outcome]:
     """Ingest every table, several at a time."""
     return run_each(
-        lambda table: ingest_table(spark, layout, TABLES[table], mode), tables, workers=workers
+        spark,
+        lambda table: ingest_table(spark, layout, TABLES[table], mode),
+        tables,
+        workers=workers,
     )
 
 

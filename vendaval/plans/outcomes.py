@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -22,7 +23,11 @@ class Outcome:
 
 
 def run_each(
-    job: Callable[[str], Outcome], names: Iterable[str], *, workers: int = 1
+    spark: SparkSession,
+    job: Callable[[str], Outcome],
+    names: Iterable[str],
+    *,
+    workers: int = 1,
 ) -> list[Outcome]:
     """One outcome per name, in order. A failure is reported and does not stop the others.
 
@@ -38,4 +43,4 @@ def run_each(
             return Outcome(name, error=error)
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        return list(pool.map(inheritable_thread_target(attempt), names))
+        return list(pool.map(inheritable_thread_target(spark)(attempt), names))

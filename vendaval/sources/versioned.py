@@ -70,8 +70,10 @@ def publish(
     name = name or run_name()
     path = f"{root}/{_BASE}{name}/{_COMMIT}{name}"
     _write(rows, path, partition_by)
-    for old in bases(spark, root)[:-keep]:
-        delete_path(spark, f"{root}/{_BASE}{old}")
+    oldest_kept = bases(spark, root)[-keep:][0]
+    for directory in list_names(spark, root):
+        if _BASE <= directory < f"{_BASE}{oldest_kept}":
+            delete_path(spark, f"{root}/{directory}")
     return path
 
 

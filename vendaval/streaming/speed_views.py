@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vendaval.functions import event_money
 from vendaval.operators.rollup import highest_id, rollup
 from vendaval.plans.batch_views import read_batch_view
 from vendaval.plans.layout import Layout
@@ -47,12 +48,13 @@ def speed_view(
     """One speed view, over a stream or over stored events.
 
     The watermark only acts on streams: a window is emitted once the watermark has passed
-    its end, and events behind the watermark are dropped.
+    its end, and events behind the watermark are dropped. An event whose amount cannot be
+    an amount still counts as a sale.
     """
     if events.isStreaming:
         events = events.withWatermark(time_column, delay)
     return rollup(
-        events,
+        events.withColumn(amount, event_money(amount)),
         view,
         amount,
         id_column=id_column,
