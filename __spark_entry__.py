@@ -242,7 +242,8 @@ VERSION = ["criacao", "atualizacao"]
 
 def _delta_mutable(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = changed_since(TpchShop(spark, sf_dir).sale_versions, SINCE, VERSION)
-    return _plain(changed.select("id_venda", "total", "criacao", row_version(VERSION).alias("versao")))
+    version = row_version(VERSION).alias("versao")
+    return _plain(changed.select("id_venda", "total", "criacao", version))
 
 
 def _delta_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

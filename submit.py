@@ -22,6 +22,7 @@ from vendaval.plans import (
 )
 from vendaval.session import session
 from vendaval.sources import JdbcSource, decode_events, read_kafka
+from vendaval.specs import WINDOW
 from vendaval.streaming import newer_than, start_gold_refresh, start_speed_views, starting_cutoff
 
 
@@ -50,6 +51,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
 
     speed = job("speed", "speed views from the event stream, until stopped")
     speed.add_argument("--servers", required=True)
+    speed.add_argument("--every", default=WINDOW, help="time between micro-batches")
+    speed.add_argument("--files-per-batch", type=int)
     speed.add_argument("--salt")
 
     gold = job("gold", "gold views from batch and speed")
@@ -86,7 +89,11 @@ def main(arguments: list[str]) -> int:
     elif options.job == "speed":
         events = decode_events(read_kafka(spark, options.servers))
         start_speed_views(
-            newer_than(events, starting_cutoff(spark, layout)), layout, salt=options.salt
+            newer_than(events, starting_cutoff(spark, layout)),
+            layout,
+            trigger={"processingTime": options.every},
+            files_per_batch=options.files_per_batch,
+            salt=options.salt,
         )
         spark.streams.awaitAnyTermination()
     elif options.follow:

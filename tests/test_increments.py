@@ -76,9 +76,21 @@ def test_replace_keeps_only_the_new_rows(spark, layout):
     extract_table(spark, source(spark, shop.GOLDEN_SALES), VENDAS, layout)
     assert ingest_table(spark, layout, VENDAS, mode="replace").rows == 3
     assert shop.rows_of(read_master(spark, layout, VENDAS), "id_venda") == [("5",), ("6",), ("7",)]
-    with pytest.raises(ValueError):
-        extract_table(spark, source(spark, shop.GOLDEN_SALES), VENDAS, layout)
+
+
+def test_modes_are_checked(spark, layout):
+    with pytest.raises(ValueError, match="unknown"):
         ingest_table(spark, layout, VENDAS, mode="merge")
+    with pytest.raises(ValueError, match="several versions"):
+        ingest_table(spark, layout, PRODUTOS, mode="append")
+
+
+def test_replace_of_a_mutable_table_keeps_one_row_per_key(spark, layout):
+    for day in (1, 2):
+        rows = [shop.product(1, price=f"{day}.00", updated=f"2025-04-0{day} 12:00:00")]
+        extract_table(spark, source(spark, products=rows), PRODUTOS, layout)
+    ingest_table(spark, layout, PRODUTOS, mode="replace")
+    assert shop.rows_of(read_master(spark, layout, PRODUTOS), "preco") == [("2.00",)]
 
 
 def test_updated_row_replaces_its_older_version(spark, layout):

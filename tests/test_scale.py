@@ -78,7 +78,8 @@ def hot_shop(spark, tmp_path_factory):
     spark.range(10).select(
         F.col("id").cast("int").alias("id_vendedor"), F.lit("Rui").alias("nome")
     ).write.parquet(f"{root}/vendedores")
-    return {n: spark.read.parquet(f"{root}/{n}") for n in ("itens_venda", "vendas", "produtos", "vendedores")}
+    names = ("itens_venda", "vendas", "produtos", "vendedores")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
 
 
 @pytest.fixture
@@ -105,7 +106,8 @@ def test_hot_sale_and_product_are_split_in_joins(hot_shop, no_broadcast_and_smal
     encoded = encode_events(hot_shop["vendas"], hot_shop["itens_venda"])
     assert "SortMergeJoin(skew=true)" in final_plan(encoded)
     assert encoded.count() == LINES
-    lines = hot_shop["itens_venda"].select("id_produto", "quantidade", F.lit(5).alias("percentual_desconto"))
+    percent = F.lit(5).alias("percentual_desconto")
+    lines = hot_shop["itens_venda"].select("id_produto", "quantidade", percent)
     assert "SortMergeJoin(skew=true)" in final_plan(price_lines(lines, hot_shop["produtos"]))
 
 
@@ -150,13 +152,15 @@ def test_upsert_shuffles_each_row_once(spark):
 
 
 def test_views_have_sql_names(spark, layout):
-    tables = {
-        "vendas": shop.sales(spark),
-        "produtos": shop.table(spark, "produtos", [shop.product(1)]),
-        "clientes": shop.table(spark, "clientes", [(10, None, None, None, "Ana", "SP", None, "F", "Gold", "2025-04-01 00:00:00", None)]),
-        "vendedores": shop.table(spark, "vendedores", [(1, None, None, None, None, "Rui", "2025-04-01 00:00:00", None)]),
-        "itens_venda": shop.table(spark, "itens_venda", [(1, 1, 2, "50.00", "100.00", "5.00", "2025-04-10 10:00:01")]),
+    created = "2025-04-01 00:00:00"
+    rows = {
+        "vendas": shop.GOLDEN_SALES,
+        "produtos": [shop.product(1)],
+        "clientes": [(10, None, None, None, "Ana", "SP", None, "F", "Gold", created, None)],
+        "vendedores": [(1, None, None, None, None, "Rui", created, None)],
+        "itens_venda": [(1, 1, 2, "50.00", "100.00", "5.00", "2025-04-10 10:00:01")],
     }
+    tables = {name: shop.table(spark, name, values) for name, values in rows.items()}
     assert all(o.error is None for o in extract_all(spark, FrameSource(tables), layout))
     assert all(o.error is None for o in ingest_all(spark, layout))
     names = register_views(spark, layout)

@@ -48,9 +48,9 @@ def deliver(folder, name, records):
     (folder / f"{name}.json").write_text("\n".join(json.dumps(r) for r in records))
 
 
-def run(spark, folder, layout, cutoff=0):
+def run(spark, folder, layout, cutoff=0, **options):
     events = newer_than(decode_events(read_event_files(spark, str(folder))), cutoff)
-    queries = start_speed_views(events, layout, trigger=NOW)
+    queries = start_speed_views(events, layout, trigger=NOW, **options)
     for query in queries:
         query.awaitTermination()
     return queries
@@ -68,7 +68,7 @@ def windows(frame):
 def test_closed_windows_equal_the_batch_rollup(spark, layout, tmp_path):
     inbox = tmp_path / "inbox"
     deliver(inbox, "a", [event(n, n * 2) for n in range(1, 40)])
-    run(spark, inbox, layout)
+    run(spark, inbox, layout, files_per_batch=1)
     watermark = START + timedelta(seconds=39 * 2 - 10)
     for view in VIEWS.values():
         expected = speed_view(stored(spark, inbox), view)
@@ -134,7 +134,8 @@ def test_events_survive_encoding(spark):
     row = decoded.where("id_venda = 2").first()
     assert (row["id_vendedor"], row["id_cliente"], row["id_produto"]) == (2, 10, 7)
     assert (row["valor_total"], row["desconto"], str(row["data"])) == (20.5, 1.03, "2025-04-10")
-    binary = spark.createDataFrame([(bytearray(b'{"id_venda": 3}'), START)], "value binary, timestamp timestamp")
+    schema = "value binary, timestamp timestamp"
+    binary = spark.createDataFrame([(bytearray(b'{"id_venda": 3}'), START)], schema)
     assert decode_events(binary).first()["id_venda"] == 3
 
 

@@ -144,18 +144,18 @@ def purge_snapshots(
 ) -> list[str]:
     """Forget and delete old snapshots that are already in their master dataset.
 
-    The shorter manifest is published first and the directories go last, so no entry ever
-    points at a deleted path. Returns the deleted paths.
+    The shorter manifest, compacted to one file, is published first and the directories go
+    last, so no entry ever points at a deleted path. Returns the deleted paths.
     """
+    if last_commit(spark, layout.manifest) is None:
+        return []
     manifest = read_manifest(spark, layout)
     _, expired = manifests.split_expired(manifest, today, days)
     rows = expired.select("table", "path").collect()  # metadata: a row per old snapshot
     ingested = {t: last_commit(spark, layout.master(t)) or "" for t in {r["table"] for r in rows}}
     doomed = [r["path"] for r in rows if r["path"].rsplit("/", 1)[-1] <= ingested[r["table"]]]
-    if not doomed:
-        return []
     kept = manifest.where(~F.col("path").isin(doomed))
-    publish(kept.coalesce(1), layout.manifest, keep=1)
+    publish(kept.coalesce(1), layout.manifest)
     for path in doomed:
         delete_path(spark, path)
     return doomed

@@ -88,11 +88,15 @@ def ingest_table(
     * ``append`` (default for tables that only grow) adds one commit; stored rows are not
       read, unless snapshots overlap: then rows already stored are left out.
     * ``upsert`` (default for mutable tables) keeps the newest version per key.
-    * ``replace`` makes the new rows, as they are, the whole master.
+    * ``replace`` makes the new rows the whole master.
+
+    A master holds one row per key in every mode, so a mutable table is never appended to.
     """
     mode = mode or ("upsert" if spec.mutable else "append")
     if mode not in MODES:
         raise ValueError(f"unknown ingest mode {mode!r}")
+    if mode == "append" and spec.mutable:
+        raise ValueError(f"appending to {spec.name} would store several versions of a row")
     # Metadata only: a row per snapshot.
     entries = sorted(pending_snapshots(spark, layout, spec).collect(), key=lambda e: e["name"])
     if not entries:
@@ -101,8 +105,8 @@ def ingest_table(
     name = entries[-1]["name"]
     root = layout.master(spec.name)
 
+    overlap = _first_overlap(spark, layout, spec, entries)
     if mode == "append":
-        overlap = _first_overlap(spark, layout, spec, entries)
         if overlap:
             delta = newest_per_key(delta, spec.key, spec.version_columns)
             stored = read_master(spark, layout, spec, since=overlap)
@@ -116,8 +120,10 @@ def ingest_table(
         written, rows = _ready_to_write(merged, spec)
         path = publish(rows, root, name, partition_by=_month_of(spec))
     else:
+        if spec.mutable or overlap:
+            delta = newest_per_key(delta, spec.key, spec.version_columns)
         written, rows = _ready_to_write(delta, spec)
-        path = publish(rows, root, name, keep=1, partition_by=_month_of(spec))
+        path = publish(rows, root, name, partition_by=_month_of(spec))
 
     log.info("%s: %s rows written by %s", spec.name, written.get["rows"], mode)
     return Outcome(spec.name, written.get["rows"], entries[-1]["date"], path)

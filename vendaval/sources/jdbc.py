@@ -87,8 +87,8 @@ class JdbcSource:
     def profile(
         self, spark: SparkSession, spec: TableSpec, since: str, until: str | None = None
     ) -> DataFrame:
-        reader = spark.read.format("jdbc").options(**self.options(profile_query(spec, since, until)))
-        return reader.load()
+        options = self.options(profile_query(spec, since, until))
+        return spark.read.format("jdbc").options(**options).load()
 
     def delta(
         self,

@@ -68,19 +68,23 @@ def start_speed_views(
     layout: Layout,
     *,
     trigger: Mapping[str, Any] | None = None,
+    files_per_batch: int | None = None,
     salt: str | None = None,
 ) -> list[StreamingQuery]:
     """Start one append-only Parquet query per view, each with its own checkpoint.
 
     ``events`` are decoded sale events, already cut with :func:`newer_than`. Wait for the
     queries with ``spark.streams.awaitAnyTermination()``, which also reports a failure of
-    any of them.
+    any of them. With many state partitions, ``files_per_batch`` gathers the closed windows
+    of a batch into that many files instead of one per partition.
     """
     queries = []
     for view in VIEWS.values():
+        rows = speed_view(events, view, salt=salt)
+        if files_per_batch:
+            rows = rows.repartition(files_per_batch)
         writer = (
-            speed_view(events, view, salt=salt)
-            .writeStream.queryName(f"speed_{view.name}")
+            rows.writeStream.queryName(f"speed_{view.name}")
             .outputMode("append")
             .format("parquet")
             .option("path", layout.speed_view(view.name))
