@@ -19,7 +19,7 @@ from vendaval.plans import (
 from vendaval.plans.extract import last_extracted, read_manifest
 from vendaval.plans.ingest import pending_snapshots
 from vendaval.sources import FrameSource
-from vendaval.sources.files import list_names, path_exists
+from vendaval.sources.files import delete_path, list_names, path_exists
 from vendaval.sources.versioned import bases
 from vendaval.specs import BASE_WATERMARK, TABLES
 
@@ -127,13 +127,24 @@ def test_interrupted_ingest_is_invisible_and_repeatable(spark, layout):
     outcome = ingest_table(spark, layout, VENDAS)
     extract_table(spark, source(spark, shop.GOLDEN_SALES), VENDAS, layout)
     path = ingest_table(spark, layout, VENDAS).path
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, False)
+    delete_path(spark, f"{path}/_SUCCESS")
     assert read_master(spark, layout, VENDAS).count() == outcome.rows == 4
     assert ingest_table(spark, layout, VENDAS).rows == 3
     assert read_master(spark, layout, VENDAS).count() == 7
 
 
+def test_failed_commit_is_cleared_by_the_next(spark, layout):
+    extract_table(spark, source(spark, shop.GOLDEN_SALES[:2]), VENDAS, layout)
+    ingest_table(spark, layout, VENDAS)
+    extract_table(spark, source(spark, shop.GOLDEN_SALES[:5]), VENDAS, layout)
+    failed = ingest_table(spark, layout, VENDAS).path
+    delete_path(spark, f"{failed}/_SUCCESS")
+    extract_table(spark, source(spark, shop.GOLDEN_SALES), VENDAS, layout)
+    assert ingest_table(spark, layout, VENDAS).rows == 5
+    assert not path_exists(spark, failed)
+    assert shop.rows_of(read_master(spark, layout, VENDAS)) == shop.rows_of(shop.sales(spark))
+
+
 def test_common_upper_bound(spark, layout):
     until = "2025-04-11 09:00:04"
     outcome = extract_table(spark, source(spark, shop.GOLDEN_SALES), VENDAS, layout, until=until)

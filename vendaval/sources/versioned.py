@@ -31,13 +31,15 @@ def bases(spark: SparkSession, root: str) -> list[str]:
 
 
 def commits(spark: SparkSession, root: str, base: str) -> list[str]:
-    """Complete commits of a base, oldest first."""
-    directory = f"{root}/{_BASE}{base}"
-    return [
-        n.removeprefix(_COMMIT)
-        for n in list_names(spark, directory)
-        if n.startswith(_COMMIT) and path_exists(spark, f"{directory}/{n}/_SUCCESS")
-    ]
+    """Complete commits of a base, oldest first.
+
+    Only the newest can be incomplete, because :func:`extend` clears what a failed write
+    left behind. So the markers of the older ones need no look.
+    """
+    names = _all_commits(spark, root, base)
+    while names and not path_exists(spark, f"{_commit_path(root, base, names[-1])}/_SUCCESS"):
+        names.pop()
+    return names
 
 
 def last_commit(spark: SparkSession, root: str) -> str | None:
@@ -52,7 +54,7 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType) -> DataFr
     if not known:
         return empty(spark, schema)
     directory = f"{root}/{_BASE}{known[-1]}"
-    paths = [f"{directory}/{_COMMIT}{c}" for c in commits(spark, root, known[-1])]
+    paths = [_commit_path(root, known[-1], c) for c in commits(spark, root, known[-1])]
     rows = spark.read.schema(schema).option("basePath", directory).parquet(*paths)
     return rows.select(*schema.fieldNames())
 
@@ -68,7 +70,7 @@ def publish(
     """Replace the dataset; the previous ``keep - 1`` states stay for running readers."""
     spark = rows.sparkSession
     name = name or run_name()
-    path = f"{root}/{_BASE}{name}/{_COMMIT}{name}"
+    path = _commit_path(root, name, name)
     _write(rows, path, partition_by)
     oldest_kept = bases(spark, root)[-keep:][0]
     for directory in list_names(spark, root):
@@ -79,8 +81,12 @@ def publish(
 
 def extend(rows: DataFrame, root: str, name: str, *, partition_by: str | None = None) -> str:
     """Add a commit to the current state without touching what is there."""
-    known = bases(rows.sparkSession, root)
-    path = f"{root}/{_BASE}{known[-1] if known else name}/{_COMMIT}{name}"
+    spark = rows.sparkSession
+    known = bases(spark, root)
+    base = known[-1] if known else name
+    for failed in _all_commits(spark, root, base)[len(commits(spark, root, base)) :]:
+        delete_path(spark, _commit_path(root, base, failed))
+    path = _commit_path(root, base, name)
     _write(rows, path, partition_by)
     return path
 
@@ -93,7 +99,16 @@ def append_rows(rows: DataFrame, root: str) -> None:
         publish(rows, root)
         return
     newest = commits(spark, root, known[-1])[-1]
-    rows.write.mode("append").parquet(f"{root}/{_BASE}{known[-1]}/{_COMMIT}{newest}")
+    rows.write.mode("append").parquet(_commit_path(root, known[-1], newest))
+
+
+def _commit_path(root: str, base: str, commit: str) -> str:
+    return f"{root}/{_BASE}{base}/{_COMMIT}{commit}"
+
+
+def _all_commits(spark: SparkSession, root: str, base: str) -> list[str]:
+    names = list_names(spark, f"{root}/{_BASE}{base}")
+    return [n.removeprefix(_COMMIT) for n in names if n.startswith(_COMMIT)]
 
 
 def _write(rows: DataFrame, path: str, partition_by: str | None) -> None:
