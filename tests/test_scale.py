@@ -20,6 +20,7 @@ from vendaval.plans import (
 )
 from vendaval.session import shared_folder
 from vendaval.sources import FrameSource, encode_events
+from vendaval.sources.files import list_names
 from vendaval.specs import CUSTOMER_TICKET, TABLES
 
 LINES = 60_000
@@ -188,3 +189,17 @@ def test_jobs_take_their_options():
     assert (options.job, options.root, options.mode) == ("ingest", "/shared/shop", "append")
     with pytest.raises(SystemExit):
         submit.parse(["speed", "--root", "/shared/shop"])
+
+
+def test_large_month_becomes_several_files(spark, hot_shop, layout):
+    source = FrameSource({"itens_venda": hot_shop["itens_venda"]})
+    assert extract_all(spark, source, layout, ["itens_venda"])[0].rows == LINES
+    with settings(
+        spark,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    ):
+        path = ingest_all(spark, layout, ["itens_venda"])[0].path
+    files = [n for n in list_names(spark, f"{path}/mes=2025-04") if n.endswith(".parquet")]
+    assert len(files) > 3
+    assert read_master(spark, layout, TABLES["itens_venda"]).count() == LINES
