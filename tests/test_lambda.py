@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from vendaval.functions import sum_money
 from vendaval.operators import rollup
 from vendaval.plans import batch_view, exact_gold_view, gold_view, straddling_windows
 from vendaval.specs import CUSTOMER_TICKET, DAILY_REVENUE, SELLER_SALES, VIEWS
@@ -121,6 +122,23 @@ def test_mean_equals_round_of_avg(spark):
     assert both.exceptAll(theirs).count() == 0 and theirs.exceptAll(both).count() == 0
 
 
+def test_money_sums_are_exact(spark):
+    """Against a plain decimal sum, with negative, null and largest amounts."""
+    amounts = spark.range(20_000).select(
+        (F.col("id") % 7).alias("k"),
+        F.when(F.col("id") % 11 == 0, None)
+        .when(F.col("id") % 5 == 0, F.lit("99999999.99"))
+        .when(F.col("id") % 3 == 0, F.lit("-99999999.99"))
+        .otherwise(F.concat(F.lit("-"), F.col("id") % 1000, F.lit(".07")))
+        .cast("decimal(10,2)")
+        .alias("x"),
+    )
+    sums = amounts.groupBy("k").agg(sum_money("x").alias("a"), F.sum("x").alias("b"))
+    assert sums.where("a = b").count() == 7
+    assert sums.schema["a"].dataType == sums.schema["b"].dataType
+    assert amounts.where("x is null").agg(sum_money("x")).first()[0] is None
+
+
 SALES = st.lists(
     st.tuples(
         st.integers(1, 3),

@@ -116,7 +116,7 @@ def test_reports_shuffle_aggregates_not_sales(hot_shop, no_broadcast_and_small_p
     """The first exchange above each fact scan comes after a partial aggregate."""
     report = reports.product_sales(hot_shop["itens_venda"], hot_shop["produtos"])
     plan = optimized(report)
-    assert plan.index("partial_sum(valor_total") > plan.index("SortMergeJoin")
+    assert plan.index("partial_sum(shiftright(cast((valor_total") > plan.index("SortMergeJoin")
     # Join and second aggregate reuse the partitioning: one exchange per side.
     assert plan.count("Exchange hashpartitioning") == 2
 

@@ -10,6 +10,7 @@ from vendaval.functions.columns import (
     money,
     pseudonym,
     row_version,
+    sum_money,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "money",
     "pseudonym",
     "row_version",
+    "sum_money",
 ]

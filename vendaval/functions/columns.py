@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)
 TOTAL = T.DecimalType(20, 2)  # what Spark gives to sum(MONEY)
+_WHOLE = T.DecimalType(20, 0)
+_LOW_BITS = 20
 _MEAN = T.DecimalType(14, 6)  # what Spark gives to avg(MONEY)
 
 
@@ -31,6 +34,19 @@ def event_money(amount: str | Column) -> Column:
     return _column(amount).try_cast(MONEY)
 
 
+def sum_money(amount: str | Column) -> Column:
+    """Exact sum of amounts; null when there are none.
+
+    A sum of decimals needs 16-byte values in every buffer and shuffled row, and one bigint
+    of cents could overflow on very large groups. So the cents are summed as two bigints,
+    the multiples of 2**20 and the rest, which holds for 2**43 amounts per group.
+    """
+    cents = (money(amount) * 100).cast("long")
+    high = F.sum(F.shiftright(cents, _LOW_BITS)).cast(_WHOLE)
+    low = F.sum(cents.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast(_WHOLE)
+    return ((high * (1 << _LOW_BITS) + low) * F.lit(Decimal("0.01"))).cast(TOTAL)
+
+
 def mean(total: str | Column, count: str | Column) -> Column:
     """``avg(x)`` of amounts from their sum and count, so only one sum is kept per group.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendaval.functions import TOTAL, mean_money, money, pseudonym
+from vendaval.functions import mean_money, pseudonym, sum_money
 from vendaval.specs import ViewSpec
 
 
@@ -31,7 +31,7 @@ def rollup(
     aggregates = [
         F.max(id_column).cast("long").alias("maior_id"),
         F.count(id_column).alias("qtd_vendas"),
-        F.sum(money(amount)).cast(TOTAL).alias(view.total),
+        sum_money(amount).alias(view.total),
         F.count(amount).alias("_amounts"),
     ]
     columns = ["maior_id", "qtd_vendas", view.total]

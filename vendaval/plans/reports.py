@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendaval.functions import mean
+from vendaval.functions import mean, sum_money
 
 
 def customer_profile(customers: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def customer_profile(customers: DataFrame) -> DataFrame:
 def daily_revenue(sales: DataFrame) -> DataFrame:
     return sales.groupBy("data").agg(
         F.count("id_venda").alias("qtd_vendas"),
-        F.sum("total").alias("total_faturado"),
+        sum_money("total").alias("total_faturado"),
     )
 
 
@@ -64,7 +64,7 @@ def customer_ticket(customers: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales, amount and mean sale per customer; the mean is not rounded to cents."""
     per_customer = sales.groupBy("id_cliente").agg(
         F.count("id_venda").alias("num_vendas"),
-        F.sum("total").alias("total_gasto"),
+        sum_money("total").alias("total_gasto"),
         F.count("total").alias("_amounts"),
     )
     return (
@@ -90,8 +90,8 @@ def product_sales(lines: DataFrame, products: DataFrame) -> DataFrame:
     per_product = lines.groupBy("id_produto").agg(
         F.sum("quantidade").alias("total_quantidade"),
         F.sum(F.col("valor_unitario") * F.col("quantidade")).alias("total_bruto"),
-        F.sum("desconto").alias("total_desconto"),
-        F.sum("valor_total").alias("total_liquido"),
+        sum_money("desconto").alias("total_desconto"),
+        sum_money("valor_total").alias("total_liquido"),
     )
     return (
         products.select("id_produto", "produto")
@@ -104,7 +104,7 @@ def product_sales(lines: DataFrame, products: DataFrame) -> DataFrame:
 def seller_sales(sales: DataFrame, sellers: DataFrame) -> DataFrame:
     per_seller = sales.groupBy("id_vendedor").agg(
         F.count("id_venda").alias("total_vendas"),
-        F.sum("total").alias("total_faturado"),
+        sum_money("total").alias("total_faturado"),
     )
     return (
         sellers.select("id_vendedor", "nome")
