@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vendaval.llm.decontaminate import Rule, contaminations
 from vendaval.llm.mixing import Mix, mix_report
+from vendaval.llm.neardup import near_duplicate_report
+from vendaval.llm.quality import Training, score_quality
 from vendaval.llm.shared import table
 from vendaval.llm.sharding import shard_report
 
@@ -21,10 +24,27 @@ def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"), shards=8)
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Rule())
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_quality(documents, labels, least=0.3, training=Training())
+
+
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_mixing": _mixing,
     "op4_sharding": _sharding,
+    "op7_decontamination": _decontamination,
+    "op8_quality": _quality,
+    "op9_near_duplicates": _near_duplicates,
 }
 
-#: Spark's hashes and crc32 have no counterpart in the checking engine: see tests/llm.
+#: Spark's hashes, crc32, compression and trained models have no counterpart in the checking
+#: engine: those queries are tested against brute force and held-out rows in tests/llm.
 ORACLE_SQL: dict[str, str] = {}
