@@ -438,7 +438,24 @@ _SHORT = {
 }
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the subpackage ``llm`` and its pipeline, if they are there."""
+    try:
+        import corpus_pipeline
+        from vendaval.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "vendaval.llm", "vendaval.llm.queries"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, ORACLE_SQL | sql
+
+
 def queries() -> dict[str, Query]:
+    return _shop_queries() | _training_data()[0]
+
+
+def _shop_queries() -> dict[str, Query]:
     layers: dict[str, Query] = {}
     for view in VIEWS.values():
         short = _SHORT[view.name]
@@ -695,6 +712,10 @@ def _orphans_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _shop_sql() | _training_data()[1]
+
+
+def _shop_sql() -> dict[str, str]:
     layers: dict[str, str] = {}
     for view in VIEWS.values():
         short = _SHORT[view.name]
