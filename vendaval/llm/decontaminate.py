@@ -13,12 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vendaval.llm.batches import letter_tokens
+
 #: Fixed masks: 1 looks at the token, 0 ignores it.
 MASKS = ("11011011", "11101111", "111111")
 
@@ -67,16 +67,9 @@ class Vocabulary:
 
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens (letters and digits, in lower case) and where each text begins."""
-    column = pc.utf8_lower(pa.array([t or "" for t in texts], type=pa.large_string()))
-    lists = pc.split_pattern_regex(column, r"[^\pL\pM\pN]+")
-    words = lists.flatten().dictionary_encode()
+    words, codes, ends = letter_tokens(texts)
     digest = xxhash.xxh3_64_intdigest
-    table = np.array([digest(w) for w in words.dictionary.to_pylist()], dtype=np.uint64)
-    empty = pc.equal(words.dictionary, "").to_numpy(zero_copy_only=False)
-    codes = words.indices.to_numpy(zero_copy_only=False)
-    real = ~empty[codes] if len(codes) else np.array([], dtype=bool)
-    ends = np.r_[0, np.cumsum(real)][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-    return (table[codes[real]] if len(codes) else table[:0]), ends
+    return np.array([digest(w) for w in words], dtype=np.uint64)[codes], ends
 
 
 def seed_hashes(tokens: np.ndarray, mask: np.ndarray, span: int) -> np.ndarray:

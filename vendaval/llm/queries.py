@@ -12,18 +12,38 @@ from vendaval.llm.neardup import near_duplicate_report
 from vendaval.llm.quality import Training, score_quality
 from vendaval.llm.shared import table
 from vendaval.llm.sharding import shard_report
+from vendaval.llm.spans import Runs, repeat_report
+from vendaval.llm.tokens import token_counts
+from vendaval.llm.toxicity import Training as ToxicTraining
+from vendaval.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"), Runs())
+
+
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"), Mix())
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_toxicity(documents, labels, ToxicTraining())
+
+
 def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"), shards=8)
 
 
+def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(table(spark, sf_dir, "documents"), path, limit=512)
+
+
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Rule())
 
@@ -38,8 +58,11 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": _substrings,
     "op2_mixing": _mixing,
+    "op3_toxicity": _toxicity,
     "op4_sharding": _sharding,
+    "op6_token_counts": _tokens,
     "op7_decontamination": _decontamination,
     "op8_quality": _quality,
     "op9_near_duplicates": _near_duplicates,
