@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vendaval.llm.decontaminate import Rule, contaminations
+from vendaval.llm.hnsw import Search, neighbour_report
 from vendaval.llm.mixing import Mix, mix_report
 from vendaval.llm.neardup import near_duplicate_report
 from vendaval.llm.quality import Training, score_quality
@@ -37,6 +38,10 @@ def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"), shards=8)
 
 
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_report(table(spark, sf_dir, "embeddings"), every=50, search=Search())
+
+
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": _mixing,
     "op3_toxicity": _toxicity,
     "op4_sharding": _sharding,
+    "op5_neighbours": _neighbours,
     "op6_token_counts": _tokens,
     "op7_decontamination": _decontamination,
     "op8_quality": _quality,
