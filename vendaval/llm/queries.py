@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vendaval.llm.decontaminate import Rule, contaminations
 from vendaval.llm.hnsw import Search, neighbour_report
+from vendaval.llm.katz import Katz, score_documents
 from vendaval.llm.mixing import Mix, mix_report
 from vendaval.llm.neardup import near_duplicate_report
 from vendaval.llm.quality import Training, score_quality
@@ -62,6 +63,10 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), Katz())
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": _substrings,
     "op2_mixing": _mixing,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontamination": _decontamination,
     "op8_quality": _quality,
     "op9_near_duplicates": _near_duplicates,
+    "op10_lm_scoring": _lm_scoring,
 }
 
 #: Spark's hashes, crc32, compression and trained models have no counterpart in the checking
