@@ -29,7 +29,7 @@ class Mix:
     block: int = 64  # words in a block
     shards: int = 8  # output shards, each with a draw of its own
     rounds: int = 24  # rounds of the index permutation
-    chunk: int = 1 << 16  # slots made from one row
+    chunk: int = 1 << 13  # slots made from one row
     seed: int = 7
 
 
@@ -135,7 +135,9 @@ def drawn_blocks(counts: DataFrame, mix: Mix) -> DataFrame:
     """(number, shard, slot, turn, block): which block each slot takes, in which pass."""
     wanted = counts.where("slots > 0")
     chunks = wanted.select("*", F.explode(F.expr(f"sequence(0L, slots - 1, {mix.chunk}L)")).alias("at"))
-    chunks = chunks.repartition(F.col("number"), F.col("shard"), F.col("at"))
+    # By number, so that the few rows stay apart: each becomes many.
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(tasks, "number", "shard", "at")
     last = F.least(F.col("at") + mix.chunk, F.col("slots")) - 1
     slots = chunks.select(
         "number", "shard", "blocks", F.explode(F.sequence("at", last)).alias("nth"), "first"
@@ -183,7 +185,8 @@ def plan_mix(documents: DataFrame, mix: Mix) -> Mixed:
         .select("doc_id", "number", "tie", "size")
     )
     places = keep(running_total(numbered, "number", ["doc_id", "tie"], "size", "start"), "mix_places")
-    return Mixed(measured, targets, places, drawn_blocks(drawn_counts(targets, mix), mix))
+    slots = keep(drawn_blocks(drawn_counts(targets, mix), mix), "mix_slots")
+    return Mixed(measured, targets, places, slots)
 
 
 def taken_spans(mixed: Mixed, mix: Mix) -> DataFrame:
@@ -200,7 +203,9 @@ def taken_spans(mixed: Mixed, mix: Mix) -> DataFrame:
     )
     begin = F.greatest("start", F.col("block") * mix.block)
     end = F.least(last + 1, (F.col("block") + 1) * mix.block)
-    return parts.join(mixed.slots.select("number", "block", "turn"), ["number", "block"]).select(
+    # Both sides grow with the documents, more than the sizes before explode() let on.
+    taken = mixed.slots.select("number", "block", "turn").hint("merge")
+    return parts.join(taken, ["number", "block"]).select(
         "doc_id",
         "number",
         "tie",
