@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from vendaval.llm.mixing import Mix, mix_report, mix_texts, permuted, source_targets
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def filled(sizes: dict, mix: Mix) -> dict:
+    """Targets by handing the excess round until nobody exceeds the cap."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: mix.weights[i % len(mix.weights)] for i, s in enumerate(order)}
+    wanted, full = mix.share * sum(sizes.values()), set()
+    while True:
+        left = wanted - sum(mix.most * sizes[s] for s in full)
+        total = sum(weight[s] for s in order if s not in full)
+        over = {s for s in order if s not in full and left * weight[s] / total > mix.most * sizes[s]}
+        if not over:
+            return {s: mix.most * sizes[s] if s in full else left * weight[s] / total for s in order}
+        full |= over
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 10, "b": 1000, "c": 30, None: 500},
+        {"a": 0, "b": 100},
+        {"x": 7},
+        {"a": 5, "b": 5, "c": 5, "d": 100000, "é": 1, "z": 40},
+    ],
+)
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {r.source: r.target for r in source_targets(rows, Mix()).collect()}
+    assert found == pytest.approx(filled(sizes, Mix()))
+
+
+def test_report_on_whole_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = mix_report(docs).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(rows) == len(texts)
+    taken, target = Counter(), {}
+    for r in rows:
+        assert r.size == len(WORDS.findall(texts[r.doc_id] or ""))
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for source, wanted in target.items():
+        assert taken[source] == pytest.approx(wanted, rel=0.06)
+    again = mix_report(docs.repartition(5)).collect()
+    assert {tuple(r) for r in again} == {tuple(r) for r in rows}
+
+
+def test_odd_rows(documents, odd_rows):
+    rows = [(i, t, s) for (i, t), s in zip(odd_rows, [None, "a", "a", None, "b", "c", "c", "c", "d", "a"])]
+    found = mix_report(documents(rows, clashing=True), Mix(block=4, shards=2)).collect()
+    wanted = Counter((i, s, len(WORDS.findall(t or ""))) for i, t, s in rows)
+    assert Counter((r.doc_id, r.source, r["size"]) for r in found) == wanted
+    assert all(0 <= r.taken <= 2 * r["size"] for r in found)
+    # One source alone is asked for 1.5 times its words; here the caps bind for all but one.
+    assert sum(r.taken for r in found) == pytest.approx(1.5 * sum(r["size"] for r in found), rel=0.05)
+
+
+def test_texts_hold_the_words_taken(documents, odd_rows):
+    rows = [(i, t, "ab"[n % 2]) for n, (i, t) in enumerate(odd_rows)]
+    docs, mix = documents(rows), Mix(block=4, shards=2)
+    report, texts = mix_report(docs, mix).collect(), mix_texts(docs, mix)
+    assert texts.columns == docs.columns
+    words = defaultdict(int)
+    own = defaultdict(list)
+    for i, t, s in rows:
+        own[i, s].append(WORDS.findall(t or ""))
+    for r in texts.collect():
+        found = WORDS.findall(r.text)
+        words[r.doc_id, r.source] += len(found)
+        assert r.n_chars == len(r.text)
+        # The words of a text in order, with gaps.
+        assert any(_inside(found, w) for w in own[r.doc_id, r.source])
+    taken = defaultdict(int)
+    for r in report:
+        taken[r.doc_id, r.source] += r.taken
+    assert words == {k: v for k, v in taken.items() if v}
+
+
+def _inside(part: list[str], whole: list[str]) -> bool:
+    rest = iter(whole)
+    return all(w in rest for w in part)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 64, 1000])
+def test_permutation(spark, size):
+    rows = spark.range(size).select(permuted(F.col("id"), F.lit(size), F.lit(5), 24).alias("p"))
+    found = [r.p for r in rows.collect()]
+    assert sorted(found) == list(range(size))
+    assert size < 64 or found != sorted(found)
+
+
+def test_empty_tables(documents):
+    assert mix_report(documents([])).collect() == []
+    assert mix_texts(documents([])).collect() == []
+    only_blank = mix_report(documents([(1, ""), (2, None)])).collect()
+    assert [(r.size, r.target, r.taken) for r in only_blank] == [(0, 0.0, 0)] * 2
+
+
+def test_main_path_runs_no_python(documents):
+    docs = documents([(i, "a b c d e f g") for i in range(20)])
+    plan = mix_report(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
