@@ -10,7 +10,9 @@ key holds at most 2^16 different fingerprints. Within a key the two-bit test is
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -29,10 +31,14 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 _SPACE = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 
 
+def _words(text: str | None) -> list[str]:
+    # Only ASCII white space parts words, so str.split() without argument won't do.
+    return [w for w in (text or "").translate(_LOWER).translate(_SPACE).split(" ") if w]
+
+
 def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """SimHash of the text's word shingles, repeats included; 0 without words."""
-    # Only ASCII white space parts words, so str.split() without argument won't do.
-    words = [w for w in (text or "").translate(_LOWER).translate(_SPACE).split(" ") if w]
+    words = _words(text)
     if not words:
         return 0
     if len(words) < shingle:
@@ -59,11 +65,12 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
     return F.pandas_udf(compute, "long")(text)
 
 
-def _forest(free: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Links that connect what differs in at most ``bits`` bits, as a spanning forest.
+def _links(free: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Pairs that connect what differs in at most ``bits`` bits.
 
-    ``free`` holds different 16-bit values. Each value probes the values one and two bits
-    away, so the work grows with the number of values and not with its square.
+    ``free`` holds different 16-bit values. Of up to eight values all pairs are given, of more
+    a spanning forest. Each value probes the values one and two bits away, so the work grows
+    with the number of values and not with its square.
     """
     n = len(free)
     flips = [1 << i for i in range(16)]
@@ -77,6 +84,8 @@ def _forest(free: np.ndarray, bits: int) -> list[tuple[int, int]]:
         found = where[free[:, None] ^ np.array(near)[None, :]]
         left, at = np.nonzero(found > np.arange(n)[:, None])
         right = found[left, at]
+    if n <= 8:
+        return list(zip(left.tolist(), right.tolist()))
     parent = list(range(n))
 
     def root(i: int) -> int:
@@ -95,62 +104,70 @@ def _forest(free: np.ndarray, bits: int) -> list[tuple[int, int]]:
 
 
 def fingerprint_links(fingerprints: DataFrame, bits: int = BITS) -> DataFrame:
-    """(a, b): links between different fingerprints that join all within ``bits`` bits.
+    """(trial, a, b): links between different fingerprints that join all within ``bits`` bits.
 
-    ``fingerprints`` has distinct ``fp`` values. The links have the same connected components
-    as all pairs at most ``bits`` (0 to 2) bits apart; each of them is such a pair.
+    ``fingerprints`` has distinct ``fp`` values, or distinct (trial, fp) of independent sets.
+    The links have the same connected components as all pairs at most ``bits`` (0 to 2) bits
+    apart; each of them is such a pair. A link may come more than once.
     """
     if not 0 <= bits <= 2:
         raise ValueError("six of eight bytes are shared only up to two bits")
-    whole = (1 << 64) - 1
-    masks = []
-    for i, j in combinations(range(8), 2):
-        mask = whole ^ (0xFF << (8 * i)) ^ (0xFF << (8 * j))
-        masks.append((mask - (1 << 64) if mask >> 63 else mask, i, j))
-    listed = F.array(
-        *[
-            F.struct(F.lit(n).cast("tinyint").alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes"))
-            for n, (m, _, _) in enumerate(masks)
-        ]
-    )
-    index = fingerprints.select("fp", F.explode(listed).alias("k")).select("k.mask", "k.bytes", "fp")
-    sorted_index = index.repartition("mask", "bytes").sortWithinPartitions("mask", "bytes")
+    if "trial" not in fingerprints.columns:
+        fingerprints = fingerprints.withColumn("trial", F.lit(0))
+    choices = list(combinations(range(8), 2))
+
+    def byte(i: int) -> Column:
+        return F.shiftrightunsigned("fp", 8 * i).bitwiseAND(F.lit(0xFF))
+
+    def entry(n: int, i: int, j: int) -> Column:
+        mask = ~(0xFF << (8 * i)) & ~(0xFF << (8 * j)) & ((1 << 64) - 1)
+        fixed = F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+        free = F.shiftleft(byte(j), 8).bitwiseOR(byte(i)).cast("int")
+        choice = (F.col("trial") * len(choices) + n).cast("int")
+        return F.struct(choice.alias("choice"), fixed.alias("bytes"), free.alias("free"))
+
+    listed = F.array(*[entry(n, i, j) for n, (i, j) in enumerate(choices)])
+    index = fingerprints.select(F.explode(listed).alias("k")).select("k.*")
+    # Sorted whole, so that a repeated task finds the same links.
+    sorted_index = index.repartition("choice", "bytes").sortWithinPartitions("choice", "bytes", "free")
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for rows in batches:
-            mask, key, fp = (rows[c].to_numpy() for c in ("mask", "bytes", "fp"))
+            part = [rows[c].to_numpy() for c in ("choice", "bytes", "free")]
             if held is not None:
-                mask, key, fp = (np.concatenate(pair) for pair in zip(held, (mask, key, fp)))
-            if not len(fp):
+                part = [np.concatenate(pair) for pair in zip(held, part)]
+            if not len(part[0]):
                 continue
-            new = np.r_[True, (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])]
+            choice, key, _ = part
+            new = np.r_[True, (choice[1:] != choice[:-1]) | (key[1:] != key[:-1])]
             starts = np.flatnonzero(new)
             # The last key may go on in the next batch; it has at most 2^16 rows.
-            held = mask[starts[-1] :], key[starts[-1] :], fp[starts[-1] :]
-            yield found(mask, fp, starts[:-1], starts[1:])
+            held = [x[starts[-1] :] for x in part]
+            yield found(*part, starts[:-1], starts[1:])
         if held is not None:
-            yield found(held[0], held[2], np.array([0]), np.array([len(held[2])]))
+            yield found(*held, np.array([0]), np.array([len(held[0])]))
 
-    def found(mask: np.ndarray, fp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame:
-        a, b = [], []
+    def found(choice, key, free, begin, end) -> pd.DataFrame:
+        a, b, trial = [], [], []
         several = end - begin > 1
         for s, e in zip(begin[several].tolist(), end[several].tolist()):
-            _, i, j = masks[mask[s]]
-            group = fp[s:e].view(np.uint64)
-            low = (group >> np.uint64(8 * i)) & np.uint64(0xFF)
-            high = (group >> np.uint64(8 * j)) & np.uint64(0xFF)
-            free = (low | (high << np.uint64(8))).astype(np.int64)
-            for x, y in _forest(free, bits):
-                a.append(int(fp[s + x]))
-                b.append(int(fp[s + y]))
-        return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+            i, j = choices[choice[s] % len(choices)]
+            fixed = int(key[s]) & ((1 << 64) - 1)
+            group = free[s:e].astype(np.int64)
+            for pair in _links(group, bits):
+                x, y = (fixed | (f & 0xFF) << (8 * i) | (f >> 8) << (8 * j) for f in group[list(pair)].tolist())
+                a.append(x)
+                b.append(y)
+                trial.append(int(choice[s]) // len(choices))
+        ends = [np.array(x, dtype=np.uint64).view(np.int64) for x in (a, b)]
+        return pd.DataFrame({"trial": np.array(trial, dtype=np.int32), "a": ends[0], "b": ends[1]})
 
-    return sorted_index.mapInPandas(link, "a long, b long")
+    return sorted_index.mapInPandas(link, "trial int, a long, b long")
 
 
-def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS, tie: bool = False) -> DataFrame:
-    """(doc_id, fp, component_id), with ``tie`` also a text hash, for every row of ``documents`` (doc_id, text).
+def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``documents`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id of all documents whose fingerprints are reachable
     by links of at most ``bits`` differing bits. Null and empty texts and texts of white space
@@ -158,16 +175,14 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BI
     as one shingle. Repeated rows appear as often as given. A null doc_id is never the
     smallest; a component without any other has a null id. An empty table gives no rows.
     """
-    extra = [F.xxhash64("text").alias("tie")] if tie else []
-    marked = documents.select("doc_id", *extra, fingerprint(F.col("text"), shingle).alias("fp"))
-    marked = keep(marked, "fingerprints")
+    marked = keep(documents.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")), "fingerprints")
     least = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint_ids")
     parts = connected_components(fingerprint_links(least.select("fp"), bits))
     rooted = least.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.select("fp", "least", F.coalesce("component", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", *(["tie"] if tie else []), "fp", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_duplicate_report(documents: DataFrame) -> DataFrame:
@@ -176,19 +191,106 @@ def near_duplicate_report(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def keep_one(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """One row of each group of near duplicates: that of the smallest doc_id, all columns.
+@dataclass(frozen=True)
+class Similar:
+    """When two texts are near copies, and how they are searched for."""
+
+    shingle: int = 5  # words of a shingle
+    share: float = 0.8  # of all different shingles of both that both have
+    trials: int = 5  # independent fingerprints of the words
+    power: float = 0.85  # of a word's count, as its weight in a fingerprint
+
+
+def word_fingerprints(text: str | None, similar: Similar) -> list[int]:
+    """SimHashes of the text's words, one per trial; 0 without words."""
+    counts = Counter(_words(text))
+    if not counts:
+        return [0] * similar.trials
+    base = np.array([xxhash.xxh64_intdigest(w, SEED) for w in counts], dtype=np.uint64)
+    weight = np.array(list(counts.values()), dtype=np.float64) ** similar.power
+    half, found = weight.sum() / 2, []
+    for trial in range(similar.trials):
+        mixed = (base + np.uint64(trial)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        bits = np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1)
+        found.append(int(np.packbits(weight @ bits > half).view(np.int64)[0]))
+    return found
+
+
+def _shingles(text: str | None, size: int) -> set[str]:
+    words = _words(text)
+    if len(words) <= size:
+        return {" ".join(words)}
+    return set(map(" ".join, zip(*(words[i:] for i in range(size)))))
+
+
+def similar_links(documents: DataFrame, similar: Similar = Similar()) -> tuple[DataFrame, DataFrame]:
+    """(key, least) of each different text and (a, b) links between keys of near copies.
+
+    ``key`` is the text's md5, ``least`` its smallest doc_id. Texts that share a fingerprint,
+    or have fingerprints within two bits, in any of the trials are candidates; a candidate is
+    a link if the texts share ``similar.share`` of their shingles, compared in full.
+    """
+    names = [f"f{t}" for t in range(similar.trials)]
+
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([word_fingerprints(t, similar) for t in texts], columns=names, dtype="int64")
+
+    kind = ", ".join(f"{n} long" for n in names)
+    # No text is an empty text.
+    keyed = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = keyed.select("doc_id", F.md5("text").alias("key"), "text")
+    marked = keyed.select("doc_id", "key", F.pandas_udf(compute, kind)(F.col("text")).alias("f"))
+    texts = marked.select("doc_id", "key", "f.*").groupBy("key")
+    texts = keep(texts.agg(F.min("doc_id").alias("least"), *[F.min(n).alias(n) for n in names]), "texts")
+
+    own = texts.select("key", F.posexplode(F.array(*names)).alias("trial", "fp"))
+    first = keep(own.groupBy("trial", "fp").agg(F.min("key").alias("key")), "text_fingerprints")
+    same = own.join(first.withColumnRenamed("key", "b"), ["trial", "fp"]).select(F.col("key").alias("a"), "b")
+    near = fingerprint_links(first.select("trial", "fp"))
+    for end in "ab":
+        named = first.select("trial", F.col("fp").alias(end), F.col("key").alias(f"key_{end}"))
+        near = near.join(named, ["trial", end])
+    near = near.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    pairs = same.unionByName(near).where("a <> b")
+    pairs = keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+
+    asked = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    bodies = keyed.select("key", "text").join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    bodies = keep(bodies, "candidate_texts")
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            good = []
+            for x, y in zip(rows["x"], rows["y"]):
+                left, right = _shingles(x, similar.shingle), _shingles(y, similar.shingle)
+                both = len(left & right)
+                good.append(both >= similar.share * (len(left) + len(right) - both))
+            yield rows.loc[good, ["a", "b"]]
+
+    for end, body in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(bodies.select(F.col("key").alias(end), F.col("text").alias(body)), end)
+    return texts.select("key", "least"), pairs.mapInPandas(verify, "a string, b string")
+
+
+def keep_one(documents: DataFrame, similar: Similar = Similar()) -> DataFrame:
+    """One row of each group of equal texts and near copies, all columns: the smallest doc_id.
 
-    Rows that share that doc_id are repeated copies of one another or contradict; the one
-    with the smallest text hash stays, of equal ones any. A group without ids keeps one row
-    of those with the smallest text hash.
+    Groups are connected by links of ``similar_links``. Texts of at most a shingle's words are
+    near copies if their words are equal; null, empty and blank texts are all alike. Of
+    repeated rows one stays; of rows that share the smallest id the one with the smallest
+    md5 of the text. A null id comes after all others.
     """
-    marked = near_duplicates(documents, shingle, bits, tie=True)
-    # A null id sorts last.
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
-    first = marked.groupBy("component_id").agg(F.min(place).alias("p"))
-    first = first.select(F.col("p.doc_id").alias("__id"), F.col("p.tie").alias("__tie"))
-    hashed = documents.withColumn("__hash", F.xxhash64("text"))
-    is_first = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__tie"))
-    chosen = hashed.join(first, is_first, "left_semi").dropDuplicates(["doc_id", "__hash"])
+    texts, links = similar_links(documents, similar)
+    groups = connected_components(links).withColumnRenamed("node", "key")
+    group = F.coalesce("component", "key")
+    named = texts.join(groups, "key", "left").select(group.alias("group"), "key", "least")
+    place = F.struct(F.col("least").isNull().alias("none"), "least", "key")
+    first = named.groupBy("group").agg(F.min(place).alias("p"))
+    first = first.select(F.col("p.key").alias("__key"), F.col("p.least").alias("__least"))
+    keyed = documents.withColumn("__text_key", F.md5(F.coalesce("text", F.lit(""))))
+    is_first = (F.col("__text_key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__least"))
+    chosen = keyed.join(first, is_first, "left_semi").dropDuplicates(["doc_id", "__text_key"])
     return chosen.select(*documents.columns)
