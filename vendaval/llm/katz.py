@@ -36,8 +36,8 @@ class Katz:
 
     discounted: int = 5  # counts up to this are discounted after Good and Turing
     large: float = 0.5  # what larger counts lose, so that every context keeps something
-    block: int = 4_000_000  # tokens of a block (a longer text is a block of its own)
-    bucket: int = 1_500_000  # keys sent to a bucket, on average
+    block: int = 1_500_000  # tokens of a block (a longer text is a block of its own)
+    bucket: int = 1_000_000  # keys sent to a bucket, on average
 
 
 END = xxhash.xxh3_64_intdigest(b"end of text", seed=1)
