@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import pytest
+
+from vendaval.llm.quality import Training, keep_good, score_quality
+
+
+@pytest.fixture(scope="module")
+def tables(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def test_held_out_rows_are_told_apart(tables):
+    docs, labels = tables
+    rows = score_quality(docs, labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    held = [(truth[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in truth]
+    good = [p for q, p in held if q == 1]
+    assert len(held) > 40 and sum(q == p for q, p in held) / len(held) > 0.93
+    assert sum(good) / len(good) > 0.97
+    assert {tuple(r) for r in score_quality(docs.repartition(6), labels).collect()} == {tuple(r) for r in rows}
+
+
+def test_held_out_labels_are_never_read(tables, spark):
+    docs, labels = tables
+    from pyspark.sql import functions as F
+
+    from vendaval.llm.shared import held_out
+
+    turned = labels.withColumn("quality", F.when(held_out(F.col("doc_id"), 0), 1 - F.col("quality")).otherwise(F.col("quality")))
+    once = {(r.doc_id, r.score) for r in score_quality(docs, labels).collect()}
+    assert {(r.doc_id, r.score) for r in score_quality(docs, turned).collect()} == once
+
+
+def test_odd_rows(tables, documents, odd_rows, spark):
+    _, labels = tables
+    docs = documents(odd_rows, clashing=True)
+    few = spark.createDataFrame([(4, 1), (6, 0), (6, None), (None, 1), (77, 1)], "doc_id long, quality int")
+    rows = score_quality(docs, few).collect()
+    assert len(rows) == len(odd_rows) and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (1, 5)}) == 1
+    assert keep_good(docs, few, least=0.0).columns == docs.columns
+
+
+def test_without_labels(documents, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    docs = documents([(1, "a b c"), (2, None)])
+    assert [r.score for r in score_quality(docs, none).collect()] == [0.5, 0.5]
+    assert score_quality(documents([]), none).collect() == []
+    only_good = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    many = documents([(i, f"text {i}") for i in range(40)])
+    assert all(r.predicted == 1 for r in score_quality(many, only_good, training=Training(calibration=50)).collect())
