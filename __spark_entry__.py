@@ -24,6 +24,7 @@ from vendaval.operators import (
     changed_since,
     delta_profile,
     duplicate_keys,
+    entity_rules,
     highest_id,
     insert_if_absent,
     orphans,
@@ -37,13 +38,19 @@ from vendaval.operators import (
 )
 from vendaval.operators import manifest as manifests
 from vendaval.plans import reports
+from vendaval.plans.batch_views import read_batch_view, refresh_batch_views
 from vendaval.plans.checks import referential_report
 from vendaval.plans.extract import extract_table
-from vendaval.plans.gold_views import exact_gold_view, gold_view, straddling_windows
+from vendaval.plans.gold_views import (
+    exact_gold_view,
+    gold_view,
+    refresh_gold_views,
+    straddling_windows,
+)
 from vendaval.plans.ingest import ingest_table, pending_snapshots, read_master
 from vendaval.plans.layout import Layout
 from vendaval.session import shared_folder
-from vendaval.sources.events import decode_events, encode_events
+from vendaval.sources.events import decode_events, encode_events, quarantined_events
 from vendaval.sources.files import read_snapshots
 from vendaval.sources.frames import FrameSource
 from vendaval.sources.tpch import TpchShop, event_columns
@@ -57,7 +64,13 @@ from vendaval.specs import (
     WINDOW,
     ViewSpec,
 )
-from vendaval.streaming import newer_than, speed_view
+from vendaval.streaming import (
+    newer_than,
+    read_stored_events,
+    speed_view,
+    start_event_store,
+    start_speed_views,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,10 +78,10 @@ SINCE = "1999-06-30 00:00:00"
 TODAY = "2001-06-15"
 RANGES = [("1996-01-01", "1996-03-01"), ("1998-05-10", "1998-05-20"), ("2000-12-24", "2001-01-02")]
 CUSTOMER_RULES = {
-    "cliente": r"^Customer#[0-9]{9}$",
-    "estado": r"^NATION_[0-9]{1,2}$",
-    "status": r"^(AUTOMOBILE|BUILDING|FURNITURE)$",
-    "saldo": r"^[0-9]{1,8}(\.[0-9]{1,2})?$",
+    "cliente": r"\ACustomer#[0-9]{9}\z",
+    "estado": r"\ANATION_[0-9]{1,2}\z",
+    "status": r"\A(AUTOMOBILE|BUILDING|FURNITURE)\z",
+    "saldo": r"\A[0-9]{1,8}(\.[0-9]{1,2})?\z",
 }
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.IntegerType())])
 
@@ -182,7 +195,7 @@ def _stream(view: ViewSpec) -> Query:
         stream = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/events.parquet*")
         folder = f"{shared_folder(spark)}/stream_{view.name}_{run_name()}"
         running = (
-            speed_view(newer_than(event_columns(stream), 0), view)
+            speed_view(newer_than(event_columns(stream), None), view)
             .writeStream.outputMode("append")
             .format("parquet")
             .option("path", f"{folder}/rows")
@@ -290,7 +303,7 @@ def _manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _manifest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifests.pending(_manifest(spark, sf_dir), "vendas", SINCE)
+    return manifests.pending(_manifest(spark, sf_dir), "vendas", SINCE[:7])
 
 
 def _retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,7 +323,7 @@ def _ingest_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = FrameSource(TpchShop(spark, sf_dir).operational_tables())
     layout = Layout(f"{shared_folder(spark)}/extract_{run_name()}")
     for until in (SINCE, None):
-        extract_table(spark, source, spec, layout, until=until, base="1900-01-01 00:00:00")
+        extract_table(spark, source, spec, layout, until=until, overlap_seconds=0)
     paths = [row["path"] for row in pending_snapshots(spark, layout, spec).collect()]
     return _plain(read_snapshots(spark, spec.schema, paths))
 
@@ -327,7 +340,6 @@ def _ingest_master(spark: SparkSession, sf_dir: str) -> DataFrame:
             spec,
             layout,
             until=until,
-            base="1900-01-01 00:00:00",
             overlap_seconds=86_400,
         )
         ingest_table(spark, layout, spec)
@@ -364,9 +376,131 @@ def _ingest_upsert(merge) -> Query:
     return query
 
 
+def _ingest_master_mutable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products twice: as they are, then with a price raised for every third of them."""
+    spec = TABLES["produtos"]
+    before = TpchShop(spark, sf_dir).operational_tables()["produtos"]
+    raised = F.col("id_produto") % 3 == 0
+    after = before.withColumns(
+        {
+            "preco": F.when(raised, F.col("preco") + 1).otherwise(F.col("preco")).cast("decimal(10,2)"),
+            "atualizacao": F.when(raised, F.lit(SINCE).cast("timestamp")),
+        }
+    )
+    layout = Layout(f"{shared_folder(spark)}/mutable_{run_name()}")
+    for rows in (before, after):
+        extract_table(spark, FrameSource({"produtos": rows}), spec, layout)
+        ingest_table(spark, layout, spec)
+    return _plain(read_master(spark, layout, spec))
+
+
+def _ingest_lines_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in two extractions; their key repeats, and the first line of each stays."""
+    spec = TABLES["itens_venda"]
+    source = FrameSource(TpchShop(spark, sf_dir).operational_tables())
+    layout = Layout(f"{shared_folder(spark)}/lines_{run_name()}")
+    for until in (SINCE, None):
+        extract_table(spark, source, spec, layout, until=until)
+        ingest_table(spark, layout, spec)
+    return _plain(read_master(spark, layout, spec))
+
+
+# Whole jobs: what they publish, read again
+
+
+def _job_batch(view: ViewSpec) -> Query:
+    """Two extractions and ingests, with a refresh after each: the second adds to the first."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = TABLES["vendas"]
+        source = FrameSource(TpchShop(spark, sf_dir).operational_tables())
+        layout = Layout(f"{shared_folder(spark)}/batch_{run_name()}")
+        for until in (SINCE, None):
+            extract_table(spark, source, spec, layout, until=until)
+            ingest_table(spark, layout, spec)
+            _done(refresh_batch_views(spark, layout))
+        return _plain(read_batch_view(spark, layout, view))
+
+    return query
+
+
+def _done(outcomes):
+    for outcome in outcomes:
+        if outcome.error is not None:
+            raise outcome.error
+    return {outcome.name: outcome.path for outcome in outcomes}
+
+
+def _event_sales(events: DataFrame) -> DataFrame:
+    """Events as sales, stored or streaming; the seller is made from the user."""
+    return event_columns(events).withColumn("id_vendedor", F.col("id_cliente") % 50)
+
+
+def _job_gold(view: ViewSpec, exact: bool) -> Query:
+    """Stored batch view and stored stream output, merged by the gold job.
+
+    The batch holds the sales up to the moment of three fifths of the ids; the stream
+    starts at two fifths. The exact view is made from the events the stream stored.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = TABLES["vendas"]
+        stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+        sales = _event_sales(stored).withColumns(
+            {"total": F.col("valor_total"), "criacao": F.col("timestamp")}
+        )
+        typed = sales.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])
+        ends = stored.agg(F.expr("max(event_id) * 2 div 5"), F.expr("max(event_id) * 3 div 5")).first()
+        until = stored.where(F.col("event_id") <= ends[1]).agg(F.max("ts").cast("string")).first()[0]
+        layout = Layout(f"{shared_folder(spark)}/gold_{run_name()}")
+        extract_table(spark, FrameSource({"vendas": typed}), spec, layout, until=until)
+        ingest_table(spark, layout, spec)
+        _done(refresh_batch_views(spark, layout))
+        # A glob, because a stream may not start from the path of a single file.
+        stream = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/events.parquet*")
+        events, once = _event_sales(stream), {"availableNow": True}
+        if exact:
+            value = F.to_json(F.struct(*[c for c in events.columns if c != "timestamp"]))
+            queries = start_event_store(events.select(value.alias("value"), "timestamp"), layout, trigger=once)
+        else:
+            queries = start_speed_views(newer_than(events, ends[0]), layout, trigger=once)
+        for running in queries:
+            running.awaitTermination()
+        recent = {"recent_sales": read_stored_events(spark, layout)} if exact else {}
+        paths = _done(refresh_gold_views(spark, layout, **recent))
+        return _plain(spark.read.parquet(paths[view.name]))
+
+    return query
+
+
 # Events and pricing
 
 
+def _event_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids beyond four bytes; some ids and amounts made unreadable, and counted by reason."""
+    records = TpchShop(spark, sf_dir).table("events").selectExpr(
+        """concat('{"id_venda":', if(event_id % 97 = 0, '"x"', string(event_id + 3000000000)),
+                  ',"valor_total":', case when event_id % 53 = 0 then '"NaN"'
+                                          when event_id % 59 = 0 then '1e20'
+                                          else string(value * 1000000) end, '}') AS value""",
+        "ts AS timestamp",
+    )
+    rejected = quarantined_events(records)
+    return rejected.groupBy("motivo").agg(F.count("*").alias("qtd"))
+
+
+def _speed_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speed rows with ids beyond four bytes and amounts beyond ten digits."""
+    events = TpchShop(spark, sf_dir).events
+    wide = events.withColumns(
+        {
+            "id_venda": F.col("id_venda") + 3_000_000_000,
+            "valor_total": F.col("valor_total").cast("decimal(10,2)") * 10_000_000,
+        }
+    )
+    return _plain(_flat_window(speed_view(newer_than(wide, None), DAILY_REVENUE)))
+
+
 def _event_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = TpchShop(spark, sf_dir).table("events").select(
         F.col("props").alias("value"), F.col("ts").alias("timestamp")
@@ -399,6 +533,37 @@ def _dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(rejected.withColumn("failed_rules", F.concat_ws(",", "failed_rules")))
 
 
+#: Entities made from the customer table, in SQL that both sides understand; some break a rule.
+_ENTITY = """
+    SELECT c_custkey AS id_cliente,
+           concat(substr(lpad(CAST(c_custkey AS STRING), 9, '0'), 1, 3), '.',
+                  substr(lpad(CAST(c_custkey AS STRING), 9, '0'), 4, 3), '.',
+                  substr(lpad(CAST(c_custkey AS STRING), 9, '0'), 7, 3), '-0',
+                  CAST(c_custkey % 10 AS STRING),
+                  CASE WHEN c_custkey % 7 = 0 THEN chr(10) ELSE '' END) AS cpf,
+           concat('(1', CAST(c_custkey % 11 AS STRING), ') 9', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'),
+                  '-1234') AS telefone,
+           concat('c', CAST(c_custkey AS STRING), CASE WHEN c_custkey % 13 = 0 THEN '@' ELSE '@loja.com' END) AS email,
+           concat('Cliente ', CASE WHEN c_custkey % 17 = 0 THEN 'X' ELSE 'Número' END) AS cliente,
+           CASE WHEN c_custkey % 19 = 0 THEN 'São Paulo' ELSE 'sp' END AS estado,
+           CASE c_custkey % 6 WHEN 0 THEN 'INDÍGENA' WHEN 1 THEN 'Branca' WHEN 2 THEN 'preta'
+                WHEN 3 THEN 'parda' WHEN 4 THEN 'amarela' ELSE 'outra' END AS origem_racial,
+           CASE WHEN c_custkey % 23 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'm' ELSE 'F' END AS sexo,
+           CASE c_custkey % 4 WHEN 0 THEN 'Silver' WHEN 1 THEN 'gold' WHEN 2 THEN 'Platinum'
+                ELSE 'Goldish' END AS status
+    FROM customer"""
+
+
+def _dq_entity(valid: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        customers = TpchShop(spark, sf_dir).table("customer")
+        entities = spark.sql(_ENTITY.replace("FROM customer", "FROM {customers}"), customers=customers)
+        rows = split_valid(entities, entity_rules("clientes"))[0 if valid else 1]
+        return rows if valid else rows.withColumn("failed_rules", F.concat_ws(",", "failed_rules"))
+
+    return query
+
+
 def _insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One brand is the stored catalogue; the products of all others arrive."""
     parts = (
@@ -464,6 +629,9 @@ def _shop_queries() -> dict[str, Query]:
         layers[f"stream_{short}"] = _stream(view)
         layers[f"gold_{short}"] = _gold(view)
         layers[f"gold_{short}_exact"] = _gold_exact(view)
+        layers[f"job_batch_{short}"] = _job_batch(view)
+        layers[f"job_gold_{short}"] = _job_gold(view, exact=False)
+        layers[f"job_gold_{short}_exact"] = _job_gold(view, exact=True)
     return layers | {
         "gold_straddling_windows": _straddling,
         "top1_cutoff": _top1_cutoff,
@@ -485,6 +653,12 @@ def _shop_queries() -> dict[str, Query]:
         "retention_keep": _retention_keep,
         "retention_expired": _retention_expired,
         "ingest_delta": _ingest_delta,
+        "ingest_master_mutable": _ingest_master_mutable,
+        "ingest_lines_unique": _ingest_lines_unique,
+        "event_quarantine": _event_quarantine,
+        "speed_wide_amounts": _speed_wide,
+        "dq_entity_valid": _dq_entity(True),
+        "dq_entity_quarantine": _dq_entity(False),
         "ingest_master": _ingest_master,
         "ingest_append_missing": _ingest_append_missing,
         "ingest_upsert": _ingest_upsert(upsert),
@@ -579,7 +753,7 @@ def _speed_sql(view: ViewSpec) -> str:
 
 def _stream_sql(view: ViewSpec) -> str:
     return f"""
-        WITH g AS ({_window_groups(view, "event_id > 0")})
+        WITH g AS ({_window_groups(view, "event_id IS NOT NULL")})
         SELECT {_window_columns(view)} FROM g
         WHERE window_start + INTERVAL '10 seconds'
               <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '10 seconds' FROM events)"""
@@ -612,6 +786,31 @@ def _gold_sql(view: ViewSpec) -> str:
         FROM g"""
 
 
+def _job_batch_sql(view: ViewSpec) -> str:
+    if view is not SELLER_SALES:
+        return _batch_sql(view)
+    sellers = "(SELECT l_orderkey AS s, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1)"
+    sql = _batch_sql(view).replace("l_orderkey", "o_orderkey").replace("l_extendedprice", "o_totalprice")
+    return sql.replace("FROM lineitem", f"FROM orders LEFT JOIN {sellers} ON s = o_orderkey")
+
+
+def _job_gold_sql(view: ViewSpec) -> str:
+    in_batch = f"ts <= (SELECT max(ts) FROM events WHERE {_IN_BATCH})"
+    newer = "WHERE maior_id > (SELECT max(maior_id) FROM b)"
+    closed = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '10 seconds' FROM events)"
+    sql = _gold_sql(view).replace(_IN_BATCH, in_batch).replace("event_type", "user_id % 50")
+    return sql.replace(newer, f"{newer} AND window_start + INTERVAL '10 seconds' <= {closed}")
+
+
+def _entity_sql(condition: str, *columns: str) -> str:
+    tests = [
+        f"CASE WHEN NOT coalesce(regexp_matches({c}, '{p.replace('(?iu)', '(?i)')}'), false) THEN '{c}' END"
+        for c, p in entity_rules("clientes").items()
+    ]
+    failed = f"concat_ws(',', {', '.join(tests)})"
+    return f"SELECT * {' '.join(columns)} FROM (SELECT *, {failed} AS failed_rules FROM ({_ENTITY})) WHERE {condition}"
+
+
 def _gold_exact_sql(view: ViewSpec) -> str:
     return f"""
         WITH g AS (
@@ -724,6 +923,9 @@ def _shop_sql() -> dict[str, str]:
         layers[f"stream_{short}"] = _stream_sql(view)
         layers[f"gold_{short}"] = _gold_sql(view)
         layers[f"gold_{short}_exact"] = _gold_exact_sql(view)
+        layers[f"job_batch_{short}"] = _job_batch_sql(view)
+        layers[f"job_gold_{short}"] = _job_gold_sql(view)
+        layers[f"job_gold_{short}_exact"] = _gold_exact_sql(view).replace("event_type", "user_id % 50")
 
     daily = _batch_sql(DAILY_REVENUE)
     ranges = " OR ".join(
@@ -802,10 +1004,43 @@ def _shop_sql() -> dict[str, str]:
             SELECT "table", max({moment}) AS date FROM ({_MANIFEST}) GROUP BY 1""",
         "manifest_pending": f"""
             SELECT * FROM ({_MANIFEST})
-            WHERE "table" = 'vendas' AND {moment} > TIMESTAMP '{SINCE}'""",
+            WHERE "table" = 'vendas' AND split_part(path, '/', -1) > '{SINCE[:7]}'""",
         "retention_keep": f"SELECT * FROM ({_MANIFEST}) WHERE {moment} > {limit}",
         "retention_expired": f"SELECT * FROM ({_MANIFEST}) WHERE {moment} <= {limit}",
         "ingest_delta": _STORED_SALES,
+        "ingest_master_mutable": f"""
+            SELECT p_partkey AS id_produto, p_name AS produto,
+                   p_retailprice + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS preco,
+                   TIMESTAMP '1995-01-01 00:00:00' AS criacao,
+                   CASE WHEN p_partkey % 3 = 0 THEN TIMESTAMP '{SINCE}' END AS atualizacao
+            FROM part""",
+        "ingest_lines_unique": f"""
+            SELECT id_produto, id_venda, quantidade, {_money("u")} AS valor_unitario, valor_total,
+                   {_money("d")} AS desconto, criacao
+            FROM (SELECT *, row_number() OVER (
+                      PARTITION BY id_produto, id_venda
+                      ORDER BY criacao, quantidade, u, valor_total, d) AS n
+                  FROM (SELECT l_partkey AS id_produto, l_orderkey AS id_venda,
+                               CAST(l_quantity AS INTEGER) AS quantidade, {_UNIT_CENTS} AS u,
+                               l_extendedprice AS valor_total, {_DISCOUNT_CENTS} AS d,
+                               l_shipdate AS criacao
+                        FROM lineitem))
+            WHERE n = 1""",
+        "event_quarantine": """
+            SELECT CASE WHEN event_id % 97 = 0 THEN 'id_venda' ELSE 'valor_total' END AS motivo,
+                   count(*) AS qtd
+            FROM events WHERE event_id % 97 = 0 OR event_id % 53 = 0 OR event_id % 59 = 0
+            GROUP BY 1""",
+        "speed_wide_amounts": f"""
+            SELECT time_bucket(INTERVAL '{WINDOW}', ts) AS window_start,
+                   time_bucket(INTERVAL '{WINDOW}', ts) + INTERVAL '{WINDOW}' AS window_end,
+                   CAST(ts AS DATE) AS data, max(event_id) + 3000000000 AS maior_id,
+                   min(event_id) + 3000000000 AS menor_id, count(*) AS qtd_vendas,
+                   {_money(f"sum({_cents('value')}) * 10000000")} AS total_faturado,
+                   {_mean(f"(sum({_cents('value')}) * 10000000)", "count(*)")} AS ticket_medio
+            FROM events GROUP BY 1, 2, 3""",
+        "dq_entity_valid": _entity_sql("failed_rules = ''", "EXCLUDE (failed_rules)"),
+        "dq_entity_quarantine": _entity_sql("failed_rules <> ''"),
         "ingest_master": _STORED_SALES,
         "ingest_append_missing": f"""
             SELECT l_orderkey AS id_venda, l_partkey AS id_produto, l_suppkey AS id_vendedor,
@@ -823,10 +1058,10 @@ def _shop_sql() -> dict[str, str]:
             SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, ts AS timestamp
             FROM events""",
         "event_encode": f"""
-            SELECT CAST(id_vendedor AS INTEGER) AS id_vendedor,
-                   CAST(o_custkey AS INTEGER) AS id_cliente,
-                   CAST(l_partkey AS INTEGER) AS id_produto,
-                   CAST(l_orderkey AS INTEGER) AS id_venda,
+            SELECT CAST(id_vendedor AS BIGINT) AS id_vendedor,
+                   CAST(o_custkey AS BIGINT) AS id_cliente,
+                   CAST(l_partkey AS BIGINT) AS id_produto,
+                   CAST(l_orderkey AS BIGINT) AS id_venda,
                    CAST(l_quantity AS INTEGER) AS quantidade,
                    {_money(_UNIT_CENTS)} AS valor_unitario, l_extendedprice AS valor_total,
                    {_money(_DISCOUNT_CENTS)} AS desconto, CAST(o_orderdate AS DATE) AS data,

@@ -22,8 +22,15 @@ from vendaval.plans import (
 )
 from vendaval.session import session
 from vendaval.sources import JdbcSource, decode_events, read_kafka
-from vendaval.specs import WINDOW
-from vendaval.streaming import newer_than, start_gold_refresh, start_speed_views, starting_cutoff
+from vendaval.specs import BASE_WATERMARK, OVERLAP_SECONDS, WINDOW
+from vendaval.streaming import (
+    newer_than,
+    read_stored_events,
+    start_event_store,
+    start_gold_refresh,
+    start_speed_views,
+    starting_cutoff,
+)
 
 
 def parse(arguments: list[str]) -> argparse.Namespace:
@@ -40,14 +47,17 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     extract.add_argument("--driver", required=True)
     extract.add_argument("--user", required=True)
     extract.add_argument("--connections", type=int, default=3)
-    extract.add_argument("--overlap-seconds", type=float, default=0)
+    extract.add_argument("--overlap-seconds", type=float, default=OVERLAP_SECONDS)
+    extract.add_argument("--base", default=BASE_WATERMARK, help="skip rows up to this moment")
     extract.add_argument("--until", help="common upper bound of the run")
     extract.add_argument("--purge", action="store_true", help="delete old ingested snapshots")
 
     ingest = job("ingest", "pending snapshots into the master datasets")
     ingest.add_argument("--mode", choices=["upsert", "append", "replace"])
 
-    job("batch", "batch views from the sales master").add_argument("--salt")
+    batch = job("batch", "batch views from the sales master")
+    batch.add_argument("--salt")
+    batch.add_argument("--full", action="store_true", help="from all sales, not just new ones")
 
     speed = job("speed", "speed views from the event stream, until stopped")
     speed.add_argument("--servers", required=True)
@@ -57,6 +67,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
 
     gold = job("gold", "gold views from batch and speed")
     gold.add_argument("--follow", action="store_true", help="refresh on every new speed window")
+    gold.add_argument("--exact", action="store_true", help="from the stored events, sale by sale")
+    gold.add_argument("--salt")
     return parser.parse_args(arguments)
 
 
@@ -79,17 +91,19 @@ def main(arguments: list[str]) -> int:
             layout,
             until=options.until,
             overlap_seconds=options.overlap_seconds,
+            base=options.base,
         )
         if options.purge:
             purge_snapshots(spark, layout)
     elif options.job == "ingest":
         outcomes = ingest_all(spark, layout, mode=options.mode)
     elif options.job == "batch":
-        outcomes = refresh_batch_views(spark, layout, salt=options.salt)
+        outcomes = refresh_batch_views(spark, layout, salt=options.salt, full=options.full)
     elif options.job == "speed":
-        events = decode_events(read_kafka(spark, options.servers))
+        records = read_kafka(spark, options.servers)
+        start_event_store(records, layout, trigger={"processingTime": options.every})
         start_speed_views(
-            newer_than(events, starting_cutoff(spark, layout)),
+            newer_than(decode_events(records), starting_cutoff(spark, layout)),
             layout,
             trigger={"processingTime": options.every},
             files_per_batch=options.files_per_batch,
@@ -99,6 +113,9 @@ def main(arguments: list[str]) -> int:
     elif options.follow:
         start_gold_refresh(spark, layout)
         spark.streams.awaitAnyTermination()
+    elif options.exact:
+        events = read_stored_events(spark, layout)
+        outcomes = refresh_gold_views(spark, layout, recent_sales=events, salt=options.salt)
     else:
         outcomes = refresh_gold_views(spark, layout)
     return 1 if any(outcome.error for outcome in outcomes) else 0

@@ -13,8 +13,19 @@ from pyspark.sql import functions as F
 
 from vendaval.functions import sum_money
 from vendaval.operators import rollup
-from vendaval.plans import batch_view, exact_gold_view, gold_view, straddling_windows
-from vendaval.specs import CUSTOMER_TICKET, DAILY_REVENUE, SELLER_SALES, VIEWS
+from vendaval.plans import (
+    batch_view,
+    exact_gold_view,
+    extract_table,
+    gold_view,
+    ingest_table,
+    refresh_batch_views,
+    straddling_windows,
+)
+from vendaval.plans.batch_views import read_batch_view
+from vendaval.sources import FrameSource
+from vendaval.sources.files import delete_path, list_names
+from vendaval.specs import CUSTOMER_TICKET, DAILY_REVENUE, SELLER_SALES, TABLES, VIEWS
 from vendaval.streaming import newer_than, speed_view
 
 
@@ -191,3 +202,40 @@ def test_rows_without_an_id_are_dropped(spark):
 def test_dates_and_totals_are_python_values(batch):
     row = batch.orderBy("data").first()
     assert row["data"] == date(2025, 4, 10) and row["total_faturado"] == Decimal("150.55")
+
+
+def test_batch_views_read_only_new_commits(spark, layout):
+    spec = TABLES["vendas"]
+    for upto in (4, 7):
+        source = FrameSource({"vendas": shop.sales(spark, shop.GOLDEN_SALES[:upto])})
+        extract_table(spark, source, spec, layout, overlap_seconds=0)
+        ingest_table(spark, layout, spec)
+        assert all(o.error is None for o in refresh_batch_views(spark, layout))
+        if upto == 4:
+            # What the first refresh has read is not looked at again.
+            (first,) = [n for n in list_names(spark, layout.master("vendas"))]
+            commit = [n for n in list_names(spark, f"{layout.master('vendas')}/{first}")][0]
+            for month in list_names(spark, f"{layout.master('vendas')}/{first}/{commit}"):
+                if month.startswith("mes="):
+                    delete_path(spark, f"{layout.master('vendas')}/{first}/{commit}/{month}")
+    for view in VIEWS.values():
+        stored = read_batch_view(spark, layout, view)
+        assert shop.rows_of(stored) == shop.rows_of(rollup(shop.sales(spark), view, "total"))
+
+
+def test_full_refresh_starts_from_all_sales(spark, layout):
+    spec = TABLES["vendas"]
+    extract_table(spark, FrameSource({"vendas": shop.sales(spark)}), spec, layout)
+    ingest_table(spark, layout, spec)
+    refresh_batch_views(spark, layout)
+    refresh_batch_views(spark, layout, full=True, salt="s")
+    for view in VIEWS.values():
+        wanted = rollup(shop.sales(spark), view, "total", salt="s")
+        assert shop.rows_of(read_batch_view(spark, layout, view)) == shop.rows_of(wanted)
+
+
+def test_empty_batch_keeps_id_zero(spark):
+    batch = rollup(shop.sales(spark).where("false"), DAILY_REVENUE, "total")
+    events = shop.events(spark).withColumn("id_venda", F.col("id_venda") - 1)
+    gold = gold_view(batch, speed_view(events, DAILY_REVENUE), DAILY_REVENUE)
+    assert gold.agg(F.sum("qtd_vendas")).first()[0] == len(shop.GOLDEN_SALES)

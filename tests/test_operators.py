@@ -28,6 +28,7 @@ from vendaval.operators import (
 from vendaval.plans import reports
 from vendaval.plans.checks import referential_report
 from vendaval.sources import JdbcSource, empty, read_or_empty, read_snapshots
+from vendaval.sources.events import quarantined_events
 from vendaval.sources.jdbc import delta_query, profile_query
 from vendaval.specs import TABLES
 
@@ -351,3 +352,29 @@ def test_snapshots_are_aligned_by_name(spark, tmp_path):
     sales.where("id_venda > 3").select(*sales.columns[::-1]).write.parquet(str(tmp_path / "b"))
     rows = read_snapshots(spark, VENDAS.schema, [str(tmp_path / "a"), str(tmp_path / "b")])
     assert shop.rows_of(rows) == shop.rows_of(sales)
+
+
+def test_a_final_line_break_fails_a_format(spark):
+    rows = spark.createDataFrame([("123.456.789-00",), ("123.456.789-00\n",)], "cpf string")
+    valid, rejected = split_valid(rows, {"cpf": entity_rules("clientes")["cpf"]})
+    assert valid.count() == rejected.count() == 1
+
+
+def test_hot_parent_key_is_reduced_before_the_join(spark):
+    sales = spark.range(10).select(F.col("id").alias("id_venda"))
+    lines = spark.range(1000).select(F.lit(3).cast("long").alias("id_venda"))
+    found = orphans(sales, lines, "id_venda")
+    assert found.count() == 9
+    plan = found._jdf.queryExecution().toString().split("Physical Plan")[1]
+    anti = plan[plan.index("LeftAnti") :]
+    assert anti.count("HashAggregate") >= 2
+
+
+def test_quarantined_events(spark):
+    def record(sale, amount):
+        return (f'{{"id_venda":{sale},"valor_total":{amount}}}', "2025-04-10 10:00:00")
+
+    texts = [record(1, "5.5"), record('"x"', "1"), record(2, '"NaN"'), record(3, "1e20"), record(4, "1e15"), ("{", None)]
+    records = spark.createDataFrame(texts, "value string, timestamp string").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    found = quarantined_events(records).select("motivo").collect()
+    assert sorted(r["motivo"] for r in found) == ["id_venda", "id_venda", "valor_total", "valor_total"]

@@ -1,6 +1,7 @@
 """Column expressions shared by every layer."""
 
 from vendaval.functions.columns import (
+    EVENT_TOTAL,
     MONEY,
     TOTAL,
     event_money,
@@ -14,6 +15,7 @@ from vendaval.functions.columns import (
 )
 
 __all__ = [
+    "EVENT_TOTAL",
     "MONEY",
     "TOTAL",
     "event_money",

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)
+EVENT_MONEY = T.DecimalType(18, 2)  # amounts from outside
 TOTAL = T.DecimalType(20, 2)  # what Spark gives to sum(MONEY)
-_WHOLE = T.DecimalType(20, 0)
-_LOW_BITS = 20
+EVENT_TOTAL = T.DecimalType(28, 2)
+_WHOLE = T.DecimalType(26, 0)
+_BITS = 20
 _MEAN = T.DecimalType(14, 6)  # what Spark gives to avg(MONEY)
+_EVENT_MEAN = T.DecimalType(24, 6)
 
 
 def _column(value: str | Column) -> Column:
@@ -27,37 +30,41 @@ def money(amount: str | Column) -> Column:
 
 
 def event_money(amount: str | Column) -> Column:
-    """Like :func:`money` for amounts from outside: one that is no such amount is null.
+    """Like :func:`money` for amounts from outside, up to sixteen digits before the point.
 
-    A stream must not end on a single absurd record.
+    What is no such amount (not a number, infinite, longer) is null, because a stream must
+    not end on a single absurd record; such records are quarantined.
     """
-    return _column(amount).try_cast(MONEY)
+    return _column(amount).try_cast(EVENT_MONEY)
 
 
-def sum_money(amount: str | Column) -> Column:
-    """Exact sum of amounts; null when there are none.
+def sum_money(amount: str | Column, total: T.DecimalType = TOTAL) -> Column:
+    """Exact sum of amounts as ``total``; null when there are none.
 
     A sum of decimals needs 16-byte values in every buffer and shuffled row, and one bigint
     of cents could overflow on very large groups. So the cents are summed as two bigints,
-    the multiples of 2**20 and the rest, which holds for 2**43 amounts per group.
+    the multiples of 2**20 and the rest, which holds for 2**43 amounts of up to 10**10 cents
+    per group, or 2**23 of the largest.
     """
-    cents = (money(amount) * 100).cast("long")
-    high = F.sum(F.shiftright(cents, _LOW_BITS)).cast(_WHOLE)
-    low = F.sum(cents.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast(_WHOLE)
-    return ((high * (1 << _LOW_BITS) + low) * F.lit(Decimal("0.01"))).cast(TOTAL)
+    kind = MONEY if total == TOTAL else EVENT_MONEY
+    cents = (_column(amount).cast(kind) * 100).cast("long")
+    high = F.sum(F.shiftright(cents, _BITS)).cast(_WHOLE)
+    low = F.sum(cents.bitwiseAND(F.lit((1 << _BITS) - 1))).cast(_WHOLE)
+    return ((high * (1 << _BITS) + low) * F.lit(Decimal("0.01"))).cast(total)
 
 
-def mean(total: str | Column, count: str | Column) -> Column:
+def mean(total: str | Column, count: str | Column, *, wide: bool = False) -> Column:
     """``avg(x)`` of amounts from their sum and count, so only one sum is kept per group.
 
-    Null when nothing was counted.
+    Null when nothing was counted. ``wide`` is for amounts from outside.
     """
-    return (_column(total).cast(TOTAL) / F.nullif(_column(count), F.lit(0))).cast(_MEAN)
+    kinds = (EVENT_TOTAL, _EVENT_MEAN) if wide else (TOTAL, _MEAN)
+    return (_column(total).cast(kinds[0]) / F.nullif(_column(count), F.lit(0))).cast(kinds[1])
 
 
-def mean_money(total: str | Column, count: str | Column) -> Column:
+def mean_money(total: str | Column, count: str | Column, *, wide: bool = False) -> Column:
     """``round(avg(x), 2)`` from the sum and the count."""
-    return F.round(mean(total, count), 2)
+    return F.round(mean(total, count, wide=wide), 2)
 
 
 def pseudonym(identifier: str | Column, salt: str | None = None) -> Column:

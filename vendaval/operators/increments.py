@@ -29,14 +29,15 @@ def changed_since(
 
     A plain disjunction over the stored columns, so it reaches the Parquet or JDBC scan
     as a pushed filter. A null ``atualizacao`` does not hide a new row. With ``until``
-    rows beyond that moment wait for the next run, which lets several tables share one
-    upper bound and a profile agree with the read that follows it.
+    rows created beyond that moment wait for the next run, which lets several tables share
+    one upper bound. A row created before and updated beyond it is not put off: it comes as
+    it is now.
     """
     newer = [F.col(c) > F.lit(since) for c in version_columns]
     condition = reduce(lambda a, b: a | b, newer)
     if until is not None:
-        for c in version_columns:
-            condition = condition & (F.col(c).isNull() | (F.col(c) <= F.lit(until)))
+        created = F.col(version_columns[0])
+        condition = condition & (created.isNull() | (created <= F.lit(until)))
     return rows.where(condition)
 
 

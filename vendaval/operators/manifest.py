@@ -18,10 +18,15 @@ def latest(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("table").agg(F.max(_moment(manifest)).alias("date"))
 
 
-def pending(manifest: DataFrame, table: str, since: str) -> DataFrame:
-    """Snapshots of a table newer than a watermark, oldest first."""
-    newer = of_table(manifest, table).where(_moment(manifest) > F.to_timestamp(F.lit(since)))
-    return newer.orderBy("date", "path")
+def snapshot_of(path: str = "path") -> Column:
+    """Name of the snapshot a path leads to; names sort in the order of the extractions."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def pending(manifest: DataFrame, table: str, done: str | None) -> DataFrame:
+    """Snapshots of a table that come after the last one ingested, if any was."""
+    entries = of_table(manifest, table)
+    return entries if done is None else entries.where(snapshot_of() > F.lit(done))
 
 
 def split_expired(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendaval.functions import mean_money, pseudonym, sum_money
+from vendaval.functions import EVENT_TOTAL, TOTAL, mean_money, pseudonym, sum_money
 from vendaval.specs import ViewSpec
 
 
@@ -17,6 +17,7 @@ def rollup(
     id_column: str = "id_venda",
     window: Column | None = None,
     salt: str | None = None,
+    wide: bool = False,
 ) -> DataFrame:
     """Highest id, number, sum and mean of the sales per view key.
 
@@ -25,13 +26,14 @@ def rollup(
     partial form, so a key that holds a third of the sales leaves each map task as a
     single row. With ``window`` the groups are per window and key, and ``menor_id``
     (the lowest id) is kept too, which shows windows that straddle a batch cutoff.
+    ``wide`` is for amounts from outside, which may be longer than the tables' own.
     """
     key = F.col(view.source_key)
     keys = [(key.cast(view.key_type) if not view.hashed else key).alias("_key")]
     aggregates = [
         F.max(id_column).cast("long").alias("maior_id"),
         F.count(id_column).alias("qtd_vendas"),
-        sum_money(amount).alias(view.total),
+        sum_money(amount, EVENT_TOTAL if wide else TOTAL).alias(view.total),
         F.count(amount).alias("_amounts"),
     ]
     columns = ["maior_id", "qtd_vendas", view.total]
@@ -46,6 +48,36 @@ def rollup(
         *(["window"] if window is not None else []),
         view_key.alias(view.key),
         *columns,
+        mean_money(view.total, "_amounts", wide=wide).alias("ticket_medio"),
+    )
+
+
+def sales_state(sales: DataFrame, view: ViewSpec, amount: str) -> DataFrame:
+    """What a batch view is made of, per raw key; states of disjoint sales merge exactly."""
+    key = F.col(view.source_key)
+    return sales.groupBy(key.cast(view.state_type).alias("_key")).agg(
+        F.max("id_venda").cast("long").alias("maior_id"),
+        F.count("id_venda").alias("qtd_vendas"),
+        sum_money(amount).alias(view.total),
+        F.count(amount).alias("_amounts"),
+    )
+
+
+def merge_states(states: DataFrame, view: ViewSpec) -> DataFrame:
+    return states.groupBy("_key").agg(
+        F.max("maior_id").alias("maior_id"),
+        F.sum("qtd_vendas").alias("qtd_vendas"),
+        F.sum(view.total).cast(TOTAL).alias(view.total),
+        F.sum("_amounts").alias("_amounts"),
+    )
+
+
+def view_of_state(state: DataFrame, view: ViewSpec, salt: str | None = None) -> DataFrame:
+    return state.select(
+        (pseudonym("_key", salt) if view.hashed else F.col("_key")).alias(view.key),
+        "maior_id",
+        "qtd_vendas",
+        view.total,
         mean_money(view.total, "_amounts").alias("ticket_medio"),
     )
 

@@ -36,6 +36,20 @@ def newest_per_key(
     return rows.withColumn("_position", position).where("_position = 1").drop("_position")
 
 
+def oldest_per_key(
+    rows: DataFrame, key: Sequence[str], version_columns: Sequence[str]
+) -> DataFrame:
+    """One row per key: the first created, as a table that only grows keeps it.
+
+    Ties go to the least remaining columns in order.
+    """
+    rest = [c for c in rows.columns if c not in key]
+    ordering = [row_version(version_columns).asc_nulls_last()]
+    ordering += [F.col(c).asc_nulls_last() for c in rest]
+    position = F.row_number().over(Window.partitionBy(*key).orderBy(*ordering))
+    return rows.withColumn("_position", position).where("_position = 1").drop("_position")
+
+
 def upsert(
     master: DataFrame,
     delta: DataFrame,
@@ -44,7 +58,8 @@ def upsert(
 ) -> DataFrame:
     """Master plus delta with one row per key, the newest version; delta wins ties.
 
-    Suits a delta of any size: both sides are shuffled once, on the key.
+    Suits a delta of any size and a master that repeats keys: both are shuffled once, on the
+    key.
     """
     rows = master.withColumn(_RANK, F.lit(0)).unionByName(delta.withColumn(_RANK, F.lit(1)))
     return newest_per_key(rows, key, version_columns, prefer=_RANK).drop(_RANK)
@@ -70,8 +85,10 @@ def upsert_small_delta(
 
 
 def append_missing(master: DataFrame, delta: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Delta rows whose key the master does not hold yet."""
-    return delta.join(master.select(*key), list(key), "left_anti")
+    """Delta rows whose key the master does not hold yet; nulls in a key equal one another."""
+    # Only the keys in question, once each: a small delta leaves the master out of the shuffle.
+    stored = _null_safe_join(master.select(*key), delta.select(*key).distinct(), key, "left_semi")
+    return _null_safe_join(delta, stored.distinct(), key, "left_anti")
 
 
 def insert_if_absent(
@@ -91,7 +108,7 @@ def insert_if_absent(
         Window.partitionBy(natural_key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     )
     first_arrivals = keyed.withColumn("_position", first).where("_position = 1").drop("_position")
-    new = first_arrivals.join(existing.select(natural_key), natural_key, "left_anti")
+    new = first_arrivals.join(existing.select(natural_key).distinct(), natural_key, "left_anti")
     return new.unionByName(incoming.where(key.isNull()))
 
 

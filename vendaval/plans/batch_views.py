@@ -1,4 +1,4 @@
-"""Batch views: the three rollups over the whole sales master."""
+"""Batch views: the three rollups over the sales master, kept up commit by commit."""
 
 from __future__ import annotations
 
@@ -6,11 +6,16 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendaval.operators.rollup import rollup
-from vendaval.plans.ingest import read_master
+from vendaval.operators.rollup import merge_states, rollup, sales_state, view_of_state
 from vendaval.plans.layout import Layout
 from vendaval.plans.outcomes import Outcome, run_each
-from vendaval.sources.versioned import last_commit, publish, read_current
+from vendaval.sources.versioned import (
+    commits_after,
+    last_commit,
+    publish,
+    read_commits,
+    read_current,
+)
 from vendaval.specs import TABLES, VIEWS, ViewSpec
 
 log = logging.getLogger(__name__)
@@ -26,17 +31,38 @@ def read_batch_view(spark: SparkSession, layout: Layout, view: ViewSpec) -> Data
 
 
 def refresh_batch_views(
-    spark: SparkSession, layout: Layout, *, salt: str | None = None, workers: int = 3
+    spark: SparkSession,
+    layout: Layout,
+    *,
+    salt: str | None = None,
+    full: bool = False,
+    workers: int = 3,
 ) -> list[Outcome]:
-    """Recompute and publish the batch views, each stored in the order of its key."""
-    if last_commit(spark, layout.master("vendas")) is None:
+    """Publish the batch views, each stored in the order of its key.
+
+    Each view keeps a state per raw key. The sales master only grows, so just the commits
+    since the last refresh are read and merged into it. A master that was replaced, or
+    ``full``, starts a new state from all sales.
+    """
+    root = layout.master("vendas")
+    if last_commit(spark, root) is None:
         log.info("no sales master yet, batch views left as they are")
         return []
-    sales = read_master(spark, layout, TABLES["vendas"])
 
     def refresh(name: str) -> Outcome:
         view = VIEWS[name]
-        rows = batch_view(sales, view, salt).orderBy(view.key)
-        return Outcome(name, path=publish(rows, layout.batch_view(name)))
+        base, every = commits_after(spark, root, None)
+        kept = layout.batch_state(name, base)
+        done = None if full else last_commit(spark, kept)
+        new = [c for c in every if done is None or c > done]
+        if new:
+            sales = read_commits(spark, root, base, new, TABLES["vendas"].schema)
+            state = sales_state(sales, view, "total")
+            if done is not None:
+                stored = read_current(spark, kept, view.state_schema)
+                state = merge_states(stored.unionByName(state), view)
+            publish(state, kept, new[-1])
+        rows = view_of_state(read_current(spark, kept, view.state_schema), view, salt)
+        return Outcome(name, path=publish(rows.orderBy(view.key), layout.batch_view(name)))
 
     return run_each(spark, refresh, VIEWS, workers=workers)

@@ -19,11 +19,11 @@ from vendaval.sources.versioned import (
     last_commit,
     publish,
     read_current,
-    run_name,
 )
 from vendaval.specs import (
     BASE_WATERMARK,
     MANIFEST_SCHEMA,
+    OVERLAP_SECONDS,
     RETENTION_DAYS,
     TABLES,
     TableSpec,
@@ -69,22 +69,24 @@ def extract_table(
     spec: TableSpec,
     layout: Layout,
     *,
-    run: str | None = None,
     until: str | None = None,
-    overlap_seconds: float = 0,
+    overlap_seconds: float = OVERLAP_SECONDS,
     base: str = BASE_WATERMARK,
 ) -> Outcome:
     """Write the rows newer than the last snapshot, and record them.
 
-    The profile fixes the new watermark, and the read that follows is bounded by it, so the
-    snapshot holds exactly the rows up to its watermark even while the table keeps growing.
-    ``until`` gives the tables of one run a common upper bound. With ``overlap_seconds``
-    rows around the old watermark are read again, which catches rows committed late with an
-    older timestamp; ingesting is safe against the repetition. The manifest entry is written
-    only after the snapshot.
+    The profile fixes the new watermark, and the read that follows takes the rows created up
+    to it, even while the table keeps growing; one of them updated meanwhile comes in its
+    newer version, now and again in the next run. ``until`` gives the tables of one run a
+    common upper bound. Rows of ``overlap_seconds`` before the old watermark are read again,
+    which catches rows committed late within the same second; ingesting is safe against the
+    repetition. The manifest entry is written only after the snapshot. Snapshots are named
+    after watermark and number, so their order depends on no clock.
     """
     last = last_extracted(spark, layout, spec.name, base)
-    since = _text(datetime.fromisoformat(last) - timedelta(seconds=overlap_seconds))
+    since = last
+    if last != base:
+        since = _text(datetime.fromisoformat(last) - timedelta(seconds=overlap_seconds))
     profile = (
         source.profile(spark, spec, since, until)
         .select(
@@ -100,10 +102,12 @@ def extract_table(
         return Outcome(spec.name, 0, since)
 
     newest = max(profile["watermark"], last)
+    if until is not None:
+        newest = min(newest, max(_text(datetime.fromisoformat(until)), last))
     delta = source.delta(
         spark, spec, since, newest, profile["low_bound"], profile["upper_bound"]
     )
-    name = f"{snapshot_name(newest)}-{run or run_name()}"
+    name = f"{snapshot_name(newest)}-{_next_number(spark, layout, spec.name):08d}"
     path = f"{layout.snapshots(spec.name)}/{name}"
     written = Observation()
     delta.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
@@ -154,13 +158,22 @@ def purge_snapshots(
     rows = expired.select("table", "path").collect()  # metadata: a row per old snapshot
     ingested = {t: last_commit(spark, layout.master(t)) or "" for t in {r["table"] for r in rows}}
     doomed = [r["path"] for r in rows if r["path"].rsplit("/", 1)[-1] <= ingested[r["table"]]]
-    kept = manifest.where(~F.col("path").isin(doomed))
-    publish(kept.coalesce(1), layout.manifest)
+    gone = spark.createDataFrame([(path,) for path in doomed], "path string")
+    publish(manifest.join(gone, "path", "left_anti").coalesce(1), layout.manifest)
     for path in doomed:
         delete_path(spark, path)
     return doomed
 
 
+def _next_number(spark: SparkSession, layout: Layout, table: str) -> int:
+    """One more than the number of the table's last snapshot, whether still listed or ingested."""
+    number = F.element_at(F.split("path", "-"), -1).cast("long")
+    entries = manifests.of_table(read_manifest(spark, layout), table)
+    listed = entries.agg(F.max(number).alias("n")).first()["n"] or 0
+    done = last_commit(spark, layout.master(table))
+    return max(listed, int(done.rsplit("-", 1)[-1]) if done else 0) + 1
+
+
 def snapshot_name(watermark: str) -> str:
     """Directory-safe, sortable form of a watermark."""
     parsed = datetime.fromisoformat(watermark)

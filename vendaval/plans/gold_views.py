@@ -14,14 +14,18 @@ from vendaval.plans.layout import Layout
 from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.files import read_or_empty
 from vendaval.sources.versioned import last_commit, publish
-from vendaval.specs import EMPTY_BATCH_CUTOFF, VIEWS, ViewSpec
+from vendaval.specs import VIEWS, ViewSpec
 
 log = logging.getLogger(__name__)
 
 
-def batch_cutoff(batch: DataFrame) -> Column:
-    """Highest sale id in a batch view, as a scalar subquery inside the plan that uses it."""
-    return batch.agg(F.coalesce(F.max("maior_id"), F.lit(EMPTY_BATCH_CUTOFF))).scalar()
+def beyond_batch(id_column: str, batch: DataFrame) -> Column:
+    """Whether an id is beyond a batch view; every id is, if the view is empty.
+
+    The view's highest id is a scalar subquery inside the plan that uses it.
+    """
+    cutoff = batch.agg(F.max("maior_id").alias("maior_id")).scalar()
+    return F.col(id_column).isNotNull() & (cutoff.isNull() | (F.col(id_column) > cutoff))
 
 
 def gold_view(batch: DataFrame, speed: DataFrame, view: ViewSpec) -> DataFrame:
@@ -33,7 +37,7 @@ def gold_view(batch: DataFrame, speed: DataFrame, view: ViewSpec) -> DataFrame:
     avoids them. Sums are decimal until the last step.
     """
     columns = [view.key, "qtd_vendas", view.total, "ticket_medio"]
-    newer = speed.where(F.col("maior_id") > batch_cutoff(batch))
+    newer = speed.where(beyond_batch("maior_id", batch))
     return (
         batch.select(*columns)
         .unionByName(newer.select(*columns))
@@ -60,23 +64,22 @@ def exact_gold_view(
     Sales are cut at the batch's highest id one by one, so none counts twice, cents are
     kept, and the mean is total over count. ``recent_sales`` may hold older sales as well.
     """
-    newer = recent_sales.where(F.col(id_column) > batch_cutoff(batch))
+    newer = recent_sales.where(beyond_batch(id_column, batch))
     newer = newer.withColumn(amount, event_money(amount))
     columns = [view.key, "qtd_vendas", view.total]
-    recent = rollup(newer, view, amount, id_column=id_column, salt=salt)
+    recent = rollup(newer, view, amount, id_column=id_column, salt=salt, wide=True)
     return (
         batch.select(*columns)
         .unionByName(recent.select(*columns))
         .groupBy(view.key)
         .agg(F.sum("qtd_vendas").alias("qtd_vendas"), F.sum(view.total).alias(view.total))
-        .withColumn("ticket_medio", mean_money(view.total, "qtd_vendas"))
+        .withColumn("ticket_medio", mean_money(view.total, "qtd_vendas", wide=True))
     )
 
 
 def straddling_windows(batch: DataFrame, speed: DataFrame) -> DataFrame:
     """Speed windows with sales on both sides of the batch cutoff."""
-    cutoff = batch_cutoff(batch)
-    return speed.where((F.col("menor_id") <= cutoff) & (F.col("maior_id") > cutoff))
+    return speed.where(~beyond_batch("menor_id", batch) & beyond_batch("maior_id", batch))
 
 
 def read_speed_view(spark: SparkSession, layout: Layout, view: ViewSpec) -> DataFrame:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,19 +13,20 @@ from vendaval.operators import manifest as manifests
 from vendaval.operators.upsert import (
     append_missing,
     newest_per_key,
+    oldest_per_key,
     upsert,
-    upsert_small_delta,
 )
 from vendaval.plans.extract import read_manifest
 from vendaval.plans.layout import Layout
 from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.files import read_snapshots
 from vendaval.sources.versioned import (
+    drop_replaced_parts,
     extend,
     last_commit,
     publish,
     read_current,
-    run_name,
+    read_parts,
 )
 from vendaval.specs import TABLES, TableSpec
 
@@ -35,8 +36,8 @@ MODES = ("upsert", "append", "replace")
 MONTH = "mes"
 """Partition of append-only masters: the month a row was created, as yyyy-MM."""
 
-SMALL_DELTA_ROWS = 1_000_000
-"""Up to this many delta rows, an upsert leaves the untouched master rows out of the shuffle."""
+BUCKET, BUCKETS = "balde", 64
+"""Partition of mutable masters: a hash of the key. An ingest rewrites the buckets it touches."""
 
 
 def read_master(
@@ -49,7 +50,7 @@ def read_master(
     """
     root = layout.master(spec.name)
     if spec.mutable:
-        rows = read_current(spark, root, spec.schema)
+        rows = read_parts(spark, root, spec.schema, BUCKET)
     else:
         with_month = T.StructType([*spec.schema.fields, T.StructField(MONTH, T.StringType())])
         rows = read_current(spark, root, with_month)
@@ -66,18 +67,10 @@ def pending_snapshots(spark: SparkSession, layout: Layout, spec: TableSpec) -> D
     A commit of the master is named after the newest snapshot in it, so this compares names
     and never reads the master.
     """
-    entries = manifests.of_table(read_manifest(spark, layout), spec.name)
-    name = F.element_at(F.split("path", "/"), -1)
     done = last_commit(spark, layout.master(spec.name))
-    if done is not None:
-        entries = entries.where(name > F.lit(done))
-    return entries.select(
-        F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date"),
-        F.date_format("since", "yyyyMMdd'T'HHmmssSSSSSS").alias("since"),
-        F.date_format("since", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since_text"),
-        "path",
-        name.alias("name"),
-    )
+    entries = manifests.pending(read_manifest(spark, layout), spec.name, done)
+    date = F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date")
+    return entries.select(date, "path", manifests.snapshot_of().alias("name"))
 
 
 def ingest_table(
@@ -85,9 +78,10 @@ def ingest_table(
 ) -> Outcome:
     """Bring one master up to date.
 
-    * ``append`` (default for tables that only grow) adds one commit; stored rows are not
-      read, unless snapshots overlap: then rows already stored are left out.
-    * ``upsert`` (default for mutable tables) keeps the newest version per key.
+    * ``append`` (default for tables that only grow) adds one commit with the rows whose key
+      is not stored yet; of a key that comes several times the first row created stays.
+    * ``upsert`` (default for mutable tables) keeps the newest version per key. Only the
+      buckets of the keys that come in are read and written again.
     * ``replace`` makes the new rows the whole master.
 
     A master holds one row per key in every mode, so a mutable table is never appended to.
@@ -97,33 +91,32 @@ def ingest_table(
         raise ValueError(f"unknown ingest mode {mode!r}")
     if mode == "append" and spec.mutable:
         raise ValueError(f"appending to {spec.name} would store several versions of a row")
+    if mode == "upsert" and not spec.mutable:
+        raise ValueError(f"rows of {spec.name} do not change; append them")
     # Metadata only: a row per snapshot.
     entries = sorted(pending_snapshots(spark, layout, spec).collect(), key=lambda e: e["name"])
     if not entries:
         return Outcome(spec.name, 0)
     delta = read_snapshots(spark, spec.schema, [e["path"] for e in entries])
+    pick = newest_per_key if spec.mutable else oldest_per_key
     name = entries[-1]["name"]
     root = layout.master(spec.name)
 
-    overlap = _first_overlap(spark, layout, spec, entries)
     if mode == "append":
-        if overlap:
-            delta = newest_per_key(delta, spec.key, spec.version_columns)
-            stored = read_master(spark, layout, spec, since=overlap)
-            delta = append_missing(stored, delta, spec.key)
-        written, rows = _ready_to_write(delta, spec)
-        path = extend(rows, root, name, partition_by=_month_of(spec))
+        fresh = append_missing(read_master(spark, layout, spec), delta, spec.key)
+        written, rows = _ready_to_write(pick(fresh, spec.key, spec.version_columns), spec)
+        path = extend(rows, root, name, partition_by=MONTH)
     elif mode == "upsert":
-        merge = upsert_small_delta if delta.count() <= SMALL_DELTA_ROWS else upsert
-        master = read_master(spark, layout, spec)
-        merged = merge(master, delta, spec.key, spec.version_columns)
-        written, rows = _ready_to_write(merged, spec)
-        path = publish(rows, root, name, partition_by=_month_of(spec))
+        touched = delta.select(_bucket(spec).cast("string")).distinct().collect()
+        stored = read_parts(spark, root, spec.schema, BUCKET, only=[row[0] for row in touched])
+        written, rows = _ready_to_write(
+            upsert(stored, delta, spec.key, spec.version_columns), spec
+        )
+        path = extend(rows, root, name, partition_by=BUCKET)
+        drop_replaced_parts(spark, root, BUCKET)
     else:
-        if spec.mutable or overlap:
-            delta = newest_per_key(delta, spec.key, spec.version_columns)
-        written, rows = _ready_to_write(delta, spec)
-        path = publish(rows, root, name, partition_by=_month_of(spec))
+        written, rows = _ready_to_write(pick(delta, spec.key, spec.version_columns), spec)
+        path = publish(rows, root, name, partition_by=BUCKET if spec.mutable else MONTH)
 
     log.info("%s: %s rows written by %s", spec.name, written.get["rows"], mode)
     return Outcome(spec.name, written.get["rows"], entries[-1]["date"], path)
@@ -149,10 +142,12 @@ def ingest_all(
 def _ready_to_write(rows: DataFrame, spec: TableSpec) -> tuple[Observation, DataFrame]:
     """Rows laid out as the master is, and their count as a by-product of the write.
 
-    The hint makes each month a few well-sized files, and lets Spark split a month that is
-    much larger than the others. Rows are in time order within a file.
+    The hint makes each month, or bucket, a few well-sized files, and lets Spark split one
+    that is much larger than the others. Rows of a month are in time order within a file.
     """
-    if not spec.mutable:
+    if spec.mutable:
+        rows = rows.withColumn(BUCKET, _bucket(spec)).hint("rebalance", BUCKET)
+    else:
         month = F.date_format("criacao", "yyyy-MM")
         rows = rows.withColumn(MONTH, month).hint("rebalance", MONTH)
         rows = rows.sortWithinPartitions(MONTH, "criacao")
@@ -160,23 +155,5 @@ def _ready_to_write(rows: DataFrame, spec: TableSpec) -> tuple[Observation, Data
     return written, rows.observe(written, F.count(F.lit(1)).alias("rows"))
 
 
-def _month_of(spec: TableSpec) -> str | None:
-    return None if spec.mutable else MONTH
-
-
-def _first_overlap(
-    spark: SparkSession, layout: Layout, spec: TableSpec, entries: Sequence[Row]
-) -> str | None:
-    """Moment from which the new snapshots may repeat stored rows or each other."""
-    done = last_commit(spark, layout.master(spec.name))
-    reached = _watermark_of(done) if done else None
-    moments = []
-    for entry in entries:
-        if reached is not None and entry["since"] < reached:
-            moments.append(entry["since_text"])
-        reached = max(reached or "", _watermark_of(entry["name"]))
-    return min(moments) if moments else None
-
-
-def _watermark_of(name: str) -> str:
-    return name.split("-", 1)[0]
+def _bucket(spec: TableSpec) -> Column:
+    return F.pmod(F.xxhash64(*spec.key), F.lit(BUCKETS)).cast("int")

@@ -24,6 +24,20 @@ class Layout:
     def batch_view(self, view: str) -> str:
         return f"{self.root}/views/batch/{view}"
 
+    def batch_state(self, view: str, base: str) -> str:
+        return f"{self.root}/views/batch_states/{view}/{base}"
+
+    @property
+    def events(self) -> str:
+        return f"{self.root}/events/accepted"
+
+    @property
+    def rejected_events(self) -> str:
+        return f"{self.root}/events/rejected"
+
+    def event_checkpoint(self, kind: str) -> str:
+        return f"{self.root}/events/checkpoints/{kind}"
+
     def speed_view(self, view: str) -> str:
         return f"{self.root}/views/speed/{view}"
 

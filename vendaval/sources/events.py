@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vendaval.functions import event_money
 from vendaval.specs import SALE_EVENT_SCHEMA
 
 TOPIC = "vendas-deshboard-bronze"  # fixed value: the topic producers and readers share
@@ -26,6 +27,24 @@ def decode_events(records: DataFrame, schema: T.StructType = SALE_EVENT_SCHEMA)
     return parsed.select("event.*", "timestamp")
 
 
+def quarantined_events(
+    records: DataFrame, schema: T.StructType = SALE_EVENT_SCHEMA, amount: str = "valor_total"
+) -> DataFrame:
+    """Records (value, timestamp) a view cannot use whole, with the reason in ``motivo``.
+
+    Those without a readable id are in no view; those whose amount is no amount count as a
+    sale but add nothing to the totals.
+    """
+    text = records.selectExpr("CAST(value AS STRING) AS value", "timestamp")
+    event = F.from_json("value", schema)
+    reason = F.when(F.col("event.id_venda").isNull(), F.lit("id_venda")).when(
+        event_money(f"event.{amount}").isNull(), F.lit(amount)
+    )
+    judged = text.select("value", "timestamp", event.alias("event"))
+    judged = judged.select("value", "timestamp", reason.alias("motivo"))
+    return judged.where(F.col("motivo").isNotNull())
+
+
 def encode_events(
     sales: DataFrame, lines: DataFrame, timestamp: str | None = "criacao"
 ) -> DataFrame:

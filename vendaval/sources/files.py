@@ -27,9 +27,16 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def read_snapshots(
     spark: SparkSession, schema: T.StructType, paths: Sequence[str]
 ) -> DataFrame:
-    """All snapshots of one table as one scan, columns aligned by name."""
+    """All snapshots of one table as one scan, columns aligned by name.
+
+    A snapshot that lacks a column is an error, not a column of nulls.
+    """
     if not paths:
         return empty(spark, schema)
+    for path in paths:  # footers only
+        missing = set(schema.fieldNames()) - set(spark.read.parquet(path).columns)
+        if missing:
+            raise ValueError(f"{path} lacks the columns {', '.join(sorted(missing))}")
     return spark.read.schema(schema).parquet(*paths)
 
 

@@ -22,8 +22,8 @@ def delta_condition(spec: TableSpec, since: str, until: str | None = None) -> st
     condition = " OR ".join(f"{c} > {_literal(since)}" for c in spec.version_columns)
     if until is None:
         return condition
-    bounds = [f"({c} IS NULL OR {c} <= {_literal(until)})" for c in spec.version_columns]
-    return f"({condition}) AND {' AND '.join(bounds)}"
+    created = spec.version_columns[0]
+    return f"({condition}) AND ({created} IS NULL OR {created} <= {_literal(until)})"
 
 
 def delta_query(spec: TableSpec, since: str, until: str | None = None) -> str:
@@ -64,7 +64,9 @@ class JdbcSource:
     fetch_size: int = 10_000
 
     def options(self, query: str) -> dict[str, Any]:
-        return {
+        # MySQL's driver heeds the fetch size only with a cursor.
+        mysql = self.url.startswith("jdbc:mysql:")
+        return ({"useCursorFetch": "true"} if mysql else {}) | {
             "url": self.url,
             "driver": self.driver,
             "user": self.user,
@@ -100,4 +102,5 @@ class JdbcSource:
         high: int,
     ) -> DataFrame:
         options = self.read_options(spec, since, until, low, high)
-        return spark.read.format("jdbc").options(**options).load()
+        rows = spark.read.format("jdbc").options(**options).load()
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])

@@ -9,6 +9,7 @@ same name overwrites it, which makes a rerun after a failure safe. One writer pe
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,62 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType) -> DataFr
     return rows.select(*schema.fieldNames())
 
 
+def newest_parts(spark: SparkSession, root: str, part: str) -> dict[str, str]:
+    """Path of each partition value of ``part`` in the newest complete commit that has it."""
+    known = bases(spark, root)
+    found: dict[str, str] = {}
+    for commit in commits(spark, root, known[-1]) if known else []:
+        path = _commit_path(root, known[-1], commit)
+        for name in list_names(spark, path):
+            if name.startswith(f"{part}="):
+                found[name.removeprefix(f"{part}=")] = f"{path}/{name}"
+    return found
+
+
+def read_parts(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    part: str,
+    only: Iterable[str] | None = None,
+) -> DataFrame:
+    """A dataset whose commits replace whole partitions: all of them, or ``only`` some values."""
+    found = newest_parts(spark, root, part)
+    paths = [path for value, path in found.items() if only is None or value in set(only)]
+    return spark.read.schema(schema).parquet(*paths) if paths else empty(spark, schema)
+
+
+def drop_replaced_parts(spark: SparkSession, root: str, part: str, keep: int = 2) -> None:
+    """Deletes partitions that ``keep`` newer commits have replaced."""
+    known = bases(spark, root)
+    newer: dict[str, int] = {}
+    for commit in reversed(commits(spark, root, known[-1]) if known else []):
+        path = _commit_path(root, known[-1], commit)
+        for name in list_names(spark, path):
+            if name.startswith(f"{part}="):
+                newer[name] = newer.get(name, 0) + 1
+                if newer[name] > keep:
+                    delete_path(spark, f"{path}/{name}")
+
+
+def commits_after(spark: SparkSession, root: str, done: str | None) -> tuple[str | None, list[str]]:
+    """The current base, and its complete commits after ``done``, oldest first."""
+    known = bases(spark, root)
+    if not known:
+        return None, []
+    return known[-1], [c for c in commits(spark, root, known[-1]) if done is None or c > done]
+
+
+def read_commits(
+    spark: SparkSession, root: str, base: str, names: Iterable[str], schema: T.StructType
+) -> DataFrame:
+    """The rows that some commits of a base added."""
+    paths = [_commit_path(root, base, name) for name in names]
+    if not paths:
+        return empty(spark, schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/{_BASE}{base}").parquet(*paths)
+
+
 def publish(
     rows: DataFrame,
     root: str,

@@ -6,13 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from vendaval.functions import MONEY, TOTAL
+from vendaval.functions import EVENT_TOTAL, MONEY, TOTAL
 
-BASE_WATERMARK = "2025-03-01 00:00:00"
-"""Watermark of a table that was never extracted."""
+BASE_WATERMARK = "1000-01-01 00:00:00"
+"""Watermark of a table that was never extracted: before any row, so the first run takes all."""
 
-EMPTY_BATCH_CUTOFF = 0
-"""Highest batch id while there is no batch view (ids start at 1)."""
+OVERLAP_SECONDS = 1.0
+"""How far behind the last watermark a run reads again: the database's times are whole seconds."""
 
 RETENTION_DAYS = 30
 
@@ -24,8 +24,9 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
-_INT, _STR, _TS, _DATE, _DBL = (
+_INT, _LONG, _STR, _TS, _DATE, _DBL = (
     T.IntegerType(),
+    T.LongType(),
     T.StringType(),
     T.TimestampType(),
     T.DateType(),
@@ -62,7 +63,7 @@ TABLES: dict[str, TableSpec] = {
             split_column="id_vendedor",
             mutable=True,
             schema=_schema(
-                ("id_vendedor", _INT),
+                ("id_vendedor", _LONG),
                 ("cpf", _STR),
                 ("telefone", _STR),
                 ("email", _STR),
@@ -78,9 +79,9 @@ TABLES: dict[str, TableSpec] = {
             split_column="id_venda",
             mutable=False,
             schema=_schema(
-                ("id_venda", _INT),
-                ("id_vendedor", _INT),
-                ("id_cliente", _INT),
+                ("id_venda", _LONG),
+                ("id_vendedor", _LONG),
+                ("id_cliente", _LONG),
                 ("data", _DATE),
                 ("total", MONEY),
                 ("criacao", _TS),
@@ -92,7 +93,7 @@ TABLES: dict[str, TableSpec] = {
             split_column="id_produto",
             mutable=True,
             schema=_schema(
-                ("id_produto", _INT),
+                ("id_produto", _LONG),
                 ("produto", _STR),
                 ("preco", MONEY),
                 ("criacao", _TS),
@@ -105,7 +106,7 @@ TABLES: dict[str, TableSpec] = {
             split_column="id_cliente",
             mutable=True,
             schema=_schema(
-                ("id_cliente", _INT),
+                ("id_cliente", _LONG),
                 ("cpf", _STR),
                 ("telefone", _STR),
                 ("email", _STR),
@@ -124,8 +125,8 @@ TABLES: dict[str, TableSpec] = {
             split_column="id_venda",
             mutable=False,
             schema=_schema(
-                ("id_produto", _INT),
-                ("id_venda", _INT),
+                ("id_produto", _LONG),
+                ("id_venda", _LONG),
                 ("quantidade", _INT),
                 ("valor_unitario", MONEY),
                 ("valor_total", MONEY),
@@ -137,10 +138,10 @@ TABLES: dict[str, TableSpec] = {
 }
 
 SALE_EVENT_SCHEMA = _schema(
-    ("id_vendedor", _INT),
-    ("id_cliente", _INT),
-    ("id_produto", _INT),
-    ("id_venda", _INT),
+    ("id_vendedor", _LONG),
+    ("id_cliente", _LONG),
+    ("id_produto", _LONG),
+    ("id_venda", _LONG),
     ("quantidade", _INT),
     ("valor_unitario", _DBL),
     ("valor_total", _DBL),
@@ -172,6 +173,20 @@ class ViewSpec:
     def hashed(self) -> bool:
         return self.key != self.source_key
 
+    @property
+    def state_type(self) -> T.DataType:
+        return T.LongType() if self.hashed else self.key_type
+
+    @property
+    def state_schema(self) -> T.StructType:
+        return _schema(
+            ("_key", self.state_type),
+            ("maior_id", T.LongType()),
+            ("qtd_vendas", T.LongType()),
+            (self.total, TOTAL),
+            ("_amounts", T.LongType()),
+        )
+
     @property
     def batch_schema(self) -> T.StructType:
         return _schema(
@@ -192,8 +207,8 @@ class ViewSpec:
             ("maior_id", fields["maior_id"]),
             ("menor_id", fields["maior_id"]),
             ("qtd_vendas", fields["qtd_vendas"]),
-            (self.total, fields[self.total]),
-            ("ticket_medio", fields["ticket_medio"]),
+            (self.total, EVENT_TOTAL),
+            ("ticket_medio", T.DecimalType(21, 2)),
         )
 
 

@@ -4,7 +4,9 @@ from vendaval.streaming.gold_refresh import start_gold_refresh
 from vendaval.streaming.speed_views import (
     late_rows,
     newer_than,
+    read_stored_events,
     speed_view,
+    start_event_store,
     start_speed_views,
     starting_cutoff,
 )
@@ -12,7 +14,9 @@ from vendaval.streaming.speed_views import (
 __all__ = [
     "late_rows",
     "newer_than",
+    "read_stored_events",
     "speed_view",
+    "start_event_store",
     "start_gold_refresh",
     "start_speed_views",
     "starting_cutoff",

@@ -7,15 +7,18 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vendaval.functions import event_money
 from vendaval.operators.rollup import highest_id, rollup
 from vendaval.plans.batch_views import read_batch_view
 from vendaval.plans.layout import Layout
+from vendaval.sources.events import decode_events, quarantined_events
+from vendaval.sources.files import read_or_empty
 from vendaval.specs import (
     DAILY_REVENUE,
-    EMPTY_BATCH_CUTOFF,
+    SALE_EVENT_SCHEMA,
     VIEWS,
     WATERMARK_DELAY,
     WINDOW,
@@ -23,15 +26,15 @@ from vendaval.specs import (
 )
 
 
-def starting_cutoff(spark: SparkSession, layout: Layout) -> int:
-    """Highest sale id the batch layer covers, read once when the stream starts."""
-    row = highest_id(read_batch_view(spark, layout, DAILY_REVENUE)).first()
-    return row["maior_id"] if row["maior_id"] is not None else EMPTY_BATCH_CUTOFF
+def starting_cutoff(spark: SparkSession, layout: Layout) -> int | None:
+    """Highest sale id the batch layer covers, read once when the stream starts; else None."""
+    return highest_id(read_batch_view(spark, layout, DAILY_REVENUE)).first()["maior_id"]
 
 
-def newer_than(events: DataFrame, cutoff: int, id_column: str = "id_venda") -> DataFrame:
-    """Events beyond the batch; events without an id are dropped."""
-    return events.where(F.col(id_column) > F.lit(cutoff))
+def newer_than(events: DataFrame, cutoff: int | None, id_column: str = "id_venda") -> DataFrame:
+    """Events beyond the batch, or all with an id if there is no batch yet."""
+    identified = events.where(F.col(id_column).isNotNull())
+    return identified if cutoff is None else identified.where(F.col(id_column) > F.lit(cutoff))
 
 
 def speed_view(
@@ -60,6 +63,7 @@ def speed_view(
         id_column=id_column,
         window=F.window(time_column, window),
         salt=salt,
+        wide=True,
     )
 
 
@@ -96,6 +100,41 @@ def start_speed_views(
     return queries
 
 
+def start_event_store(
+    records: DataFrame, layout: Layout, *, trigger: Mapping[str, Any] | None = None
+) -> list[StreamingQuery]:
+    """Store the decoded events by day, and apart from them the records quarantined.
+
+    ``records`` are (value, timestamp). The events serve exact gold views; the quarantined
+    records, with their reason, are there to be counted and looked at.
+    """
+    events = decode_events(records)
+    kept = {
+        "accepted": (events.where(F.col("id_venda").isNotNull()), layout.events),
+        "rejected": (quarantined_events(records), layout.rejected_events),
+    }
+    queries = []
+    for name, (rows, path) in kept.items():
+        day = F.to_date("timestamp")
+        writer = (
+            rows.withColumn("dia", day)
+            .writeStream.queryName(f"events_{name}")
+            .partitionBy("dia")
+            .format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", layout.event_checkpoint(name))
+        )
+        if trigger:
+            writer = writer.trigger(**trigger)
+        queries.append(writer.start())
+    return queries
+
+
+def read_stored_events(spark: SparkSession, layout: Layout) -> DataFrame:
+    fields = [*SALE_EVENT_SCHEMA.fields, T.StructField("timestamp", T.TimestampType())]
+    return read_or_empty(spark, layout.events, T.StructType(fields))
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the query dropped for being behind the watermark, in its retained progress."""
     return sum(
