@@ -146,6 +146,10 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
 
 
+def _tasks(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def build_index(vectors: DataFrame, search: Search = Search()) -> DataFrame:
     """One row per shard: its vectors, their ids and the graph, as flat arrays.
 
@@ -159,6 +163,8 @@ def build_index(vectors: DataFrame, search: Search = Search()) -> DataFrame:
     nodes = keep(nodes.withColumn("dim", F.size("vector")), "vectors")
     sizes = nodes.groupBy("dim").agg(F.ceil(F.count("*") / search.shard).alias("shards"))
     dealt = nodes.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")))
+    # By number: a shard is few bytes and much work, so shards must not be gathered by size.
+    dealt = dealt.repartition(_tasks(vectors), "dim", "shard")
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         # Sorted, so that a repeated task builds the same graph.
@@ -221,7 +227,8 @@ def nearest_neighbours(queries: DataFrame, index: DataFrame, search: Search = Se
             out += [(own, i, -s) for s, i in sorted(rows)[: search.neighbours]]
         return pd.DataFrame(out, columns=columns)
 
-    keys = ["dim", "block", "shard"]
+    keys, tasks = ["dim", "block", "shard"], _tasks(queries)
+    placed, offered = placed.repartition(tasks, *keys), offered.repartition(tasks, *keys)
     pairs = placed.groupBy(*keys).cogroup(offered.groupBy(*keys))
     found = pairs.applyInPandas(look, "query_id long, vec_id long, score double").distinct()
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
