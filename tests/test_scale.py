@@ -200,6 +200,8 @@ def test_large_month_becomes_several_files(spark, hot_shop, layout):
     with settings(
         spark,
         spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
+        # Else the stage before, which holds one row per key, is a single task at this size.
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="50k",
         spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
     ):
         path = ingest_all(spark, layout, ["itens_venda"])[0].path
