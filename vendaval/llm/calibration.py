@@ -33,7 +33,7 @@ def _expand(x: np.ndarray) -> np.ndarray:
 
 
 def fit_logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 0.01) -> Logistic:
-    """Newton's method with a ridge. With no rows, or one class, the score is constant."""
+    """Newton's method with a ridge and shortened steps. With no rows, or one class, the score is constant."""
     n = features.shape[1]
     mean, scale = np.zeros(n), np.ones(n)
     if len(labels):
@@ -45,13 +45,21 @@ def fit_logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 0.01)
         weights[-1] = np.log(share / (1.0 - share))
         return Logistic(mean, scale, weights)
     x = _expand((features - mean) / scale)
-    for _ in range(40):
+    def gain(w: np.ndarray) -> float:
+        total = x @ w
+        return float((labels * total - np.logaddexp(0.0, total)).sum() - ridge / 2 * (w @ w))
+
+    best = gain(weights)
+    for _ in range(100):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ weights, -35.0, 35.0)))
         curvature = (x * (p * (1.0 - p))[:, None]).T @ x + ridge * np.eye(width)
         step = np.linalg.solve(curvature, x.T @ (labels - p) - ridge * weights)
-        weights = weights + step
-        if np.abs(step).max() < 1e-8:
+        # Where the classes hardly overlap a whole step can overshoot without end.
+        while (reached := gain(weights + step)) < best and np.abs(step).max() > 1e-8:
+            step = step / 2
+        if reached - best < 1e-9:
             break
+        weights, best = weights + step, reached
     return Logistic(mean, scale, weights)
 
 
