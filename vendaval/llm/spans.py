@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vendaval.llm.shared import keep
+
 
 @dataclass(frozen=True)
 class Runs:
@@ -92,8 +94,9 @@ def repeated_runs(documents: DataFrame, runs: Runs = Runs()) -> DataFrame:
     The first is the one in the document of the smallest id (no id comes first of all), there
     the earliest. ``tie`` is a hash of the text, ``begin`` and ``end`` count its characters.
     A run's hash has 128 bits. Firsts are found by a partial aggregate per task, so a passage
-    in a third of all documents leaves each task as one row; only hashes seen more than once
-    are joined with the runs, and adaptive execution splits a hash with very many of them.
+    in a third of all documents leaves each task as one row. Only hashes seen more than once
+    are joined with the runs. They are written first, because adaptive execution splits a hash
+    with very many runs only if both sides of the join come straight from a shuffle.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
 
@@ -116,7 +119,7 @@ def repeated_runs(documents: DataFrame, runs: Runs = Runs()) -> DataFrame:
     every = texts.mapInPandas(split, f"doc_id {kind}, tie long, h long, l long, begin int, end int")
     place = F.struct("doc_id", "tie", "begin")
     firsts = every.groupBy("h", "l").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    firsts = firsts.where("n > 1").select("h", "l", "first")
+    firsts = keep(firsts.where("n > 1").select("h", "l", "first"), "first_runs")
     later = every.join(firsts, ["h", "l"]).where(~place.eqNullSafe(F.col("first")))
     return later.select("doc_id", "tie", "begin", "end")
 
