@@ -13,9 +13,10 @@ def connected_components(links: DataFrame, limit: int = 100) -> DataFrame:
 
     ``links`` has (a, b), both non-null and of one type. Alternates two steps (large star,
     small star) that hang every node on the smallest one it knows, until nothing changes;
-    each step is a minimum per node, computed with partial aggregates, and a join with it, so
-    that a node with very many links is split like any other skewed join key. The number of
-    rounds grows with the logarithm of the longest chain.
+    each step is a minimum per node, computed with partial aggregates and written, and a join
+    with it, so that both sides of the join come straight from a shuffle and adaptive execution
+    can split a node with very many links. The number of rounds grows with the logarithm of the
+    longest chain.
     """
     edges = _canonical(links.select("a", "b"))
     edges = keep(edges, "links")
@@ -43,11 +44,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Links the larger neighbours of each node to the smallest of node and neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = keep(least, "least")
     return _canonical(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links each node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = keep(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _canonical(moved.unionByName(least.select("a", F.col("m").alias("b"))))
