@@ -230,13 +230,15 @@ def similar_links(documents: DataFrame, similar: Similar = Similar()) -> tuple[D
 
     ``key`` is the text's md5, ``least`` its smallest doc_id. Texts that share a fingerprint,
     or have fingerprints within two bits, in any of the trials are candidates; a candidate is
-    a link if the texts share ``similar.share`` of their shingles, compared in full.
+    a link if the texts share ``similar.share`` of their shingles, compared in full. Texts
+    whose numbers of different shingles are too far apart for that are no candidates.
     """
-    names = [f"f{t}" for t in range(similar.trials)]
+    names = [*(f"f{t}" for t in range(similar.trials)), "shingles"]
 
     def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([word_fingerprints(t, similar) for t in texts], columns=names, dtype="int64")
+            found = [[*word_fingerprints(t, similar), len(_shingles(t, similar.shingle))] for t in texts]
+            yield pd.DataFrame(found, columns=names, dtype="int64")
 
     kind = ", ".join(f"{n} long" for n in names)
     # No text is an empty text.
@@ -246,16 +248,18 @@ def similar_links(documents: DataFrame, similar: Similar = Similar()) -> tuple[D
     texts = marked.select("doc_id", "key", "f.*").groupBy("key")
     texts = keep(texts.agg(F.min("doc_id").alias("least"), *[F.min(n).alias(n) for n in names]), "texts")
 
-    own = texts.select("key", F.posexplode(F.array(*names)).alias("trial", "fp"))
-    first = keep(own.groupBy("trial", "fp").agg(F.min("key").alias("key")), "text_fingerprints")
-    same = own.join(first.withColumnRenamed("key", "b"), ["trial", "fp"]).select(F.col("key").alias("a"), "b")
+    text = F.struct("key", "shingles").alias("text")
+    own = texts.select(text, F.posexplode(F.array(*names[:-1])).alias("trial", "fp"))
+    first = keep(own.groupBy("trial", "fp").agg(F.min("text").alias("text")), "text_fingerprints")
+    same = own.join(first.withColumnRenamed("text", "y"), ["trial", "fp"]).select(F.col("text").alias("x"), "y")
     near = fingerprint_links(first.select("trial", "fp"))
-    for end in "ab":
-        named = first.select("trial", F.col("fp").alias(end), F.col("key").alias(f"key_{end}"))
-        near = near.join(named, ["trial", end])
-    near = near.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-    pairs = same.unionByName(near).where("a <> b")
-    pairs = keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    for end, named in (("a", "x"), ("b", "y")):
+        near = near.join(first.select("trial", F.col("fp").alias(end), F.col("text").alias(named)), ["trial", end])
+    pairs = same.unionByName(near.select("x", "y")).where("x.key <> y.key")
+    fewer, more = F.least("x.shingles", "y.shingles"), F.greatest("x.shingles", "y.shingles")
+    pairs = pairs.where(fewer >= F.lit(similar.share) * more)
+    ends = F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")
+    pairs = keep(pairs.select(*ends).distinct(), "candidates")
 
     asked = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     bodies = keyed.select("key", "text").join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
