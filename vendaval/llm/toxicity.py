@@ -184,9 +184,10 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, training: Training =
     ids = labelled_ids(labels, "toxic", 1, training.calibration)
     sample = texts.join(F.broadcast(ids), "doc_id").select("text", F.col("label").cast("int").alias("label"))
     rows = sample.mapInPandas(measure, "best double, n double, label int, text string")
-    # K from clean texts: the mean of a Gumbel law lies Euler's constant above its mode.
+    # K from clean texts: the mean of a Gumbel law lies Euler's constant above its mode. It is
+    # rounded, because a sum of doubles depends on the order of the tasks.
     clean = rows.where("label = 0").agg(F.avg(F.col("best") * scale - F.log("n")), F.count("*")).first()
-    factor = float(np.exp(np.clip((clean[0] or 0.0) - np.euler_gamma, -12.0, 2.0))) if clean[1] else 1.0
+    factor = float(np.exp(np.clip(round(clean[0] or 0.0, 9) - np.euler_gamma, -12.0, 2.0))) if clean[1] else 1.0
     model = ToxicityModel(scores, low, scale, factor, training.stem, training.expected)
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
