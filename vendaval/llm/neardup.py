@@ -10,7 +10,6 @@ key holds at most 2^16 different fingerprints. Within a key the two-bit test is
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -18,9 +17,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vendaval.llm.batches import space_tokens
 from vendaval.llm.components import connected_components
 from vendaval.llm.shared import keep
 
@@ -193,29 +193,15 @@ def near_duplicate_report(documents: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Similar:
-    """When two texts are near copies, and how they are searched for."""
+    """When two texts are near copies."""
 
     shingle: int = 5  # words of a shingle
     share: float = 0.8  # of all different shingles of both that both have
-    trials: int = 5  # independent fingerprints of the words
-    power: float = 0.85  # of a word's count, as its weight in a fingerprint
-
-
-def word_fingerprints(text: str | None, similar: Similar) -> list[int]:
-    """SimHashes of the text's words, one per trial; 0 without words."""
-    counts = Counter(_words(text))
-    if not counts:
-        return [0] * similar.trials
-    base = np.array([xxhash.xxh64_intdigest(w, SEED) for w in counts], dtype=np.uint64)
-    weight = np.array(list(counts.values()), dtype=np.float64) ** similar.power
-    half, found = weight.sum() / 2, []
-    for trial in range(similar.trials):
-        mixed = (base + np.uint64(trial)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        bits = np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1)
-        found.append(int(np.packbits(weight @ bits > half).view(np.int64)[0]))
-    return found
+
+
+#: Search only, not results: the most frequent shingles of a sixteenth of the texts stand last.
+FREQUENT = 100_000
+STARS = 3
 
 
 def _shingles(text: str | None, size: int) -> set[str]:
@@ -225,44 +211,124 @@ def _shingles(text: str | None, size: int) -> set[str]:
     return set(map(" ".join, zip(*(words[i:] for i in range(size)))))
 
 
-def similar_links(documents: DataFrame, similar: Similar = Similar()) -> tuple[DataFrame, DataFrame]:
-    """(key, least) of each different text and (a, b) links between keys of near copies.
+def _shingle_hashes(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
+    """The different shingles of each text as sorted 64-bit hashes."""
+    words, codes, ends = space_tokens(texts)
+    digest = xxhash.xxh64_intdigest
+    own = np.array([digest(w, SEED) for w in words], dtype=np.uint64)[codes]
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        length = min(b - a, size)
+        found = np.full(max(b - a - size, 0) + 1, length, dtype=np.uint64)
+        for p in range(a, a + length):
+            found *= np.uint64(0x9E3779B97F4A7C15)
+            found ^= found >> np.uint64(29)
+            found += own[p : p + len(found)]
+        found *= np.uint64(0xD6E8FEB86659FD93)
+        yield np.unique((found ^ (found >> np.uint64(32))).view(np.int64))
+
+
+def _prefix(hashes: np.ndarray, frequent: np.ndarray, share: float) -> np.ndarray:
+    """The first hashes in an order common to all texts, as many as a near copy must meet."""
+    at = np.searchsorted(frequent, hashes)
+    late = np.zeros(len(hashes), dtype=bool)
+    inside = at < len(frequent)
+    late[inside] = frequent[at[inside]] == hashes[inside]
+    ordered = np.concatenate([hashes[~late], hashes[late]])
+    n = len(hashes)
+    return ordered[: n - int(np.ceil(share * n - 1e-9)) + 1]
+
+
+def _frequent_shingles(keyed: DataFrame, similar: Similar) -> np.ndarray:
+    """Shingles met in several texts of a sample; which ones they are only changes the cost."""
+
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for hashes in _shingle_hashes(rows["text"].tolist(), similar.shingle):
+                yield pd.DataFrame({"h": hashes})
 
-    ``key`` is the text's md5, ``least`` its smallest doc_id. Texts that share a fingerprint,
-    or have fingerprints within two bits, in any of the trials are candidates; a candidate is
-    a link if the texts share ``similar.share`` of their shingles, compared in full. Texts
-    whose numbers of different shingles are too far apart for that are no candidates.
-    """
-    names = [*(f"f{t}" for t in range(similar.trials)), "shingles"]
+    sample = keyed.where(F.col("key").startswith("0")).select("key", "text").dropDuplicates(["key"])
+    counts = sample.select("text").mapInPandas(compute, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    most = counts.where("n > 2").orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
+    return np.sort(np.array([r["h"] for r in most], dtype=np.int64))
 
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            found = [[*word_fingerprints(t, similar), len(_shingles(t, similar.shingle))] for t in texts]
-            yield pd.DataFrame(found, columns=names, dtype="int64")
 
-    kind = ", ".join(f"{n} long" for n in names)
+def similar_groups(documents: DataFrame, similar: Similar = Similar()) -> DataFrame:
+    """(id, key, least, group) of each different text; near copies are linked into groups.
+
+    ``key`` is the text's md5, ``least`` its smallest doc_id. The groups are those that all
+    pairs sharing ``similar.share`` of their shingles would give. In an order common to all
+    texts two such texts share one of their first shingles, a fifth of all at a share of 0.8,
+    and from the first one they share on enough must be left to both. Frequent shingles stand
+    last, so few texts meet there. Whatever meets is compared in full, unless already in one
+    group: first with the smallest text at the shingle, which then leaves it, so that a large
+    group of near copies needs no pairs of its square; in the end all pairs that remain.
+    """
     # No text is an empty text.
     keyed = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.select("doc_id", F.md5("text").alias("key"), "text")
-    marked = keyed.select("doc_id", "key", F.pandas_udf(compute, kind)(F.col("text")).alias("f"))
+    spark = documents.sparkSession
+    frequent = spark.sparkContext.broadcast(_frequent_shingles(keyed, similar))
+
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            found = [(len(h), _prefix(h, frequent.value, similar.share)) for h in _shingle_hashes(texts.tolist(), similar.shingle)]
+            yield pd.DataFrame(found, columns=["n", "prefix"])
+
+    marked = keyed.select("doc_id", "key", F.pandas_udf(compute, "n int, prefix array<long>")(F.col("text")).alias("f"))
     texts = marked.select("doc_id", "key", "f.*").groupBy("key")
-    texts = keep(texts.agg(F.min("doc_id").alias("least"), *[F.min(n).alias(n) for n in names]), "texts")
-
-    text = F.struct("key", "shingles").alias("text")
-    own = texts.select(text, F.posexplode(F.array(*names[:-1])).alias("trial", "fp"))
-    first = keep(own.groupBy("trial", "fp").agg(F.min("text").alias("text")), "text_fingerprints")
-    same = own.join(first.withColumnRenamed("text", "y"), ["trial", "fp"]).select(F.col("text").alias("x"), "y")
-    near = fingerprint_links(first.select("trial", "fp"))
-    for end, named in (("a", "x"), ("b", "y")):
-        near = near.join(first.select("trial", F.col("fp").alias(end), F.col("text").alias(named)), ["trial", end])
-    pairs = same.unionByName(near.select("x", "y")).where("x.key <> y.key")
-    fewer, more = F.least("x.shingles", "y.shingles"), F.greatest("x.shingles", "y.shingles")
-    pairs = pairs.where(fewer >= F.lit(similar.share) * more)
-    ends = F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")
-    pairs = keep(pairs.select(*ends).distinct(), "candidates")
-
-    asked = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    bodies = keyed.select("key", "text").join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    texts = texts.agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    texts = keep(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
+
+    rows = texts.select("id", "n", F.posexplode("prefix").alias("i", "h"))
+    # What both could share at most if this is the first shingle they share.
+    rows = rows.select("h", F.struct("id", (F.col("n") - F.col("i")).alias("left"), "n").alias("y"))
+    several = rows.withColumn("met", F.count("*").over(Window.partitionBy("h"))).where("met > 1")
+    rows = keep(several.select("h", "y", F.col("y.id").alias("group")), "meeting")
+
+    enough = F.least("x.left", "y.left") * (1 + similar.share) >= similar.share * (F.col("x.n") + F.col("y.n")) - 1e-6
+    ends = F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
+    apart = F.col("group") != F.col("x_group")
+    tested = spark.createDataFrame([], "a long, b long")
+    groups = spark.createDataFrame([], "id long, component long")
+    stars = STARS
+    while True:
+        if stars:
+            first = rows.groupBy("h").agg(F.min(F.struct("y", "group")).alias("f"))
+            first = keep(first.select("h", F.col("f.y").alias("x"), F.col("f.group").alias("x_group")), "first_texts")
+            pairs = rows.join(first, "h")
+        else:
+            other = rows.select("h", F.col("y").alias("x"), F.col("group").alias("x_group"))
+            pairs = rows.join(other, "h").where("x.id < y.id")
+        pairs = pairs.where(apart & enough).select(*ends).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = keep(pairs, "candidates")
+        tested = tested.unionByName(pairs)
+        links = keep(_verified(pairs, keyed, texts, similar), "similar")
+        linked = not links.isEmpty()
+        if linked:
+            known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            groups = connected_components(known.unionByName(links)).withColumnRenamed("node", "id")
+            groups = keep(groups, "groups")
+        if not stars:
+            break
+        stars = stars - 1 if linked else 0
+        rows = rows.join(first.select("h", "x.id"), "h").where("y.id <> id").select("h", "y", F.col("y.id").alias("id"))
+        rows = rows.join(groups, "id", "left").select("h", "y", F.coalesce("component", "id").alias("group"))
+        rows = keep(rows, "meeting")
+        # Where all are in one group nothing is left to compare.
+        several = rows.groupBy("h").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+        several = keep(several.where("low <> high").select("h"), "open_shingles")
+        rows = keep(rows.join(several, "h", "left_semi"), "meeting")
+        if rows.isEmpty():
+            break
+    group = F.coalesce("component", "id").alias("group")
+    return texts.join(groups, "id", "left").select("id", "key", "least", group)
+
+
+def _verified(pairs: DataFrame, keyed: DataFrame, texts: DataFrame, similar: Similar) -> DataFrame:
+    """The pairs (a, b) of ids whose texts share enough shingles, compared in full."""
+    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    asked = keep(asked.join(texts.select("id", "key"), "id"), "asked")
+    bodies = keyed.select("key", "text").join(asked, "key").groupBy("id").agg(F.first("text").alias("text"))
     bodies = keep(bodies, "candidate_texts")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -275,22 +341,19 @@ def similar_links(documents: DataFrame, similar: Similar = Similar()) -> tuple[D
             yield rows.loc[good, ["a", "b"]]
 
     for end, body in (("a", "x"), ("b", "y")):
-        pairs = pairs.join(bodies.select(F.col("key").alias(end), F.col("text").alias(body)), end)
-    return texts.select("key", "least"), pairs.mapInPandas(verify, "a string, b string")
+        pairs = pairs.join(bodies.select(F.col("id").alias(end), F.col("text").alias(body)), end)
+    return pairs.mapInPandas(verify, "a long, b long")
 
 
 def keep_one(documents: DataFrame, similar: Similar = Similar()) -> DataFrame:
     """One row of each group of equal texts and near copies, all columns: the smallest doc_id.
 
-    Groups are connected by links of ``similar_links``. Texts of at most a shingle's words are
+    Groups are those of ``similar_groups``. Texts of at most a shingle's words are
     near copies if their words are equal; null, empty and blank texts are all alike. Of
     repeated rows one stays; of rows that share the smallest id the one with the smallest
     md5 of the text. A null id comes after all others.
     """
-    texts, links = similar_links(documents, similar)
-    groups = connected_components(links).withColumnRenamed("node", "key")
-    group = F.coalesce("component", "key")
-    named = texts.join(groups, "key", "left").select(group.alias("group"), "key", "least")
+    named = similar_groups(documents, similar)
     place = F.struct(F.col("least").isNull().alias("none"), "least", "key")
     first = named.groupBy("group").agg(F.min(place).alias("p"))
     first = first.select(F.col("p.key").alias("__key"), F.col("p.least").alias("__least"))
