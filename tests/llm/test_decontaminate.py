@@ -60,3 +60,35 @@ def test_odd_rows(documents, odd_rows, benchmark, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contaminations(docs, none).collect() == [] and drop_contaminated(docs, none).count() == docs.count()
     assert contaminations(documents([]), benchmark).collect() == []
+
+
+@pytest.mark.parametrize("n", [7, 8, 15, 18, 27, 48, 90])
+def test_all_substitutions_the_rule_allows_are_found(n):
+    import random
+
+    from vendaval.llm.decontaminate import Vocabulary, overlaps, token_hashes
+
+    chance, rule = random.Random(n), Rule()
+    item = [f"w{chance.randrange(3 * n)}" for _ in range(n)]
+    vocabulary = Vocabulary([(1, " ".join(item))], rule, token_hashes([" ".join(item[::2])])[0])
+    allowed = [k for k in range(n + 1) if n - k >= max(min(rule.tokens, n), rule.share * n)][-1]
+    changes = [chance.sample(range(n), allowed) for _ in range(300)]
+    changes += [list(range(first, n, 4))[:allowed] for first in range(4)]
+    changes += [[i] for i in range(n)]
+    for places in changes:
+        text = [f"other{i}" if i in places else w for i, w in enumerate(item)]
+        tokens = token_hashes([" ".join(["before"] * 3 + text + ["after"] * 2)])[0]
+        assert (1, 3, 3 + n) in [x[:3] for x in overlaps(tokens, vocabulary)]
+
+
+def test_stretches_of_long_items_with_substitutions_are_found():
+    import random
+
+    from vendaval.llm.decontaminate import Vocabulary, overlaps, token_hashes
+
+    chance, item = random.Random(4), [f"w{i}" for i in range(400)]
+    vocabulary = Vocabulary([(1, " ".join(item))], Rule(), token_hashes([""])[0])
+    for _ in range(300):
+        at, places = chance.randrange(376), chance.sample(range(25), 5)
+        text = [f"other{i}" if i in places else w for i, w in enumerate(item[at : at + 25])]
+        assert overlaps(token_hashes([" ".join(text)])[0], vocabulary)

@@ -3,7 +3,8 @@
 A fixed mask looks at some of a window's tokens and ignores the others, so one substituted
 token leaves the seeds that ignore its position intact. Seeds of the benchmark are looked up
 at every token of every document; each hit fixes how text and item lie on one another, and the
-whole overlap is then compared token by token.
+whole overlap is then compared token by token. What the masks miss is met at an item's rarest
+tokens: so many are looked up that not all of them can be out of place in what the rule accepts.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ class Rule:
 class Vocabulary:
     """Token ids and seeds of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]], rule: Rule):
+    def __init__(self, items: list[tuple[int, str]], rule: Rule, sample: np.ndarray):
         self.rule = rule
         self.items = [(i, *token_hashes([t])[:1]) for i, t in items]
         self.items = [(i, h) for i, h in self.items if len(h)]
@@ -63,6 +64,43 @@ class Vocabulary:
             filled = np.zeros(1 << 22, dtype=bool)
             filled[(keys.astype(np.uint64) >> np.uint64(42)).astype(np.int64)] = True
             self.seeds.append((keys, item, at, filled))
+        self._index_rare(sample)
+
+    def _index_rare(self, sample: np.ndarray) -> None:
+        """Lists each item under the tokens that are rarest in ``sample``, document tokens.
+
+        Which tokens are listed changes the cost only: any so many of an item, and of each
+        stretch of ``run``, hold one in place wherever the rule accepts.
+        """
+        rule, hashes = self.rule, [h for _, h in self.items]
+        self.size = np.array([len(h) for h in hashes], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.concatenate(hashes) if hashes else np.array([], dtype=np.uint64)
+        self.need = np.array([required(len(h), rule) for h in hashes], dtype=np.int64)
+        run_need = int(np.ceil(rule.run_share * rule.run - 1e-9))
+        # The least that is in place in an accepted overlap, by either rule.
+        self.least = np.where(self.size >= rule.run, np.minimum(self.need, run_need), self.need)
+        known, times = np.unique(np.concatenate([sample, self.flat]), return_counts=True)
+        often = times[np.searchsorted(known, self.flat)]
+        listed = np.zeros(len(self.flat), dtype=bool)
+        for begin, n, need in zip(self.start.tolist(), self.size.tolist(), self.need.tolist()):
+            rank = np.argsort(often[begin : begin + n], kind="stable")
+            own = listed[begin : begin + n]
+            own[rank[: n - need + 1]] = True
+            place = np.empty(n, dtype=np.int64)
+            place[rank] = np.arange(n)
+            for s in range(n - rule.run + 1):
+                part = own[s : s + rule.run]
+                lacking = rule.run - run_need + 1 - int(part.sum())
+                if lacking > 0:
+                    free = np.flatnonzero(~part)
+                    part[free[np.argsort(place[s + free])[:lacking]]] = True
+        at = np.flatnonzero(listed)
+        at = at[np.argsort(self.flat[at], kind="stable")]
+        item = np.repeat(np.arange(len(hashes)), self.size)[at]
+        filled = np.zeros(1 << 22, dtype=bool)
+        filled[(self.flat[at] >> np.uint64(42)).astype(np.int64)] = True
+        self.rare = (self.flat[at], item, at - self.start[item], filled)
 
 
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,6 +122,41 @@ def seed_hashes(tokens: np.ndarray, mask: np.ndarray, span: int) -> np.ndarray:
     return found ^ (found >> np.uint64(32))
 
 
+def required(n: int, rule: Rule) -> int:
+    """How many of an item's ``n`` tokens must be in place if they count over the whole item."""
+    return int(np.ceil(max(min(rule.tokens, n), rule.share * n) - 1e-9))
+
+
+def rare_hits(tokens: np.ndarray, vocabulary: Vocabulary, step: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """(item number, shift) where a listed token stands in place and enough others do."""
+    keys, item, at, filled = vocabulary.rare
+    likely = np.flatnonzero(filled[(tokens >> np.uint64(42)).astype(np.int64)])
+    left = np.searchsorted(keys, tokens[likely], "left")
+    count = np.searchsorted(keys, tokens[likely], "right") - left
+    total = np.cumsum(count)
+    for low in range(0, int(total[-1]) if len(total) else 0, step):
+        # Hits low to high, numbered over all tokens.
+        hit = np.arange(low, min(low + step, int(total[-1])))
+        own = np.searchsorted(total, hit, "right")
+        entry = left[own] + hit - (total[own] - count[own])
+        k, shift = item[entry], likely[own] - at[entry]
+        code = np.unique((k << 32) + shift + (1 << 31))
+        k, shift = code >> 32, (code & 0xFFFFFFFF) - (1 << 31)
+        # As many hits at once as have a million tokens, at least one.
+        part = np.cumsum(vocabulary.size[k]) >> 20
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(k)]
+        for a, b in zip(edges, edges[1:]):
+            size = vocabulary.size[k[a:b]]
+            begin = np.cumsum(size) - size
+            within = np.arange(int(size.sum())) - np.repeat(begin, size)
+            spot = within + np.repeat(shift[a:b], size)
+            own = vocabulary.flat[within + np.repeat(vocabulary.start[k[a:b]], size)]
+            inside = (spot >= 0) & (spot < len(tokens))
+            same = inside & (tokens[np.where(inside, spot, 0)] == own)
+            good = np.add.reduceat(same, begin, dtype=np.int64) >= vocabulary.least[k[a:b]]
+            yield from zip(k[a:b][good].tolist(), shift[a:b][good].tolist())
+
+
 def overlaps(tokens: np.ndarray, vocabulary: Vocabulary) -> list[tuple[int, int, int, int, int]]:
     """(item, begin, end, matched, item tokens) of each contamination in one text."""
     rule, tried, found = vocabulary.rule, set(), []
@@ -97,12 +170,13 @@ def overlaps(tokens: np.ndarray, vocabulary: Vocabulary) -> list[tuple[int, int,
         for p, a, b in zip(likely.tolist(), left.tolist(), right.tolist()):
             for k in range(a, b):
                 tried.add((int(item[k]), p - int(at[k])))
+    tried.update(rare_hits(tokens, vocabulary))
     for k, shift in sorted(tried):
         name, own = vocabulary.items[k]
         begin, end = max(0, shift), min(len(tokens), shift + len(own))
         same = tokens[begin:end] == own[begin - shift : end - shift]
         matched, n = int(same.sum()), len(own)
-        hit = matched >= max(min(rule.tokens, n), rule.share * n)
+        hit = matched >= required(n, rule)
         if not hit and len(same) >= rule.run:
             sums = np.r_[0, np.cumsum(same)]
             hit = (sums[rule.run :] - sums[: -rule.run]).max() >= rule.run_share * rule.run
@@ -152,12 +226,14 @@ def _scan(documents: DataFrame, items: list[tuple[int, str]], rule: Rule) -> Dat
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(sent.value, rule)
+        vocabulary = None
         for rows in batches:
             out = []
             for at in range(0, len(rows), 500):
                 part = rows.iloc[at : at + 500]
                 tokens, ends = token_hashes(part["text"].tolist())
+                if vocabulary is None:
+                    vocabulary = Vocabulary(sent.value, rule, tokens)
                 for doc, a, b in zip(part["doc_id"].tolist(), ends[:-1].tolist(), ends[1:].tolist()):
                     out.extend((doc, i, x, y - 1, m, n) for i, x, y, m, n in overlaps(tokens[a:b], vocabulary))
             yield pd.DataFrame(out, columns=names, dtype=object)
