@@ -60,3 +60,41 @@ def test_odd_rows(documents, odd_rows):
     assert (None, PASSAGE, 0) in found and (8, "", 1) in found
     assert found.count((7, "", 1)) == 2 and (5, None, 0) in found and (1, "", 0) in found
     assert without_repeats(documents([])).collect() == []
+
+
+def covered(text, other, passage):
+    """The share of a passage of ``text`` that lies in runs ``other`` has too."""
+    (mine, places), (theirs, _) = text_runs(text, Runs()), text_runs(other, Runs())
+    begin = text.index(passage)
+    inside = set()
+    for d, (b, e) in zip(mine, places):
+        if d in theirs:
+            inside.update(range(max(b, begin), min(e, begin + len(passage))))
+    return len(inside) / len(passage)
+
+
+@pytest.mark.parametrize("gap", ["", " "])
+def test_unbroken_passages_are_met_at_every_offset(gap):
+    import random
+
+    chance = random.Random(8)
+    if gap:
+        word = lambda: f"w{chance.randrange(3000)}"
+    else:
+        word = lambda: chr(0x4E00 + chance.randrange(3000))
+    shares = []
+    for offset in range(60):
+        passage = gap.join(word() for _ in range(60))
+        texts = [gap.join([*(word() for _ in range(n)), passage, *(word() for _ in range(n))]) for n in (40, 40 + offset)]
+        shares.append(covered(*texts, passage))
+    assert sum(s == 0 for s in shares) <= 1 and sum(shares) / len(shares) > 0.7
+
+
+def test_ideographic_sentences_need_no_white_space():
+    text = "今天天气很好，我们去公园。" * 3 + "他说！你来吗？来。"
+    assert [text[b:e] for b, e, _ in sentences(text, Runs())] == ["今天天气很好，我们去公园。"] * 3 + ["他说！", "你来吗？", "来。"]
+
+
+def test_equal_words_are_parted_with_a_bound():
+    for words in (["x"] * 200, [f"w{i}" for i in range(300)], ["a", "b"] * 90):
+        assert max(len(w) for *_, w in sentences(" ".join(words), Runs())) <= Runs().longest

@@ -27,12 +27,47 @@ class Runs:
     sentences: int = 2
     words: int = 16
     longest: int = 24  # longer sentences are parted at commas
-    part: int = 12  # and what is longer still into parts of so many words
+    part: int = 12  # and what is longer still by content into parts of about so many words
 
 
-_SENTENCE = re.compile(r"(?<=[.!?…。！？])\s+|\s*\n\s*")
-_CLAUSE = re.compile(r"(?<=[,;:])\s+")
-_GAP = re.compile(r"\s+")
+# Ideographic stops and commas need no white space after them.
+_SENTENCE = re.compile(r"(?<=[.!?…。！？])\s+|\s*\n\s*|(?<=[。！？])(?![。！？」』”）\s])")
+_CLAUSE = re.compile(r"(?<=[,;:，、；：])\s+|(?<=[，、；：])(?!\s)")
+_IDEOGRAPHS = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_IDEOGRAPH = re.compile(f"[{_IDEOGRAPHS}]")
+#: Each ideograph or kana counts as a word.
+_WORD = re.compile(rf"[{_IDEOGRAPHS}][^\w\s]*|[^\s{_IDEOGRAPHS}]+")
+_PLAIN = re.compile(r"\S+")
+
+
+def _words(text: str) -> list[str]:
+    if _IDEOGRAPH.search(text):
+        return [w.lower() for w in _WORD.findall(text)]
+    return text.lower().split()
+
+
+def _content_cuts(words: list[str], runs: Runs) -> list[int]:
+    """Words before which an unbroken stretch is cut, so that equal passages are cut alike.
+
+    A cut stands where the hash of two words is the least within half a part to both sides.
+    Where that leaves more than ``longest`` words, it stands at the least of each window of a
+    part. Either depends on the words near by and not on where the stretch begins.
+    """
+    digest = xxhash.xxh64_intdigest
+    own = np.array([digest(f"{a} {b}") for a, b in zip(words, words[1:])], dtype=np.uint64)
+    # Of equal hashes the last one counts.
+    radius = max(runs.part // 2 - 1, 1)
+    most = np.full(radius, np.iinfo(np.uint64).max, dtype=np.uint64)
+    near = np.lib.stride_tricks.sliding_window_view(np.r_[most, own, most], 2 * radius + 1)
+    least = (own <= near[:, :radius].min(axis=1)) & (own < near[:, radius + 1 :].min(axis=1))
+    cuts = (np.flatnonzero(least) + 1).tolist()
+    edges = [0, *cuts, len(words)]
+    for a, b in zip(edges, edges[1:]):
+        if b - a > runs.longest:
+            windows = np.lib.stride_tricks.sliding_window_view(own[a : b - 1], runs.part)
+            last = runs.part - 1 - np.argmin(windows[:, ::-1], axis=1)
+            cuts.extend(set((a + 1 + np.arange(len(last)) + last).tolist()))
+    return sorted(cuts)
 
 
 def sentences(text: str, runs: Runs) -> list[tuple[int, int, list[str]]]:
@@ -40,13 +75,14 @@ def sentences(text: str, runs: Runs) -> list[tuple[int, int, list[str]]]:
     found: list[tuple[int, int, list[str]]] = []
 
     def cut(begin: int, end: int, breaks: list[re.Pattern]) -> None:
-        words = text[begin:end].lower().split()
+        words = _words(text[begin:end])
         if len(words) <= runs.longest or not breaks:
             if len(words) > runs.longest:
-                gaps = [m.end() for m in _GAP.finditer(text, begin, end) if m.start() > begin and m.end() < end]
-                edges = [begin, *gaps[runs.part - 1 :: runs.part], end]
+                word = _WORD if _IDEOGRAPH.search(text, begin, end) else _PLAIN
+                starts = [m.start() for m in word.finditer(text, begin, end)]
+                edges = [begin, *[starts[i] for i in _content_cuts(words, runs)], end]
                 for a, b in zip(edges, edges[1:]):
-                    found.append((a, b, text[a:b].lower().split()))
+                    found.append((a, b, _words(text[a:b])))
             elif words:
                 found.append((begin, end, words))
             elif found:  # white space goes with what stands before it
