@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vendaval.llm.decontaminate import Rule, contaminations
 from vendaval.llm.hnsw import Search, neighbour_report
+from vendaval.llm.importance import Draw, importance_report
 from vendaval.llm.katz import Katz, score_documents
+from vendaval.llm.lexical import Ranking, search
 from vendaval.llm.mixing import Mix, mix_report
 from vendaval.llm.neardup import near_duplicate_report
 from vendaval.llm.quality import Training, score_quality
 from vendaval.llm.shared import table
 from vendaval.llm.sharding import shard_report
 from vendaval.llm.spans import Runs, repeat_report
+from vendaval.llm.sql import importance_sql, search_sql
 from vendaval.llm.tokens import token_counts
 from vendaval.llm.toxicity import Training as ToxicTraining
 from vendaval.llm.toxicity import score_toxicity
+from vendaval.llm.urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +71,18 @@ def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), Katz())
 
 
+def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Ranking())
+
+
+def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Draw())
+
+
+def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": _substrings,
     "op2_mixing": _mixing,
@@ -78,8 +94,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality": _quality,
     "op9_near_duplicates": _near_duplicates,
     "op10_lm_scoring": _lm_scoring,
+    "op11_lexical_search": _search,
+    "op12_importance": _importance,
+    "op13_url_filter": _urls,
 }
 
-#: Spark's hashes, crc32, compression and trained models have no counterpart in the checking
-#: engine: those queries are tested against brute force and held-out rows in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+#: For the others Spark's hashes, compression and trained models have no counterpart in the
+#: checking engine: those queries are tested against brute force and held-out rows in tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op11_lexical_search": search_sql(),
+    "op12_importance": importance_sql(),
+}
