@@ -11,16 +11,14 @@ key holds at most 2^16 different fingerprints. Within a key the two-bit test is
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendaval.llm.batches import space_tokens
 from vendaval.llm.components import connected_components
 from vendaval.llm.shared import keep
 
@@ -66,11 +64,10 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
 
 
 def _links(free: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Pairs that connect what differs in at most ``bits`` bits.
+    """Pairs that connect what differs in at most ``bits`` bits: a spanning forest.
 
-    ``free`` holds different 16-bit values. Of up to eight values all pairs are given, of more
-    a spanning forest. Each value probes the values one and two bits away, so the work grows
-    with the number of values and not with its square.
+    ``free`` holds different 16-bit values. Each value probes the values one and two bits away,
+    so the work grows with the number of values and not with its square.
     """
     n = len(free)
     flips = [1 << i for i in range(16)]
@@ -84,8 +81,6 @@ def _links(free: np.ndarray, bits: int) -> list[tuple[int, int]]:
         found = where[free[:, None] ^ np.array(near)[None, :]]
         left, at = np.nonzero(found > np.arange(n)[:, None])
         right = found[left, at]
-    if n <= 8:
-        return list(zip(left.tolist(), right.tolist()))
     parent = list(range(n))
 
     def root(i: int) -> int:
@@ -166,20 +161,25 @@ def fingerprint_links(fingerprints: DataFrame, bits: int = BITS) -> DataFrame:
     return sorted_index.mapInPandas(link, "trial int, a long, b long")
 
 
+def _rooted(prints: DataFrame, bits: int) -> DataFrame:
+    """(fp, root): the smallest fingerprint reachable from each of the distinct ``fp``."""
+    parts = connected_components(fingerprint_links(prints, bits)).withColumnRenamed("node", "fp")
+    return prints.join(parts, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``documents`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id of all documents whose fingerprints are reachable
     by links of at most ``bits`` differing bits. Null and empty texts and texts of white space
     have fingerprint 0, which links like any other. Texts of fewer words than a shingle count
-    as one shingle. Repeated rows appear as often as given. A null doc_id is never the
-    smallest; a component without any other has a null id. An empty table gives no rows.
+    as one shingle, very long ones are read whole. Repeated rows appear as often as given. A
+    null doc_id is never the smallest; a component without any other has a null id. Other
+    columns are not read, whatever their names. An empty table gives no rows.
     """
     marked = keep(documents.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")), "fingerprints")
     least = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint_ids")
-    parts = connected_components(fingerprint_links(least.select("fp"), bits))
-    rooted = least.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    rooted = least.join(_rooted(least.select("fp"), bits), "fp")
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -191,173 +191,24 @@ def near_duplicate_report(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-@dataclass(frozen=True)
-class Similar:
-    """When two texts are near copies."""
-
-    shingle: int = 5  # words of a shingle
-    share: float = 0.8  # of all different shingles of both that both have
-
-
-#: Search only, not results: the most frequent shingles of a sixteenth of the texts stand last.
-FREQUENT = 100_000
-STARS = 3
-
-
-def _shingles(text: str | None, size: int) -> set[str]:
-    words = _words(text)
-    if len(words) <= size:
-        return {" ".join(words)}
-    return set(map(" ".join, zip(*(words[i:] for i in range(size)))))
-
-
-def _shingle_hashes(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
-    """The different shingles of each text as sorted 64-bit hashes."""
-    words, codes, ends = space_tokens(texts)
-    digest = xxhash.xxh64_intdigest
-    own = np.array([digest(w, SEED) for w in words], dtype=np.uint64)[codes]
-    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-        length = min(b - a, size)
-        found = np.full(max(b - a - size, 0) + 1, length, dtype=np.uint64)
-        for p in range(a, a + length):
-            found *= np.uint64(0x9E3779B97F4A7C15)
-            found ^= found >> np.uint64(29)
-            found += own[p : p + len(found)]
-        found *= np.uint64(0xD6E8FEB86659FD93)
-        yield np.unique((found ^ (found >> np.uint64(32))).view(np.int64))
-
-
-def _prefix(hashes: np.ndarray, frequent: np.ndarray, share: float) -> np.ndarray:
-    """The first hashes in an order common to all texts, as many as a near copy must meet."""
-    at = np.searchsorted(frequent, hashes)
-    late = np.zeros(len(hashes), dtype=bool)
-    inside = at < len(frequent)
-    late[inside] = frequent[at[inside]] == hashes[inside]
-    ordered = np.concatenate([hashes[~late], hashes[late]])
-    n = len(hashes)
-    return ordered[: n - int(np.ceil(share * n - 1e-9)) + 1]
-
-
-def _frequent_shingles(keyed: DataFrame, similar: Similar) -> np.ndarray:
-    """Shingles met in several texts of a sample; which ones they are only changes the cost."""
-
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for hashes in _shingle_hashes(rows["text"].tolist(), similar.shingle):
-                yield pd.DataFrame({"h": hashes})
+def keep_one(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: the smallest doc_id.
 
-    sample = keyed.where(F.col("key").startswith("0")).select("key", "text").dropDuplicates(["key"])
-    counts = sample.select("text").mapInPandas(compute, "h long").groupBy("h").agg(F.count("*").alias("n"))
-    most = counts.where("n > 2").orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
-    return np.sort(np.array([r["h"] for r in most], dtype=np.int64))
-
-
-def similar_groups(documents: DataFrame, similar: Similar = Similar()) -> DataFrame:
-    """(id, key, least, group) of each different text; near copies are linked into groups.
-
-    ``key`` is the text's md5, ``least`` its smallest doc_id. The groups are those that all
-    pairs sharing ``similar.share`` of their shingles would give. In an order common to all
-    texts two such texts share one of their first shingles, a fifth of all at a share of 0.8,
-    and from the first one they share on enough must be left to both. Frequent shingles stand
-    last, so few texts meet there. Whatever meets is compared in full, unless already in one
-    group: first with the smallest text at the shingle, which then leaves it, so that a large
-    group of near copies needs no pairs of its square; in the end all pairs that remain.
+    Groups are the components of ``near_duplicates``; null, empty and blank texts are one. Of
+    rows that share the smallest id the one with the smallest md5 of the text stays, of
+    repeated rows one. A null id comes after all others. Texts are read whole; columns may
+    have any names. An empty table gives no rows.
     """
     # No text is an empty text.
-    keyed = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keyed = keyed.select("doc_id", F.md5("text").alias("key"), "text")
-    spark = documents.sparkSession
-    frequent = spark.sparkContext.broadcast(_frequent_shingles(keyed, similar))
-
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            found = [(len(h), _prefix(h, frequent.value, similar.share)) for h in _shingle_hashes(texts.tolist(), similar.shingle)]
-            yield pd.DataFrame(found, columns=["n", "prefix"])
-
-    marked = keyed.select("doc_id", "key", F.pandas_udf(compute, "n int, prefix array<long>")(F.col("text")).alias("f"))
-    texts = marked.select("doc_id", "key", "f.*").groupBy("key")
-    texts = texts.agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    texts = keep(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
-
-    rows = texts.select("id", "n", F.posexplode("prefix").alias("i", "h"))
-    # What both could share at most if this is the first shingle they share.
-    rows = rows.select("h", F.struct("id", (F.col("n") - F.col("i")).alias("left"), "n").alias("y"))
-    several = rows.withColumn("met", F.count("*").over(Window.partitionBy("h"))).where("met > 1")
-    rows = keep(several.select("h", "y", F.col("y.id").alias("group")), "meeting")
-
-    enough = F.least("x.left", "y.left") * (1 + similar.share) >= similar.share * (F.col("x.n") + F.col("y.n")) - 1e-6
-    ends = F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
-    apart = F.col("group") != F.col("x_group")
-    tested = spark.createDataFrame([], "a long, b long")
-    groups = spark.createDataFrame([], "id long, component long")
-    stars = STARS
-    while True:
-        if stars:
-            first = rows.groupBy("h").agg(F.min(F.struct("y", "group")).alias("f"))
-            first = keep(first.select("h", F.col("f.y").alias("x"), F.col("f.group").alias("x_group")), "first_texts")
-            pairs = rows.join(first, "h")
-        else:
-            other = rows.select("h", F.col("y").alias("x"), F.col("group").alias("x_group"))
-            pairs = rows.join(other, "h").where("x.id < y.id")
-        pairs = pairs.where(apart & enough).select(*ends).distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "candidates")
-        tested = tested.unionByName(pairs)
-        links = keep(_verified(pairs, keyed, texts, similar), "similar")
-        linked = not links.isEmpty()
-        if linked:
-            known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            groups = connected_components(known.unionByName(links)).withColumnRenamed("node", "id")
-            groups = keep(groups, "groups")
-        if not stars:
-            break
-        stars = stars - 1 if linked else 0
-        rows = rows.join(first.select("h", "x.id"), "h").where("y.id <> id").select("h", "y", F.col("y.id").alias("id"))
-        rows = rows.join(groups, "id", "left").select("h", "y", F.coalesce("component", "id").alias("group"))
-        rows = keep(rows, "meeting")
-        # Where all are in one group nothing is left to compare.
-        several = rows.groupBy("h").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-        several = keep(several.where("low <> high").select("h"), "open_shingles")
-        rows = keep(rows.join(several, "h", "left_semi"), "meeting")
-        if rows.isEmpty():
-            break
-    group = F.coalesce("component", "id").alias("group")
-    return texts.join(groups, "id", "left").select("id", "key", "least", group)
-
-
-def _verified(pairs: DataFrame, keyed: DataFrame, texts: DataFrame, similar: Similar) -> DataFrame:
-    """The pairs (a, b) of ids whose texts share enough shingles, compared in full."""
-    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    asked = keep(asked.join(texts.select("id", "key"), "id"), "asked")
-    bodies = keyed.select("key", "text").join(asked, "key").groupBy("id").agg(F.first("text").alias("text"))
-    bodies = keep(bodies, "candidate_texts")
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            good = []
-            for x, y in zip(rows["x"], rows["y"]):
-                left, right = _shingles(x, similar.shingle), _shingles(y, similar.shingle)
-                both = len(left & right)
-                good.append(both >= similar.share * (len(left) + len(right) - both))
-            yield rows.loc[good, ["a", "b"]]
-
-    for end, body in (("a", "x"), ("b", "y")):
-        pairs = pairs.join(bodies.select(F.col("id").alias(end), F.col("text").alias(body)), end)
-    return pairs.mapInPandas(verify, "a long, b long")
-
-
-def keep_one(documents: DataFrame, similar: Similar = Similar()) -> DataFrame:
-    """One row of each group of equal texts and near copies, all columns: the smallest doc_id.
-
-    Groups are those of ``similar_groups``. Texts of at most a shingle's words are
-    near copies if their words are equal; null, empty and blank texts are all alike. Of
-    repeated rows one stays; of rows that share the smallest id the one with the smallest
-    md5 of the text. A null id comes after all others.
-    """
-    named = similar_groups(documents, similar)
-    place = F.struct(F.col("least").isNull().alias("none"), "least", "key")
-    first = named.groupBy("group").agg(F.min(place).alias("p"))
-    first = first.select(F.col("p.key").alias("__key"), F.col("p.least").alias("__least"))
-    keyed = documents.withColumn("__text_key", F.md5(F.coalesce("text", F.lit(""))))
-    is_first = (F.col("__text_key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__least"))
-    chosen = keyed.join(first, is_first, "left_semi").dropDuplicates(["doc_id", "__text_key"])
-    return chosen.select(*documents.columns)
+    key = F.md5(F.coalesce("text", F.lit("")))
+    marked = documents.select("doc_id", key.alias("key"), fingerprint(F.col("text"), shingle).alias("fp"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    firsts = keep(marked.groupBy("fp").agg(F.min(place).alias("p")), "fingerprint_firsts")
+    rooted = firsts.join(_rooted(firsts.select("fp"), bits), "fp")
+    chosen = rooted.groupBy("root").agg(F.min("p").alias("p")).select("p.key", "p.doc_id")
+    # Written, so that its size decides how it is joined.
+    chosen = keep(chosen, "first_documents").alias("c")
+    rows = documents.select("doc_id", key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    alike = (F.col("r.key") == F.col("c.key")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id"))
+    first = rows.alias("r").join(chosen, alike, "left_semi")
+    return first.dropDuplicates(["key", "doc_id"]).select("row.*")
