@@ -91,6 +91,11 @@ def test_odd_rows(documents, odd_rows):
     check(documents(rows, clashing=True), rows, Katz(block=50, bucket=100))
 
 
+def test_ids_beyond_doubles_beside_a_null(documents):
+    rows = [((1 << 60) + i, f"some words {i}") for i in (1, 3, 5, 6)] + [(None, "no id")]
+    check(documents(rows), rows, Katz(block=4, bucket=5))
+
+
 def test_counts_where_good_and_turing_apply(documents):
     # As many words of each count as a long-tailed corpus has.
     words = [f"w{r}-{j}" for r in range(1, 9) for j in range(400 // r**2 + 1) for _ in range(r)]

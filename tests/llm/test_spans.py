@@ -98,3 +98,11 @@ def test_ideographic_sentences_need_no_white_space():
 def test_equal_words_are_parted_with_a_bound():
     for words in (["x"] * 200, [f"w{i}" for i in range(300)], ["a", "b"] * 90):
         assert max(len(w) for *_, w in sentences(" ".join(words), Runs())) <= Runs().longest
+
+
+def test_ids_beyond_doubles_beside_a_null(documents):
+    far = 1 << 60
+    rows = [(far + 1, "Own words come first here. " + PASSAGE), (far + 3, PASSAGE), (None, "Nobody knows this one."), (far + 5, PASSAGE)]
+    found = {r.doc_id: r.removed for r in without_repeats(documents(rows, clashing=True)).collect()}
+    assert set(found) == {far + 1, far + 3, far + 5, None}
+    assert not found[far + 1] and found[far + 3] and found[far + 5]

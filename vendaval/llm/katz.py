@@ -94,8 +94,9 @@ def packed_documents(documents: DataFrame, katz: Katz = Katz()) -> DataFrame:
     ``words`` are the keys of a block's different words, the most frequent first, ``codes``
     its tokens by that order, each text closed by the end token.
     """
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    texts = documents.select("doc_id", (~held_out(F.col("doc_id"), 1)).alias("trained"), "text")
+    # Ids as text, because pandas would turn long ones beside a missing one to floats.
+    own_id = F.col("doc_id").cast("string").alias("doc_id")
+    texts = documents.select(own_id, (~held_out(F.col("doc_id"), 1)).alias("trained"), "text")
 
     def block(number: int, parts: list[tuple]) -> pd.DataFrame:
         keys, codes = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
@@ -126,7 +127,7 @@ def packed_documents(documents: DataFrame, katz: Katz = Katz()) -> DataFrame:
                 keys = np.array([*map(digest, words), END], dtype=np.uint64)
                 # The end token goes behind each text.
                 codes = np.insert(codes, ends[1:], len(words))
-                ids = [None if pd.isna(i) else i for i in part["doc_id"].tolist()]
+                ids = part["doc_id"].tolist()
                 held.append((ids, part["trained"].to_numpy(), keys[codes], np.diff(ends) + 1))
                 size += len(codes)
                 if size >= katz.block:
@@ -137,7 +138,7 @@ def packed_documents(documents: DataFrame, katz: Katz = Katz()) -> DataFrame:
 
     packed = texts.mapInPandas(
         split,
-        f"block long, ids array<{kind}>, trained binary, lengths binary, words binary, codes binary, tokens long",
+        "block long, ids array<string>, trained binary, lengths binary, words binary, codes binary, tokens long",
     )
     return keep(packed, "katz_blocks")
 
@@ -300,7 +301,7 @@ def score_documents(documents: DataFrame, katz: Katz = Katz()) -> DataFrame:
 
     opened = blocks.join(_by_block(words, "word_answers"), "block").join(_by_block(pairs, "pair_answers"), "block")
     weighed = keep(
-        opened.mapInPandas(weigh, f"{_REQUEST}, ids array<{id_kind}>, sums array<binary>"), "katz_contexts"
+        opened.mapInPandas(weigh, f"{_REQUEST}, ids array<string>, sums array<binary>"), "katz_contexts"
     )
     contexts = pooled(weighed.where("bucket >= 0").select(*_COLUMNS), 1, "katz_weights")
     partial = weighed.where("bucket < 0").select("block", "ids", "sums", "values")
@@ -310,8 +311,9 @@ def score_documents(documents: DataFrame, katz: Katz = Katz()) -> DataFrame:
             for _, row in rows.iterrows():
                 yield _finish_block(row, katz, total, word_factors, pair_factors)
 
-    kind = f"doc_id {id_kind}, n_tokens long, n_known long, base_score double, score double"
+    kind = "doc_id string, n_tokens long, n_known long, base_score double, score double"
     scored = partial.join(_by_block(contexts, "answers"), "block", "left").mapInPandas(finish, kind)
+    scored = scored.withColumn("doc_id", F.col("doc_id").cast(id_kind))
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id"), 1).alias("held_out"),
@@ -403,7 +405,7 @@ def _finish_block(row, katz, total, word_factors, pair_factors) -> pd.DataFrame:
         with np.errstate(divide="ignore", invalid="ignore"):
             weight = np.log10(free / count / (1.0 - follow))
         score = score + np.bincount(docs, weights=weight[at], minlength=len(score))
-    ids = pd.Series([None if pd.isna(i) else i for i in row["ids"]], dtype=object)
+    ids = pd.Series(list(row["ids"]), dtype=object)
     return pd.DataFrame(
         {"doc_id": ids, "n_tokens": lengths, "n_known": known, "base_score": base, "score": score}
     )

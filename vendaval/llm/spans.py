@@ -151,8 +151,11 @@ def repeated_runs(documents: DataFrame, runs: Runs = Runs()) -> DataFrame:
                 ids = part[["doc_id", "tie"]].iloc[np.repeat(np.arange(len(part)), counts)]
                 yield ids.assign(h=halves[:, 0], l=halves[:, 1], begin=spots[:, 0], end=spots[:, 1])
 
-    texts = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("tie"), "text")
-    every = texts.mapInPandas(split, f"doc_id {kind}, tie long, h long, l long, begin int, end int")
+    # As text, because pandas would turn long ids beside a missing one to floats.
+    own_id = F.col("doc_id").cast("string").alias("doc_id")
+    texts = documents.where("text is not null").select(own_id, F.xxhash64("text").alias("tie"), "text")
+    every = texts.mapInPandas(split, "doc_id string, tie long, h long, l long, begin int, end int")
+    every = every.withColumn("doc_id", F.col("doc_id").cast(kind))
     place = F.struct("doc_id", "tie", "begin")
     firsts = every.groupBy("h", "l").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     firsts = keep(firsts.where("n > 1").select("h", "l", "first"), "first_runs")
@@ -187,22 +190,24 @@ def without_repeats(documents: DataFrame, runs: Runs = Runs()) -> DataFrame:
                 merged.append([{"begin": b, "end": e} for b, e in out])
             yield rows[["doc_id", "tie"]].assign(spans=pd.Series(merged, index=rows.index, dtype=object))
 
-    spans = spans.mapInPandas(merge, f"doc_id {kind}, tie long, spans array<struct<begin: int, end: int>>")
-    spans = spans.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("spans").alias("__spans"))
-    hashed = documents.withColumn("__hash", F.xxhash64("text"))
-    alike = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__tie"))
-    joined = hashed.join(spans, alike, "left")
+    spans = spans.withColumn("doc_id", F.col("doc_id").cast("string"))
+    spans = spans.mapInPandas(merge, "doc_id string, tie long, spans array<struct<begin: int, end: int>>")
+    spans = spans.withColumn("doc_id", F.col("doc_id").cast(kind)).alias("s")
+    names = [c for c in documents.columns if c not in ("text", "removed")]
+    row = F.struct(F.lit(0), *[F.col(f"`{c}`") for c in names]).alias("row")
+    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("tie"), row).alias("d")
+    alike = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.tie") == F.col("s.tie"))
+    joined = rows.join(spans, alike, "left").select("d.text", "d.row", "s.spans")
     kept = F.expr(
-        "array_join(transform(sequence(0, size(__spans)), i -> substring(text,"
-        " if(i = 0, 1, __spans[i - 1].end + 1),"
-        " if(i = size(__spans), length(text), __spans[i].begin) - if(i = 0, 0, __spans[i - 1].end))), '')"
+        "array_join(transform(sequence(0, size(spans)), i -> substring(text,"
+        " if(i = 0, 1, spans[i - 1].end + 1),"
+        " if(i = size(spans), length(text), spans[i].begin) - if(i = 0, 0, spans[i - 1].end))), '')"
     )
     none = F.expr("cast(array() as array<struct<begin: int, end: int>>)")
-    names = [c for c in documents.columns if c not in ("text", "removed")]
     return joined.select(
-        *names,
-        F.when(F.col("__spans").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.coalesce("__spans", none).alias("removed"),
+        *[F.col(f"row.`{c}`").alias(c) for c in names],
+        F.when(F.col("spans").isNull(), F.col("text")).otherwise(kept).alias("text"),
+        F.coalesce("spans", none).alias("removed"),
     )
 
 
