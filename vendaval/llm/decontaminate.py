@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendaval.llm.batches import letter_tokens
+from vendaval.llm.shared import keep
 
 #: Fixed masks: 1 looks at the token, 0 ignores it.
 MASKS = ("11011011", "11101111", "111111")
@@ -238,19 +239,25 @@ def _scan(documents: DataFrame, items: list[tuple[int, str]], rule: Rule) -> Dat
                     out.extend((doc, i, x, y - 1, m, n) for i, x, y, m, n in overlaps(tokens[a:b], vocabulary))
             yield pd.DataFrame(out, columns=names, dtype=object)
 
-    return documents.mapInPandas(
+    # As text, because pandas would turn long ids beside a missing one to floats.
+    named = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
+    found = named.mapInPandas(
         scan,
-        f"doc_id {kind}, item_id bigint, first_token bigint, last_token bigint, matched bigint, item_tokens bigint",
+        "doc_id string, item_id bigint, first_token bigint, last_token bigint, matched bigint, item_tokens bigint",
     )
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The rows of ``documents``, all columns, in which no benchmark item is found.
 
     Rows are judged by their text, so one without an id is judged like any other, and rows
-    that share an id each by their own text.
+    that share an id each by their own text. Null, empty and blank texts stay. Columns may have
+    any names. An empty table gives no rows.
     """
-    rows = documents.withColumn("__text_key", F.xxhash64("text"))
-    texts = documents.select(F.xxhash64("text").alias("doc_id"), "text")
-    dirty = contaminations(texts, benchmark, rule).select(F.col("doc_id").alias("__text_key")).distinct()
-    return rows.join(dirty, "__text_key", "left_anti").select(*documents.columns)
+    key = F.xxhash64("text").alias("key")
+    # Written first, so that few keys are broadcast and the documents stay where they are.
+    dirty = contaminations(documents.select(key.alias("doc_id"), "text"), benchmark, rule)
+    dirty = keep(dirty.select(F.col("doc_id").alias("key")).distinct(), "contaminated")
+    rows = documents.select(key, F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    return rows.join(dirty, "key", "left_anti").select("row.*")
