@@ -112,3 +112,20 @@ def test_main_path_runs_no_python(documents):
     docs = documents([(i, "a b c d e f g") for i in range(20)])
     plan = mix_report(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_capped_sources_meet_their_target(documents):
+    """One block each: the draws of a source add up to its two passes."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)), f"s{i:02d}") for i in range(48)]
+    rows += [(1000 + i, "far " * 64, "z") for i in range(400)]
+    found = [r for r in mix_report(documents(rows)).collect() if r.doc_id < 1000]
+    assert {r.target for r in found} == {120.0} and {r.taken for r in found} == {120}
+
+
+def test_texts_with_clashing_columns(documents):
+    rows = [(i, f"one two three {i} " * 40, "ab"[i % 2]) for i in range(30)] + [(1 << 60, "far away", "a"), (None, "no id", "a")]
+    plain = mix_texts(documents(rows)).select("doc_id", "text").collect()
+    frame = documents(rows, clashing=True)
+    mixed = mix_texts(frame)
+    assert mixed.columns == frame.columns
+    assert sorted(map(tuple, mixed.select("doc_id", "text").collect()), key=str) == sorted(map(tuple, plain), key=str)

@@ -1,7 +1,7 @@
 """Operator 2, mixing sources to target weights. Built-in expressions only.
 
-The words of a source are packed into blocks of fixed length. Each output shard draws how
-many blocks it takes of each source; a source's draws are its slots 0, 1, 2, ... A slot finds
+The words of a source are packed into blocks of fixed length. Draws decide how many blocks
+each output shard takes of each source; a source's draws are its slots 0, 1, 2, ... A slot finds
 its block through a pseudorandom permutation of the source's block numbers, a new one for
 each pass over them, and slots meet documents in a join on source and block number. No pass
 is begun before the last one is through, so with targets of at most twice a source no block
@@ -84,37 +84,26 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
 def drawn_counts(targets: DataFrame, mix: Mix) -> DataFrame:
     """(number, blocks, shard, first, slots): the slots of each source in each output shard.
 
-    A shard's expected count of a source is its whole part plus a multinomial draw for what
-    the parts leave over, which keeps small sources near their targets. Draws beyond
-    ``mix.most`` passes over a source's blocks are void.
+    A source has as many slots as meet its target to the nearest block. Each shard takes an
+    equal whole part of them, and what the parts leave over, fewer than there are shards, is
+    drawn: each goes to a shard of its own draw, so the counts of a source are multinomial and
+    add up to its slots.
     """
-    cut = F.col("slots") / mix.shards
-    per_shard = targets.select(
-        "number", "blocks", F.floor(cut).alias("whole"), (cut - F.floor(cut)).alias("part")
-    )
-    entry = F.struct("number", "blocks", "whole", "part")
-    # One row that lists the sources; shards and draws are made from it.
-    listed = per_shard.agg(F.sort_array(F.collect_list(entry)).alias("sources"), F.sum("part").alias("parts"))
-    shards = listed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(mix.shards - 1))))
-    draws = shards.where("round(parts) >= 1").withColumn("draw", F.explode(F.expr("sequence(1L, cast(round(parts) as bigint))")))
-    spot = F.shiftrightunsigned(F.xxhash64(F.lit(mix.seed), "shard", "draw"), 11) / F.lit(float(2**53))
-    draws = draws.withColumn("spot", spot * F.col("parts"))
-    # Walk along the parts until the spot is reached.
-    picked = F.expr(
-        "aggregate(sources, named_struct('left', spot, 'at', -1),"
-        " (a, s) -> named_struct('left', a.left - s.part,"
-        " 'at', if(a.at < 0 and s.part > 0 and a.left < s.part, s.number, a.at))).at"
+    total = F.least(F.floor(F.col("slots") + 0.5), F.col("blocks") * mix.most)
+    whole = targets.select(
+        "number",
+        "blocks",
+        F.floor(total / mix.shards).alias("whole"),
+        F.pmod(total, F.lit(mix.shards)).cast("int").alias("rest"),
+        F.explode(F.sequence(F.lit(0), F.lit(mix.shards - 1))).alias("shard"),
     )
-    drawn = draws.select("shard", picked.alias("number")).groupBy("shard", "number").agg(F.count("*").alias("drawn"))
-    base = shards.select("shard", F.explode("sources").alias("s")).select("shard", "s.number", "s.blocks", "s.whole")
-    counts = base.join(drawn, ["shard", "number"], "left").select(
-        "number", "blocks", "shard", (F.col("whole") + F.coalesce("drawn", F.lit(0))).alias("slots")
+    drawn = F.expr(
+        "size(filter(slice(sequence(1, greatest(rest, 1)), 1, rest),"
+        f" draw -> pmod(xxhash64({mix.seed}, number, draw), {mix.shards}) = shard))"
     )
+    counts = whole.select("number", "blocks", "shard", (F.col("whole") + drawn).alias("slots"))
     earlier = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.coalesce(F.sum("slots").over(earlier), F.lit(0))
-    placed = counts.withColumn("first", first)
-    room = F.col("blocks") * mix.most - F.col("first")
-    return placed.withColumn("slots", F.greatest(F.least("slots", room), F.lit(0)))
+    return counts.withColumn("first", F.coalesce(F.sum("slots").over(earlier), F.lit(0)))
 
 
 def permuted(index: Column, size: Column, key: Column, rounds: int) -> Column:
@@ -239,28 +228,35 @@ def mix_texts(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
     One row per document and pass that takes any of its words: the text whole if all of its
     words are taken, else the taken words in order, parted by single spaces. Documents of
-    which nothing is taken are not in the mix. ``n_chars`` is set anew where it exists;
-    other columns stay as they are.
+    which nothing is taken are not in the mix, null and empty texts among them. ``n_chars`` is
+    set anew where it exists; other columns stay as they are, whatever their names. Rows alike
+    in id, source and text are one row with all their copies; very long texts are cut by the
+    same rule. An empty table gives no rows.
     """
     mixed = plan_mix(documents, mix)
     whole = taken_spans(mixed, mix).groupBy("doc_id", "number", "tie", "size", "start", "turn")
     # A document's taken parts, at most its words / mix.block of them.
     spans = whole.agg(F.sum("words").alias("n"), F.sort_array(F.collect_list(F.struct("begin", "words"))).alias("parts"))
     copies = spans.groupBy("doc_id", "number", "tie").agg(F.collect_list(F.struct("n", "size", "parts")).alias("copies"))
-    copies = copies.join(mixed.targets.select("number", F.col("source").alias("__source")), "number")
-    copies = copies.select(F.col("doc_id").alias("__id"), "__source", F.col("tie").alias("__tie"), "copies")
+    copies = copies.join(mixed.targets.select("number", "source"), "number")
+    copies = copies.select("doc_id", "source", "tie", F.explode("copies").alias("copy")).alias("c")
     # Rows alike in id, source and text stand for one another; the first gives all their copies.
-    texts = documents.withColumn("__hash", F.xxhash64("text"))
-    single = texts.dropDuplicates(["doc_id", "source", "__hash"])
-    alike = (
-        F.col("doc_id").eqNullSafe(F.col("__id"))
-        & F.col("source").eqNullSafe(F.col("__source"))
-        & (F.col("__hash") == F.col("__tie"))
+    texts = documents.select(
+        "doc_id",
+        "source",
+        "text",
+        F.xxhash64("text").alias("tie"),
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
     )
-    joined = single.join(copies, alike).withColumn("__copy", F.explode("copies"))
+    single = texts.dropDuplicates(["doc_id", "source", "tie"]).alias("d")
+    alike = F.col("d.tie") == F.col("c.tie")
+    for c in ("doc_id", "source"):
+        alike &= F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}"))
+    joined = single.join(copies, alike).select("d.text", "d.row", "c.copy")
     words = F.expr(f"regexp_extract_all(text, r'({WORD})', 1)")
-    pieces = F.expr("flatten(transform(__copy.parts, p -> slice(__words, cast(p.begin + 1 as int), cast(p.words as int))))")
-    cut = F.when(F.col("__copy.n") == F.col("__copy.size"), F.col("text")).otherwise(F.concat_ws(" ", pieces))
-    made = joined.withColumn("__words", F.when(F.col("__copy.n") < F.col("__copy.size"), words))
-    out = {"text": cut} | ({"n_chars": F.length(cut).cast("long")} if "n_chars" in documents.columns else {})
-    return made.withColumns(out).select(*documents.columns)
+    part = F.col("copy.n") < F.col("copy.size")
+    made = joined.withColumn("words", F.when(part, words))
+    pieces = F.expr("flatten(transform(copy.parts, p -> slice(words, cast(p.begin + 1 as int), cast(p.words as int))))")
+    made = made.withColumn("cut", F.when(part, F.concat_ws(" ", pieces)).otherwise(F.col("text")))
+    out = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
+    return made.select(*[out[c].alias(c) if c in out else F.col(f"row.`{c}`").alias(c) for c in documents.columns])
