@@ -16,7 +16,8 @@ DOCUMENTS = T.StructType(
 #: Columns whose names clash with what operators make on their way.
 CLASHING = (
     "shard slot size start block tie number turn removed spans fp component_id score label "
-    "passages n_tokens held_out predicted words codes bucket values ids h l begin end first"
+    "passages n_tokens held_out predicted words codes bucket values ids h l begin end first "
+    "key row fp root p c copies place least component __id __tie __key __bucket __hash __spans"
 ).split()
 
 

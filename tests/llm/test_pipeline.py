@@ -38,3 +38,15 @@ def test_empty_documents(spark, documents, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
     assert docs.collect() == []
+
+
+def test_odd_rows_with_clashing_columns(spark, documents, sf, odd_rows):
+    """Every stage keeps columns of any name and all rows whose id is beyond 2^53."""
+    rows = odd_rows + [(i, f"Some sentence number {i}. It says {i * i} and {i % 7}. " * 6) for i in range(100, 140)]
+    far = [(1 << 60) + i for i in (1, 3, 5)]
+    docs = documents(rows + [(i, f"Far away lies {i}, and {i % 11} words of it. " * 5) for i in far], clashing=True)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = keep(stage(spark, docs, sf), "stage")
+        ids = [r.doc_id for r in docs.select("doc_id").collect()]
+        assert set(ids) <= {r[0] for r in rows} | set(far), name
+    assert {"row", "key", "copies", "shard", "slot"} <= set(docs.columns)

@@ -51,10 +51,17 @@ def assign_shards(
     rows alike in both are interchangeable.
     """
     kept = [c for c in rows.columns if c not in (shard, slot)]
-    placed = rows.select(*kept, shard_of(F.col(key), weights).cast("int").alias(shard))
-    placed = placed.withColumns({"__hash": F.xxhash64(text), "__one": F.lit(1).cast("long")})
-    numbered = running_total(placed, shard, [key, "__hash"], "__one", slot)
-    return numbered.select(*kept, shard, slot)
+    placed = rows.select(
+        F.col(key).alias("key"),
+        F.xxhash64(text).alias("hash"),
+        F.lit(1).cast("long").alias("one"),
+        shard_of(F.col(key), weights).cast("int").alias("shard"),
+        # A first field, because a struct may not be empty.
+        F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("row"),
+    )
+    numbered = running_total(placed, "shard", ["key", "hash"], "one", "slot")
+    columns = [F.col(f"row.`{c}`").alias(c) for c in kept]
+    return numbered.select(*columns, F.col("shard").alias(shard), F.col("slot").alias(slot))
 
 
 def shard_report(rows: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -79,6 +86,5 @@ def shard_report(rows: DataFrame, shards: int, key: str = "doc_id", text: str =
 
 def write_shards(rows: DataFrame, weights: Sequence[float], path: str, per_file: int = 200_000) -> None:
     """Writes one folder per shard, each split into files of about ``per_file`` rows."""
-    placed = assign_shards(rows, weights).withColumn("__file", F.col("slot").cast("long") / per_file)
-    placed = placed.withColumn("__file", F.floor("__file"))
-    placed.repartition("shard", "__file").drop("__file").write.partitionBy("shard").parquet(path)
+    placed = assign_shards(rows, weights)
+    placed.repartition("shard", F.floor(F.col("slot") / per_file)).write.partitionBy("shard").parquet(path)
