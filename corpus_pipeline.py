@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``documents``. ``run`` writes each stage's rows to the shared folder and hands the
 written rows to the next.
+
+In every stage null, empty and blank texts, repeated rows, rows without an id, ties and very
+long texts are treated as the stage's operator says in its docstring; an empty table stays
+empty; columns beyond those of ``documents`` are kept, whatever their names, unless a stage
+makes one of that name (``shard``, ``slot``).
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near duplicates."""
+    """Keeps the smallest doc_id of each group of texts with linked fingerprints."""
     return keep_one(docs)
 
 
@@ -52,7 +57,7 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-#: Compression, SimHash and the draws of the mix cannot be said in SQL; see tests/llm.
+#: Compression, XXH64 and the draws of the mix cannot be said in SQL; see tests/llm.
 ORACLE_SQL = None
 
 
