@@ -155,7 +155,8 @@ def repeated_runs(documents: DataFrame, runs: Runs = Runs()) -> DataFrame:
     own_id = F.col("doc_id").cast("string").alias("doc_id")
     texts = documents.where("text is not null").select(own_id, F.xxhash64("text").alias("tie"), "text")
     every = texts.mapInPandas(split, "doc_id string, tie long, h long, l long, begin int, end int")
-    every = every.withColumn("doc_id", F.col("doc_id").cast(kind))
+    # Written, so that texts are split once for the firsts and the runs that follow them.
+    every = keep(every.withColumn("doc_id", F.col("doc_id").cast(kind)), "runs")
     place = F.struct("doc_id", "tie", "begin")
     firsts = every.groupBy("h", "l").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     firsts = keep(firsts.where("n > 1").select("h", "l", "first"), "first_runs")
