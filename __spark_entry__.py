@@ -39,15 +39,15 @@ from vendaval.operators import (
 from vendaval.operators import manifest as manifests
 from vendaval.plans import reports
 from vendaval.plans.batch_views import read_batch_view, refresh_batch_views
-from vendaval.plans.checks import referential_report
-from vendaval.plans.extract import extract_table
+from vendaval.plans.checks import read_checked, referential_report, store_checked
+from vendaval.plans.extract import extract_all, extract_table
 from vendaval.plans.gold_views import (
     exact_gold_view,
     gold_view,
     refresh_gold_views,
     straddling_windows,
 )
-from vendaval.plans.ingest import ingest_table, pending_snapshots, read_master
+from vendaval.plans.ingest import ingest_all, ingest_table, pending_snapshots, read_master
 from vendaval.plans.layout import Layout
 from vendaval.session import shared_folder
 from vendaval.sources.events import decode_events, encode_events, quarantined_events
@@ -65,6 +65,7 @@ from vendaval.specs import (
     ViewSpec,
 )
 from vendaval.streaming import (
+    all_windows,
     newer_than,
     read_stored_events,
     speed_view,
@@ -292,7 +293,7 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return grouped.select(
             F.lit(table).alias("table"),
             F.col("newest").cast("string").alias("date"),
-            F.concat(F.lit(f"new_data/{table}/"), "month").alias("path"),
+            F.concat(F.lit(f"snapshots/{table}/"), "month").alias("path"),
         )
 
     return monthly(shop.sales, "vendas").unionByName(monthly(shop.lines, "itens_venda"))
@@ -461,11 +462,10 @@ def _job_gold(view: ViewSpec, exact: bool) -> Query:
         events, once = _event_sales(stream), {"availableNow": True}
         if exact:
             value = F.to_json(F.struct(*[c for c in events.columns if c != "timestamp"]))
-            queries = start_event_store(events.select(value.alias("value"), "timestamp"), layout, trigger=once)
+            running = start_event_store(events.select(value.alias("value"), "timestamp"), layout, trigger=once)
         else:
-            queries = start_speed_views(newer_than(events, ends[0]), layout, trigger=once)
-        for running in queries:
-            running.awaitTermination()
+            running = start_speed_views(newer_than(events, ends[0]), layout, trigger=once)
+        running.awaitTermination()
         recent = {"recent_sales": read_stored_events(spark, layout)} if exact else {}
         paths = _done(refresh_gold_views(spark, layout, **recent))
         return _plain(spark.read.parquet(paths[view.name]))
@@ -473,6 +473,43 @@ def _job_gold(view: ViewSpec, exact: bool) -> Query:
     return query
 
 
+def _stream_all_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All views from one stream, drained: what it stored and what is still in its state."""
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # A glob, because a stream may not start from the path of a single file.
+    stream = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/events.parquet*")
+    layout = Layout(f"{shared_folder(spark)}/windows_{run_name()}")
+    events = newer_than(event_columns(stream), None)
+    start_speed_views(events, layout, trigger={"availableNow": True}).awaitTermination()
+    return _plain(_flat_window(all_windows(spark, layout)).drop("dia"))
+
+
+def _job_item_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over the masters: facts bucketed by sale, stored in two lots."""
+    tables = TpchShop(spark, sf_dir).operational_tables()
+    layout = Layout(f"{shared_folder(spark)}/detail_{run_name()}")
+    names = ["itens_venda", "vendas", "produtos", "vendedores"]
+    for until in (SINCE, None):
+        _done(extract_all(spark, FrameSource(tables), layout, names, until=until))
+        _done(ingest_all(spark, layout, names))
+    stored = {name: read_master(spark, layout, TABLES[name]) for name in names}
+    detail = reports.item_detail(
+        stored["itens_venda"], stored["produtos"], stored["vendas"], stored["vendedores"]
+    )
+    return _plain(detail)
+
+
+def _dq_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities checked and written in one pass, then both parts read again."""
+    customers = TpchShop(spark, sf_dir).table("customer")
+    entities = spark.sql(_ENTITY.replace("FROM customer", "FROM {customers}"), customers=customers)
+    path = f"{shared_folder(spark)}/checked_{run_name()}"
+    store_checked(entities, entity_rules("clientes"), path)
+    failed = F.concat_ws(",", "failed_rules").alias("failed_rules")
+    valid = read_checked(spark, path, True).select("id_cliente", F.lit("").alias("failed_rules"))
+    return valid.unionByName(read_checked(spark, path, False).select("id_cliente", failed))
+
+
 # Events and pricing
 
 
@@ -657,6 +694,9 @@ def _shop_queries() -> dict[str, Query]:
         "ingest_lines_unique": _ingest_lines_unique,
         "event_quarantine": _event_quarantine,
         "speed_wide_amounts": _speed_wide,
+        "stream_all_windows": _stream_all_windows,
+        "job_item_detail": _job_item_detail,
+        "dq_stored": _dq_stored,
         "dq_entity_valid": _dq_entity(True),
         "dq_entity_quarantine": _dq_entity(False),
         "ingest_master": _ingest_master,
@@ -759,6 +799,43 @@ def _stream_sql(view: ViewSpec) -> str:
               <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '10 seconds' FROM events)"""
 
 
+def _all_windows_sql() -> str:
+    parts = [
+        f"""
+        SELECT '{view.name}' AS visao, window_start,
+               window_start + INTERVAL '{WINDOW}' AS window_end,
+               CAST({_key_sql(view, "k")} AS VARCHAR) AS chave, maior_id, menor_id, qtd_vendas,
+               {_money("c")} AS total, {_mean("c", "qtd_vendas")} AS ticket_medio
+        FROM ({_window_groups(view, "event_id IS NOT NULL")})"""
+        for view in VIEWS.values()
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _job_item_detail_sql() -> str:
+    return f"""
+        SELECT id_venda, id_produto, p_name AS produto, id_vendedor, s_name AS nome_vendedor,
+               quantidade, valor_unitario, valor_total, desconto
+        FROM ({_unique_lines_sql()}) JOIN part ON p_partkey = id_produto
+        JOIN orders ON o_orderkey = id_venda JOIN {_SELLER} ON k = id_venda
+        JOIN supplier ON s_suppkey = id_vendedor"""
+
+
+def _unique_lines_sql() -> str:
+    return f"""
+            SELECT id_produto, id_venda, quantidade, {_money("u")} AS valor_unitario, valor_total,
+                   {_money("d")} AS desconto, criacao
+            FROM (SELECT *, row_number() OVER (
+                      PARTITION BY id_produto, id_venda
+                      ORDER BY criacao, quantidade, u, valor_total, d) AS n
+                  FROM (SELECT l_partkey AS id_produto, l_orderkey AS id_venda,
+                               CAST(l_quantity AS INTEGER) AS quantidade, {_UNIT_CENTS} AS u,
+                               l_extendedprice AS valor_total, {_DISCOUNT_CENTS} AS d,
+                               l_shipdate AS criacao
+                        FROM lineitem))
+            WHERE n = 1"""
+
+
 def _batch_and_speed(view: ViewSpec, window: str = WINDOW) -> str:
     mean = f"({_micros('c', 'qtd_vendas')} + 5000) // 10000"
     return f"""
@@ -837,11 +914,11 @@ _CHANGED = f"criacao > TIMESTAMP '{SINCE}' OR atualizacao > TIMESTAMP '{SINCE}'"
 
 _MANIFEST = """
     SELECT 'vendas' AS "table", CAST(max(o_orderdate) AS VARCHAR) AS date,
-           'new_data/vendas/' || strftime(o_orderdate, '%Y-%m') AS path
+           'snapshots/vendas/' || strftime(o_orderdate, '%Y-%m') AS path
     FROM orders GROUP BY strftime(o_orderdate, '%Y-%m')
     UNION ALL
     SELECT 'itens_venda', CAST(max(l_shipdate) AS VARCHAR),
-           'new_data/itens_venda/' || strftime(l_shipdate, '%Y-%m')
+           'snapshots/itens_venda/' || strftime(l_shipdate, '%Y-%m')
     FROM lineitem GROUP BY strftime(l_shipdate, '%Y-%m')"""
 
 _TOTAL_CENTS = _cents("l_extendedprice")
@@ -1014,18 +1091,7 @@ def _shop_sql() -> dict[str, str]:
                    TIMESTAMP '1995-01-01 00:00:00' AS criacao,
                    CASE WHEN p_partkey % 3 = 0 THEN TIMESTAMP '{SINCE}' END AS atualizacao
             FROM part""",
-        "ingest_lines_unique": f"""
-            SELECT id_produto, id_venda, quantidade, {_money("u")} AS valor_unitario, valor_total,
-                   {_money("d")} AS desconto, criacao
-            FROM (SELECT *, row_number() OVER (
-                      PARTITION BY id_produto, id_venda
-                      ORDER BY criacao, quantidade, u, valor_total, d) AS n
-                  FROM (SELECT l_partkey AS id_produto, l_orderkey AS id_venda,
-                               CAST(l_quantity AS INTEGER) AS quantidade, {_UNIT_CENTS} AS u,
-                               l_extendedprice AS valor_total, {_DISCOUNT_CENTS} AS d,
-                               l_shipdate AS criacao
-                        FROM lineitem))
-            WHERE n = 1""",
+        "ingest_lines_unique": _unique_lines_sql(),
         "event_quarantine": """
             SELECT CASE WHEN event_id % 97 = 0 THEN 'id_venda' ELSE 'valor_total' END AS motivo,
                    count(*) AS qtd
@@ -1039,6 +1105,9 @@ def _shop_sql() -> dict[str, str]:
                    {_money(f"sum({_cents('value')}) * 10000000")} AS total_faturado,
                    {_mean(f"(sum({_cents('value')}) * 10000000)", "count(*)")} AS ticket_medio
             FROM events GROUP BY 1, 2, 3""",
+        "stream_all_windows": _all_windows_sql(),
+        "job_item_detail": _job_item_detail_sql(),
+        "dq_stored": f"""SELECT id_cliente, failed_rules FROM ({_entity_sql("true")})""",
         "dq_entity_valid": _entity_sql("failed_rules = ''", "EXCLUDE (failed_rules)"),
         "dq_entity_quarantine": _entity_sql("failed_rules <> ''"),
         "ingest_master": _STORED_SALES,

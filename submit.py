@@ -20,10 +20,12 @@ from vendaval.plans import (
     refresh_batch_views,
     refresh_gold_views,
 )
+from vendaval.plans.gold_views import purge_speed
 from vendaval.session import session
 from vendaval.sources import JdbcSource, decode_events, read_kafka
 from vendaval.specs import BASE_WATERMARK, OVERLAP_SECONDS, WINDOW
 from vendaval.streaming import (
+    StreamCounts,
     newer_than,
     read_stored_events,
     start_event_store,
@@ -58,15 +60,16 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     batch = job("batch", "batch views from the sales master")
     batch.add_argument("--salt")
     batch.add_argument("--full", action="store_true", help="from all sales, not just new ones")
+    batch.add_argument("--purge", action="store_true", help="delete speed days the views now cover")
 
     speed = job("speed", "speed views from the event stream, until stopped")
     speed.add_argument("--servers", required=True)
     speed.add_argument("--every", default=WINDOW, help="time between micro-batches")
-    speed.add_argument("--files-per-batch", type=int)
+    speed.add_argument("--fold-every", type=int, default=64, help="micro-batches to a fold")
     speed.add_argument("--salt")
 
     gold = job("gold", "gold views from batch and speed")
-    gold.add_argument("--follow", action="store_true", help="refresh on every new speed window")
+    gold.add_argument("--follow", action="store_true", help="refresh whenever windows or events are stored")
     gold.add_argument("--exact", action="store_true", help="from the stored events, sale by sale")
     gold.add_argument("--salt")
     return parser.parse_args(arguments)
@@ -99,19 +102,18 @@ def main(arguments: list[str]) -> int:
         outcomes = ingest_all(spark, layout, mode=options.mode)
     elif options.job == "batch":
         outcomes = refresh_batch_views(spark, layout, salt=options.salt, full=options.full)
+        if options.purge and not any(outcome.error for outcome in outcomes):
+            purge_speed(spark, layout)
     elif options.job == "speed":
         records = read_kafka(spark, options.servers)
-        start_event_store(records, layout, trigger={"processingTime": options.every})
-        start_speed_views(
-            newer_than(decode_events(records), starting_cutoff(spark, layout)),
-            layout,
-            trigger={"processingTime": options.every},
-            files_per_batch=options.files_per_batch,
-            salt=options.salt,
-        )
+        spark.streams.addListener(StreamCounts(spark, layout))
+        often = {"trigger": {"processingTime": options.every}, "fold_every": options.fold_every}
+        start_event_store(records, layout, **often)
+        events = newer_than(decode_events(records), starting_cutoff(spark, layout))
+        start_speed_views(events, layout, salt=options.salt, **often)
         spark.streams.awaitAnyTermination()
     elif options.follow:
-        start_gold_refresh(spark, layout)
+        start_gold_refresh(spark, layout, exact=options.exact, salt=options.salt)
         spark.streams.awaitAnyTermination()
     elif options.exact:
         events = read_stored_events(spark, layout)

@@ -204,25 +204,36 @@ def test_dates_and_totals_are_python_values(batch):
     assert row["data"] == date(2025, 4, 10) and row["total_faturado"] == Decimal("150.55")
 
 
-def test_batch_views_read_only_new_commits(spark, layout):
+def test_batch_views_read_only_new_lots(spark, layout):
     spec = TABLES["vendas"]
     for upto in (4, 7):
         source = FrameSource({"vendas": shop.sales(spark, shop.GOLDEN_SALES[:upto])})
         extract_table(spark, source, spec, layout, overlap_seconds=0)
-        ingest_table(spark, layout, spec)
-        assert all(o.error is None for o in refresh_batch_views(spark, layout))
-        if upto == 4:
+        path = ingest_table(spark, layout, spec).path
+        if upto == 7:
             # What the first refresh has read is not looked at again.
-            (first,) = [n for n in list_names(spark, layout.master("vendas"))]
-            commit = [n for n in list_names(spark, f"{layout.master('vendas')}/{first}")][0]
-            for month in list_names(spark, f"{layout.master('vendas')}/{first}/{commit}"):
-                if month.startswith("mes="):
-                    delete_path(spark, f"{layout.master('vendas')}/{first}/{commit}/{month}")
+            for name in first:
+                delete_path(spark, f"{path}/{name}")
+        assert all(o.error is None for o in refresh_batch_views(spark, layout))
+        first = [n for n in list_names(spark, path) if n.endswith(".parquet")]
     for view in VIEWS.values():
         stored = read_batch_view(spark, layout, view)
         assert shop.rows_of(stored) == shop.rows_of(rollup(shop.sales(spark), view, "total"))
 
 
+def test_replaced_master_starts_the_batch_views_anew(spark, layout):
+    spec = TABLES["vendas"]
+    for upto, mode in ((4, None), (7, "replace"), (7, None)):
+        source = FrameSource({"vendas": shop.sales(spark, shop.GOLDEN_SALES[:upto])})
+        extract_table(spark, source, spec, layout, overlap_seconds=0)
+        ingest_table(spark, layout, spec, mode)
+        assert all(o.error is None for o in refresh_batch_views(spark, layout))
+    newer = shop.sales(spark, shop.GOLDEN_SALES[4:])
+    for view in VIEWS.values():
+        stored = read_batch_view(spark, layout, view)
+        assert shop.rows_of(stored) == shop.rows_of(rollup(newer, view, "total"))
+
+
 def test_full_refresh_starts_from_all_sales(spark, layout):
     spec = TABLES["vendas"]
     extract_table(spark, FrameSource({"vendas": shop.sales(spark)}), spec, layout)

@@ -10,14 +10,24 @@ import shop
 from pyspark.sql import functions as F
 
 import submit
-from vendaval.operators import changed_since, price_lines, rollup, upsert
+from vendaval.operators import (
+    append_missing,
+    changed_since,
+    orphans,
+    price_lines,
+    rollup,
+    upsert,
+)
+from vendaval.operators.quality import orphan_keys
 from vendaval.plans import (
+    Layout,
     extract_all,
     ingest_all,
     read_master,
     register_views,
     reports,
 )
+from vendaval.plans.masters import read_facts
 from vendaval.session import shared_folder
 from vendaval.sources import FrameSource, encode_events
 from vendaval.sources.files import list_names
@@ -102,7 +112,7 @@ def test_hot_sale_and_product_are_split_in_joins(hot_shop, no_broadcast_and_smal
         hot_shop["itens_venda"], hot_shop["produtos"], hot_shop["vendas"], hot_shop["vendedores"]
     )
     plan = final_plan(detail)
-    assert plan.count("SortMergeJoin(skew=true)") == 2
+    assert plan.count("SortMergeJoin(skew=true)") == 3
     assert detail.count() == LINES
     encoded = encode_events(hot_shop["vendas"], hot_shop["itens_venda"])
     assert "SortMergeJoin(skew=true)" in final_plan(encoded)
@@ -192,19 +202,72 @@ def test_jobs_take_their_options():
         submit.parse(["speed", "--root", "/shared/shop"])
 
 
-def test_large_month_becomes_several_files(spark, hot_shop, layout):
-    # One row per key, so the lines get keys of their own.
-    lines = hot_shop["itens_venda"].withColumn("id_venda", F.monotonically_increasing_id())
+@pytest.fixture(scope="module")
+def masters(spark, hot_shop, tmp_path_factory):
+    """The facts as masters, ingested in two lots; a sale has as many lines as products at most."""
+    layout = Layout(str(tmp_path_factory.mktemp("masters") / "shop"), buckets=4)
+    lines = hot_shop["itens_venda"].dropDuplicates(["id_produto", "id_venda"])
+    for share in (2, 1):
+        part = F.col("id_venda") % share == 0
+        tables = {"itens_venda": lines.where(part), "vendas": hot_shop["vendas"].where(part)}
+        later = {n: t.withColumn("criacao", F.col("criacao") + F.expr(f"make_interval(0, 0, 0, {2 - share})")) for n, t in tables.items()}
+        assert all(o.error is None for o in extract_all(spark, FrameSource(later), layout, list(later)))
+        assert all(o.error is None for o in ingest_all(spark, layout, list(later)))
+    return layout, {name: read_master(spark, layout, TABLES[name]) for name in ("vendas", "itens_venda")}
+
+
+def exchanges(frame):
+    return optimized(frame).count("Exchange hashpartitioning")
+
+
+def test_joins_on_the_sale_do_not_shuffle_the_masters(hot_shop, masters, no_broadcast_and_small_partitions):
+    """Joins, row checks and aggregates on id_venda take the masters as they are bucketed."""
+    _, facts = masters
+    assert facts["vendas"].count() == hot_shop["vendas"].count()
+    encoded = encode_events(facts["vendas"], facts["itens_venda"])
+    assert exchanges(encoded) == 0 and "Bucketed: true" in optimized(encoded)
+    assert encoded.count() == facts["itens_venda"].count()
+    assert exchanges(orphans(facts["itens_venda"], facts["vendas"], "id_venda")) == 0
+    assert exchanges(orphan_keys(facts["vendas"], facts["itens_venda"], "id_venda")) == 0
+    plain = encode_events(hot_shop["vendas"], hot_shop["itens_venda"])
+    assert exchanges(plain) == 2
+
+
+def test_item_detail_shuffles_no_facts_before_the_dimensions(spark, hot_shop, masters):
+    _, facts = masters
+    detail = reports.item_detail(
+        facts["itens_venda"], hot_shop["produtos"], facts["vendas"], hot_shop["vendedores"]
+    )
+    assert exchanges(detail) == 0
+    assert detail.count() == facts["itens_venda"].count()
+
+
+def test_append_reads_the_master_in_place(spark, hot_shop, masters, no_broadcast_and_small_partitions):
+    """The key check shuffles the delta only, and reads the master between its least and greatest id."""
+    layout, facts = masters
+    spec = TABLES["itens_venda"]
+    delta = hot_shop["itens_venda"].where("id_venda > 5000")
+    stored = read_facts(spark, layout, spec, listed=False)
+    fresh = append_missing(stored, delta, spec.key, bound="id_venda")
+    plan = optimized(fresh).split("SortMergeJoin [coalesce")[0]  # the rest: keys that lack a part
+    assert "Bucketed: true" in plan and "ReadSchema: struct<id_produto:bigint,id_venda:bigint>" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert re.search(r"DataFilters: [^\n]*id_venda#\d+L >= cast\(Subquery", plan)
+    assert fresh.count() == 0
+
+
+def test_large_lot_is_split_into_several_files(spark, hot_shop, layout):
+    """A bucket much larger than wanted becomes several files, without another shuffle."""
+    lines = hot_shop["itens_venda"].withColumn("id_produto", F.monotonically_increasing_id())
     source = FrameSource({"itens_venda": lines})
     assert extract_all(spark, source, layout, ["itens_venda"])[0].rows == LINES
     with settings(
         spark,
         spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
-        # Else the stage before, which holds one row per key, is a single task at this size.
         spark__sql__adaptive__coalescePartitions__minPartitionSize="50k",
         spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
     ):
         path = ingest_all(spark, layout, ["itens_venda"])[0].path
-    files = [n for n in list_names(spark, f"{path}/mes=2025-04") if n.endswith(".parquet")]
-    assert len(files) > 3
+    files = [n for n in list_names(spark, path) if n.endswith(".parquet")]
+    assert len(files) > layout.buckets + 3
     assert read_master(spark, layout, TABLES["itens_venda"]).count() == LINES

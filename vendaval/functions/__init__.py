@@ -9,6 +9,7 @@ from vendaval.functions.columns import (
     mean,
     mean_money,
     money,
+    money_of_parts,
     pseudonym,
     row_version,
     sum_money,
@@ -23,6 +24,7 @@ __all__ = [
     "mean",
     "mean_money",
     "money",
+    "money_of_parts",
     "pseudonym",
     "row_version",
     "sum_money",

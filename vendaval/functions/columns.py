@@ -48,8 +48,14 @@ def sum_money(amount: str | Column, total: T.DecimalType = TOTAL) -> Column:
     """
     kind = MONEY if total == TOTAL else EVENT_MONEY
     cents = (_column(amount).cast(kind) * 100).cast("long")
-    high = F.sum(F.shiftright(cents, _BITS)).cast(_WHOLE)
-    low = F.sum(cents.bitwiseAND(F.lit((1 << _BITS) - 1))).cast(_WHOLE)
+    high = F.sum(F.shiftright(cents, _BITS))
+    low = F.sum(cents.bitwiseAND(F.lit((1 << _BITS) - 1)))
+    return money_of_parts(high, low, total)
+
+
+def money_of_parts(high: str | Column, low: str | Column, total: T.DecimalType = TOTAL) -> Column:
+    """The amount whose cents :func:`sum_money` summed in two bigints."""
+    high, low = _column(high).cast(_WHOLE), _column(low).cast(_WHOLE)
     return ((high * (1 << _BITS) + low) * F.lit(Decimal("0.01"))).cast(total)
 
 

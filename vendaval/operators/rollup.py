@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +54,64 @@ def rollup(
     )
 
 
+def rollup_views(
+    sales: DataFrame,
+    views: Iterable[ViewSpec],
+    amount: str,
+    window: Column,
+    *,
+    id_column: str = "id_venda",
+    salt: str | None = None,
+) -> DataFrame:
+    """The windowed rollups of several views in one aggregation: (window, visao, chave, ...).
+
+    Each sale becomes a row per view with the view's key as text, so one pass over the sales,
+    and on a stream one source and one state, serve all views. Partial aggregates take the
+    added rows back before the shuffle. :func:`rows_of_view` gives a view its own columns.
+    """
+    views = list(views)
+    entries = [F.struct(F.lit(v.name).alias("visao"), F.col(v.source_key).cast("string").alias("chave")) for v in views]
+    expanded = sales.withColumn("_view", F.explode(F.array(*entries)))
+    grouped = expanded.groupBy(
+        window.alias("window"), F.col("_view.visao").alias("visao"), F.col("_view.chave").alias("_key")
+    ).agg(
+        F.max(id_column).cast("long").alias("maior_id"),
+        F.min(id_column).cast("long").alias("menor_id"),
+        F.count(id_column).alias("qtd_vendas"),
+        sum_money(amount, EVENT_TOTAL).alias("total"),
+        F.count(amount).alias("_amounts"),
+    )
+    return finished_windows(grouped, views, salt)
+
+
+def finished_windows(grouped: DataFrame, views: Iterable[ViewSpec], salt: str | None = None) -> DataFrame:
+    """Pseudonyms and means of the grouped rows of :func:`rollup_views`."""
+    hashed = F.col("visao").isin([v.name for v in views if v.hashed])
+    return grouped.select(
+        "visao",
+        "window",
+        F.when(hashed, pseudonym("_key", salt)).otherwise(F.col("_key")).alias("chave"),
+        "maior_id",
+        "menor_id",
+        "qtd_vendas",
+        "total",
+        mean_money("total", "_amounts", wide=True).alias("ticket_medio"),
+    )
+
+
+def rows_of_view(rows: DataFrame, view: ViewSpec) -> DataFrame:
+    """One view's rows of :func:`rollup_views`, with its own columns."""
+    return rows.where(F.col("visao") == view.name).select(
+        "window",
+        F.col("chave").cast(view.key_type).alias(view.key),
+        "maior_id",
+        "menor_id",
+        "qtd_vendas",
+        F.col("total").alias(view.total),
+        "ticket_medio",
+    )
+
+
 def sales_state(sales: DataFrame, view: ViewSpec, amount: str) -> DataFrame:
     """What a batch view is made of, per raw key; states of disjoint sales merge exactly."""
     key = F.col(view.source_key)
@@ -88,5 +148,5 @@ def highest_id(view_rows: DataFrame, column: str = "maior_id") -> DataFrame:
 
 
 def view_since(view_rows: DataFrame, moment: str, column: str = "data") -> DataFrame:
-    """Rows of a view or table strictly after a date or timestamp."""
-    return view_rows.where(F.col(column) > F.lit(moment))
+    """Rows of a view or table strictly after a date or timestamp, in its order."""
+    return view_rows.where(F.col(column) > F.lit(moment)).orderBy(column)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,11 +85,25 @@ def upsert_small_delta(
     return untouched.unionByName(upsert(touched, delta, key, version_columns))
 
 
-def append_missing(master: DataFrame, delta: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Delta rows whose key the master does not hold yet; nulls in a key equal one another."""
-    # Only the keys in question, once each: a small delta leaves the master out of the shuffle.
-    stored = _null_safe_join(master.select(*key), delta.select(*key).distinct(), key, "left_semi")
-    return _null_safe_join(delta, stored.distinct(), key, "left_anti")
+def append_missing(
+    master: DataFrame, delta: DataFrame, key: Sequence[str], *, bound: str | None = None
+) -> DataFrame:
+    """Delta rows whose key the master does not hold yet; nulls in a key equal one another.
+
+    With ``bound``, a column of the key, the master is read between the delta's least and
+    greatest value of it: its files are skipped by their range. Whole keys are compared
+    plainly, so a master bucketed by them is not shuffled; the few rows that lack a part of
+    their key are compared apart.
+    """
+    stored = master.select(*key)
+    lacks = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
+    known = stored.where(~lacks)
+    if bound is not None:
+        ends = delta.agg(F.min(bound).alias("low"), F.max(bound).alias("high"))
+        known = known.where(F.col(bound).between(ends.select("low").scalar(), ends.select("high").scalar()))
+    whole = delta.where(~lacks).join(known, list(key), "left_anti")
+    partly = _null_safe_join(delta.where(lacks), stored.where(lacks), key, "left_anti")
+    return whole.select(*delta.columns).unionByName(partly)
 
 
 def insert_if_absent(

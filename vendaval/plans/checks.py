@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaval.operators.quality import orphan_keys
+from vendaval.operators.quality import flag_failures, orphan_keys
 
 
 def referential_report(
@@ -32,3 +33,21 @@ def referential_report(
         for name, (child, parent, key) in checks.items()
     ]
     return reduce(DataFrame.unionByName, found)
+
+
+VALID = "valido"
+
+
+def store_checked(rows: DataFrame, rules: Mapping[str, str], path: str) -> None:
+    """Write rows that pass every rule and those that fail one, in a single pass over them.
+
+    Both go to one dataset, partitioned by validity, so a reader of either reads only its files.
+    """
+    flagged = flag_failures(rows, rules).withColumn(VALID, F.size("failed_rules") == 0)
+    flagged.write.mode("overwrite").partitionBy(VALID).parquet(path)
+
+
+def read_checked(spark: SparkSession, path: str, valid: bool) -> DataFrame:
+    """The valid rows, or the others with their ``failed_rules``."""
+    rows = spark.read.parquet(path).where(F.col(VALID) == F.lit(valid)).drop(VALID)
+    return rows.drop("failed_rules") if valid else rows

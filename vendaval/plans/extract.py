@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timedelta
 from typing import Protocol
 
@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from vendaval.operators import manifest as manifests
 from vendaval.plans.layout import Layout
+from vendaval.plans.masters import last_ingest
 from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.files import delete_path
 from vendaval.sources.versioned import (
     append_rows,
-    last_commit,
+    last_state,
     publish,
     read_current,
 )
@@ -120,15 +121,33 @@ def extract_all(
     spark: SparkSession,
     source: Source,
     layout: Layout,
-    tables: Iterable[str] = tuple(TABLES),
+    tables: Sequence[str] = tuple(TABLES),
     **options,
 ) -> list[Outcome]:
-    """Extract every table, one after another: they share the source's connection limit."""
-    return run_each(
+    """Extract every table, one after another: they share the source's connection limit.
+
+    A table comes before those its rows refer to. A row is made after the rows it refers to,
+    so when its parents' profiles are taken, later, they find these: however much is inserted
+    meanwhile, no line comes without its sale, nor a sale without its customer.
+    """
+    outcomes = run_each(
         spark,
         lambda table: extract_table(spark, source, TABLES[table], layout, **options),
-        tables,
+        children_first(tables),
     )
+    by_name = {outcome.name: outcome for outcome in outcomes}
+    return [by_name[table] for table in tables]
+
+
+def children_first(tables: Iterable[str]) -> list[str]:
+    """Table names in an order in which each comes before its parents."""
+    left, ordered = list(tables), []
+    while left:
+        parents = {p for name in left for p in TABLES[name].parents}
+        free = [name for name in left if name not in parents]
+        ordered += free
+        left = [name for name in left if name in parents]
+    return ordered
 
 
 def record_snapshot(
@@ -151,12 +170,12 @@ def purge_snapshots(
     The shorter manifest, compacted to one file, is published first and the directories go
     last, so no entry ever points at a deleted path. Returns the deleted paths.
     """
-    if last_commit(spark, layout.manifest) is None:
+    if last_state(spark, layout.manifest) is None:
         return []
     manifest = read_manifest(spark, layout)
     _, expired = manifests.split_expired(manifest, today, days)
     rows = expired.select("table", "path").collect()  # metadata: a row per old snapshot
-    ingested = {t: last_commit(spark, layout.master(t)) or "" for t in {r["table"] for r in rows}}
+    ingested = {t: last_ingest(spark, layout, t) or "" for t in {r["table"] for r in rows}}
     doomed = [r["path"] for r in rows if r["path"].rsplit("/", 1)[-1] <= ingested[r["table"]]]
     gone = spark.createDataFrame([(path,) for path in doomed], "path string")
     publish(manifest.join(gone, "path", "left_anti").coalesce(1), layout.manifest)
@@ -170,7 +189,7 @@ def _next_number(spark: SparkSession, layout: Layout, table: str) -> int:
     number = F.element_at(F.split("path", "-"), -1).cast("long")
     entries = manifests.of_table(read_manifest(spark, layout), table)
     listed = entries.agg(F.max(number).alias("n")).first()["n"] or 0
-    done = last_commit(spark, layout.master(table))
+    done = last_ingest(spark, layout, table)
     return max(listed, int(done.rsplit("-", 1)[-1]) if done else 0) + 1
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vendaval.operators import manifest as manifests
 from vendaval.operators.upsert import (
@@ -18,56 +17,45 @@ from vendaval.operators.upsert import (
 )
 from vendaval.plans.extract import read_manifest
 from vendaval.plans.layout import Layout
+from vendaval.plans.masters import (
+    facts_path,
+    finish_ranges,
+    key_range,
+    last_ingest,
+    ranges_path,
+    read_facts,
+    read_ranges,
+    write_facts,
+    write_ranges,
+)
 from vendaval.plans.outcomes import Outcome, run_each
 from vendaval.sources.files import read_snapshots
-from vendaval.sources.versioned import (
-    drop_replaced_parts,
-    extend,
-    last_commit,
-    publish,
-    read_current,
-    read_parts,
-)
 from vendaval.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
 
 MODES = ("upsert", "append", "replace")
-MONTH = "mes"
-"""Partition of append-only masters: the month a row was created, as yyyy-MM."""
-
-BUCKET, BUCKETS = "balde", 64
-"""Partition of mutable masters: a hash of the key. An ingest rewrites the buckets it touches."""
-
 
 def read_master(
     spark: SparkSession, layout: Layout, spec: TableSpec, *, since: str | None = None
 ) -> DataFrame:
     """Master dataset of a table.
 
-    ``since`` keeps the rows created at or after a moment. Of an append-only master, older
-    months are then not read at all, and within a month files are skipped by their range.
+    ``since`` keeps the rows created at or after a moment; files and parts of files are
+    skipped by their range of times, which is narrow, as each ingest writes files of its own.
     """
-    root = layout.master(spec.name)
-    if spec.mutable:
-        rows = read_parts(spark, root, spec.schema, BUCKET)
-    else:
-        with_month = T.StructType([*spec.schema.fields, T.StructField(MONTH, T.StringType())])
-        rows = read_current(spark, root, with_month)
-    if since is not None:
-        if not spec.mutable:
-            rows = rows.where(F.col(MONTH) >= F.lit(since[:7]))
-        rows = rows.where(F.col("criacao") >= F.lit(since))
-    return rows.select(*spec.schema.fieldNames())
+    read = read_ranges if spec.mutable else read_facts
+    rows = read(spark, layout, spec)
+    return rows if since is None else rows.where(F.col("criacao") >= F.lit(since))
 
 
 def pending_snapshots(spark: SparkSession, layout: Layout, spec: TableSpec) -> DataFrame:
     """Manifest entries the master does not hold yet; their names sort oldest first.
 
-    A commit of the master is named after the newest snapshot in it, so this compares names
-    and never reads the master.
+    An ingest is named after the newest snapshot in it, so this compares names and never
+    reads the master.
     """
-    done = last_commit(spark, layout.master(spec.name))
+    done = last_ingest(spark, layout, spec.name)
     entries = manifests.pending(read_manifest(spark, layout), spec.name, done)
     date = F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date")
     return entries.select(date, "path", manifests.snapshot_of().alias("name"))
@@ -78,10 +66,11 @@ def ingest_table(
 ) -> Outcome:
     """Bring one master up to date.
 
-    * ``append`` (default for tables that only grow) adds one commit with the rows whose key
-      is not stored yet; of a key that comes several times the first row created stays.
+    * ``append`` (default for tables that only grow) adds a lot with the rows whose key is
+      not stored yet; of a key that comes several times the first row created stays. Of the
+      master only the key columns are read, in the delta's range of ids, without a shuffle.
     * ``upsert`` (default for mutable tables) keeps the newest version per key. Only the
-      buckets of the keys that come in are read and written again.
+      ranges of the keys that come in are read and written again.
     * ``replace`` makes the new rows the whole master.
 
     A master holds one row per key in every mode, so a mutable table is never appended to.
@@ -93,6 +82,8 @@ def ingest_table(
         raise ValueError(f"appending to {spec.name} would store several versions of a row")
     if mode == "upsert" and not spec.mutable:
         raise ValueError(f"rows of {spec.name} do not change; append them")
+    if spec.mutable:
+        finish_ranges(spark, layout, spec)
     # Metadata only: a row per snapshot.
     entries = sorted(pending_snapshots(spark, layout, spec).collect(), key=lambda e: e["name"])
     if not entries:
@@ -100,26 +91,28 @@ def ingest_table(
     delta = read_snapshots(spark, spec.schema, [e["path"] for e in entries])
     pick = newest_per_key if spec.mutable else oldest_per_key
     name = entries[-1]["name"]
-    root = layout.master(spec.name)
-
     if mode == "append":
-        fresh = append_missing(read_master(spark, layout, spec), delta, spec.key)
-        written, rows = _ready_to_write(pick(fresh, spec.key, spec.version_columns), spec)
-        path = extend(rows, root, name, partition_by=MONTH)
+        stored = read_facts(spark, layout, spec, listed=False)
+        rows = append_missing(stored, delta, spec.key, bound=spec.split_column)
     elif mode == "upsert":
-        touched = delta.select(_bucket(spec).cast("string")).distinct().collect()
-        stored = read_parts(spark, root, spec.schema, BUCKET, only=[row[0] for row in touched])
-        written, rows = _ready_to_write(
-            upsert(stored, delta, spec.key, spec.version_columns), spec
-        )
-        path = extend(rows, root, name, partition_by=BUCKET)
-        drop_replaced_parts(spark, root, BUCKET)
+        # Metadata as well: a row per range.
+        of_key = key_range(spec, ranges_path(spark, layout, spec))
+        touched = [r[0] for r in delta.select(of_key).distinct().collect()]
+        stored = read_ranges(spark, layout, spec, only=touched)
+        rows = upsert(stored, delta, spec.key, spec.version_columns)
+    else:
+        rows = delta
+    if mode != "upsert":
+        rows = pick(rows, spec.key, spec.version_columns)
+    if spec.mutable:
+        path = ranges_path(spark, layout, spec)
+        count = write_ranges(rows, layout, spec, name, mode)
     else:
-        written, rows = _ready_to_write(pick(delta, spec.key, spec.version_columns), spec)
-        path = publish(rows, root, name, partition_by=BUCKET if spec.mutable else MONTH)
+        path = facts_path(spark, layout, spec)
+        count = write_facts(rows, layout, spec, name, replace=mode == "replace")
 
-    log.info("%s: %s rows written by %s", spec.name, written.get["rows"], mode)
-    return Outcome(spec.name, written.get["rows"], entries[-1]["date"], path)
+    log.info("%s: %s rows written by %s", spec.name, count, mode)
+    return Outcome(spec.name, count, entries[-1]["date"], path)
 
 
 def ingest_all(
@@ -137,23 +130,3 @@ def ingest_all(
         tables,
         workers=workers,
     )
-
-
-def _ready_to_write(rows: DataFrame, spec: TableSpec) -> tuple[Observation, DataFrame]:
-    """Rows laid out as the master is, and their count as a by-product of the write.
-
-    The hint makes each month, or bucket, a few well-sized files, and lets Spark split one
-    that is much larger than the others. Rows of a month are in time order within a file.
-    """
-    if spec.mutable:
-        rows = rows.withColumn(BUCKET, _bucket(spec)).hint("rebalance", BUCKET)
-    else:
-        month = F.date_format("criacao", "yyyy-MM")
-        rows = rows.withColumn(MONTH, month).hint("rebalance", MONTH)
-        rows = rows.sortWithinPartitions(MONTH, "criacao")
-    written = Observation()
-    return written, rows.observe(written, F.count(F.lit(1)).alias("rows"))
-
-
-def _bucket(spec: TableSpec) -> Column:
-    return F.pmod(F.xxhash64(*spec.key), F.lit(BUCKETS)).cast("int")

@@ -7,25 +7,38 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths under one root, which all executors must be able to reach."""
+    """Paths under one root, which all executors must be able to reach.
+
+    ``buckets`` and ``range_width`` count when a master is first written: choose as many
+    buckets as files of a few hundred MB the larger fact table will have, and so many keys to
+    a range that its rows make one such file. An existing master keeps its own.
+    """
 
     root: str
+    buckets: int = 8
+    range_width: int = 1_000_000
 
     @property
     def manifest(self) -> str:
-        return f"{self.root}/new_data/new_data_map"
+        return f"{self.root}/snapshots/manifest"
 
     def snapshots(self, table: str) -> str:
-        return f"{self.root}/new_data/{table}"
+        return f"{self.root}/snapshots/{table}"
 
     def master(self, table: str) -> str:
-        return f"{self.root}/data/{table}"
+        return f"{self.root}/masters/{table}"
+
+    def ingests(self, table: str) -> str:
+        return f"{self.root}/ingests/{table}"
 
     def batch_view(self, view: str) -> str:
         return f"{self.root}/views/batch/{view}"
 
-    def batch_state(self, view: str, base: str) -> str:
-        return f"{self.root}/views/batch_states/{view}/{base}"
+    def batch_state(self, view: str) -> str:
+        return f"{self.root}/views/batch_states/{view}"
+
+    def salt(self, layer: str) -> str:
+        return f"{self.root}/views/salts/{layer}"
 
     @property
     def events(self) -> str:
@@ -35,17 +48,28 @@ class Layout:
     def rejected_events(self) -> str:
         return f"{self.root}/events/rejected"
 
-    def event_checkpoint(self, kind: str) -> str:
-        return f"{self.root}/events/checkpoints/{kind}"
+    @property
+    def event_checkpoint(self) -> str:
+        return f"{self.root}/events/checkpoint"
+
+    @property
+    def speed_windows(self) -> str:
+        return f"{self.root}/views/speed"
 
-    def speed_view(self, view: str) -> str:
-        return f"{self.root}/views/speed/{view}"
+    @property
+    def speed_checkpoint(self) -> str:
+        return f"{self.root}/views/speed_checkpoint"
 
-    def speed_checkpoint(self, view: str) -> str:
-        return f"{self.root}/views/speed_checkpoints/{view}"
+    @property
+    def stream_counts(self) -> str:
+        return f"{self.root}/views/stream_counts"
 
     def gold_view(self, view: str) -> str:
         return f"{self.root}/views/gold/{view}"
 
-    def gold_checkpoint(self, view: str) -> str:
-        return f"{self.root}/views/gold_checkpoints/{view}"
+    def gold_state(self, view: str) -> str:
+        return f"{self.root}/views/gold_states/{view}"
+
+    @property
+    def gold_checkpoint(self) -> str:
+        return f"{self.root}/views/gold_checkpoint"

@@ -36,16 +36,18 @@ def daily_revenue(sales: DataFrame) -> DataFrame:
 def item_detail(
     lines: DataFrame, products: DataFrame, sales: DataFrame, sellers: DataFrame
 ) -> DataFrame:
-    """Every sale line with its product and seller; only the needed columns are joined."""
-    sold = sales.select("id_venda", "id_vendedor").join(
-        sellers.select("id_vendedor", F.col("nome").alias("nome_vendedor")), "id_vendedor"
-    )
+    """Every sale line with its product and seller; only the needed columns are joined.
+
+    The facts are joined first, on the sale's id: masters bucketed by it need no shuffle for
+    that, nor for the dimensions while these are small enough to be broadcast.
+    """
     sold_lines = lines.select(
         "id_venda", "id_produto", "quantidade", "valor_unitario", "valor_total", "desconto"
     )
     return (
-        sold_lines.join(products.select("id_produto", "produto"), "id_produto")
-        .join(sold, "id_venda")
+        sold_lines.join(sales.select("id_venda", "id_vendedor"), "id_venda")
+        .join(sellers.select("id_vendedor", F.col("nome").alias("nome_vendedor")), "id_vendedor")
+        .join(products.select("id_produto", "produto"), "id_produto")
         .select(
             "id_venda",
             "id_produto",

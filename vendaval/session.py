@@ -13,6 +13,8 @@ DEFAULTS = {
     # Runtime broadcast decisions, partition sizes and skew splits.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Masters bucketed by a part of the key serve joins on the whole key.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Window state outside the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -1,15 +1,13 @@
-"""Parquet datasets that are replaced or extended without readers seeing a half-written state.
+"""Parquet datasets replaced without readers seeing a half-written state.
 
-Layout: ``<root>/base=<name>/commit=<name>/…``. A commit counts once Spark has written its
-``_SUCCESS`` marker. Readers take the highest base with a complete commit and all complete
-commits in it, so a replaced dataset switches at once and a failed or interrupted write
-stays invisible. Names must sort in the order of the writes; repeating a write under the
-same name overwrites it, which makes a rerun after a failure safe. One writer per dataset.
+A state lies in a folder of its own and counts once Spark has written its ``_SUCCESS`` marker;
+readers take the newest one that counts. Names must sort in the order of the writes;
+repeating a write under the same name overwrites it, which makes a rerun after a failure
+safe. One writer per dataset.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +15,7 @@ from pyspark.sql import types as T
 
 from vendaval.sources.files import delete_path, empty, list_names, path_exists
 
-_BASE, _COMMIT = "base=", "commit="
+_STATE = "state="
 
 
 def run_name(moment: datetime | None = None) -> str:
@@ -25,151 +23,39 @@ def run_name(moment: datetime | None = None) -> str:
     return (moment or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%S%f")
 
 
-def bases(spark: SparkSession, root: str) -> list[str]:
-    """Base names that hold a complete commit, oldest first."""
-    names = [n.removeprefix(_BASE) for n in list_names(spark, root) if n.startswith(_BASE)]
-    return [n for n in names if commits(spark, root, n)]
-
-
-def commits(spark: SparkSession, root: str, base: str) -> list[str]:
-    """Complete commits of a base, oldest first.
-
-    Only the newest can be incomplete, because :func:`extend` clears what a failed write
-    left behind. So the markers of the older ones need no look.
-    """
-    names = _all_commits(spark, root, base)
-    while names and not path_exists(spark, f"{_commit_path(root, base, names[-1])}/_SUCCESS"):
+def last_state(spark: SparkSession, root: str) -> str | None:
+    """Name of the state readers see."""
+    names = [n for n in list_names(spark, root) if n.startswith(_STATE)]
+    while names and not path_exists(spark, f"{root}/{names[-1]}/_SUCCESS"):
         names.pop()
-    return names
-
-
-def last_commit(spark: SparkSession, root: str) -> str | None:
-    """Name of the newest commit readers see."""
-    known = bases(spark, root)
-    return commits(spark, root, known[-1])[-1] if known else None
+    return names[-1].removeprefix(_STATE) if names else None
 
 
 def read_current(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The dataset as last published; empty when nothing was."""
-    known = bases(spark, root)
-    if not known:
+    name = last_state(spark, root)
+    if name is None:
         return empty(spark, schema)
-    directory = f"{root}/{_BASE}{known[-1]}"
-    paths = [_commit_path(root, known[-1], c) for c in commits(spark, root, known[-1])]
-    rows = spark.read.schema(schema).option("basePath", directory).parquet(*paths)
-    return rows.select(*schema.fieldNames())
-
-
-def newest_parts(spark: SparkSession, root: str, part: str) -> dict[str, str]:
-    """Path of each partition value of ``part`` in the newest complete commit that has it."""
-    known = bases(spark, root)
-    found: dict[str, str] = {}
-    for commit in commits(spark, root, known[-1]) if known else []:
-        path = _commit_path(root, known[-1], commit)
-        for name in list_names(spark, path):
-            if name.startswith(f"{part}="):
-                found[name.removeprefix(f"{part}=")] = f"{path}/{name}"
-    return found
-
-
-def read_parts(
-    spark: SparkSession,
-    root: str,
-    schema: T.StructType,
-    part: str,
-    only: Iterable[str] | None = None,
-) -> DataFrame:
-    """A dataset whose commits replace whole partitions: all of them, or ``only`` some values."""
-    found = newest_parts(spark, root, part)
-    paths = [path for value, path in found.items() if only is None or value in set(only)]
-    return spark.read.schema(schema).parquet(*paths) if paths else empty(spark, schema)
-
-
-def drop_replaced_parts(spark: SparkSession, root: str, part: str, keep: int = 2) -> None:
-    """Deletes partitions that ``keep`` newer commits have replaced."""
-    known = bases(spark, root)
-    newer: dict[str, int] = {}
-    for commit in reversed(commits(spark, root, known[-1]) if known else []):
-        path = _commit_path(root, known[-1], commit)
-        for name in list_names(spark, path):
-            if name.startswith(f"{part}="):
-                newer[name] = newer.get(name, 0) + 1
-                if newer[name] > keep:
-                    delete_path(spark, f"{path}/{name}")
-
-
-def commits_after(spark: SparkSession, root: str, done: str | None) -> tuple[str | None, list[str]]:
-    """The current base, and its complete commits after ``done``, oldest first."""
-    known = bases(spark, root)
-    if not known:
-        return None, []
-    return known[-1], [c for c in commits(spark, root, known[-1]) if done is None or c > done]
-
-
-def read_commits(
-    spark: SparkSession, root: str, base: str, names: Iterable[str], schema: T.StructType
-) -> DataFrame:
-    """The rows that some commits of a base added."""
-    paths = [_commit_path(root, base, name) for name in names]
-    if not paths:
-        return empty(spark, schema)
-    return spark.read.schema(schema).option("basePath", f"{root}/{_BASE}{base}").parquet(*paths)
-
-
-def publish(
-    rows: DataFrame,
-    root: str,
-    name: str | None = None,
-    *,
-    keep: int = 2,
-    partition_by: str | None = None,
-) -> str:
-    """Replace the dataset; the previous ``keep - 1`` states stay for running readers."""
-    spark = rows.sparkSession
-    name = name or run_name()
-    path = _commit_path(root, name, name)
-    _write(rows, path, partition_by)
-    oldest_kept = bases(spark, root)[-keep:][0]
-    for directory in list_names(spark, root):
-        if _BASE <= directory < f"{_BASE}{oldest_kept}":
-            delete_path(spark, f"{root}/{directory}")
-    return path
+    return spark.read.schema(schema).parquet(f"{root}/{_STATE}{name}")
 
 
-def extend(rows: DataFrame, root: str, name: str, *, partition_by: str | None = None) -> str:
-    """Add a commit to the current state without touching what is there."""
+def publish(rows: DataFrame, root: str, name: str | None = None) -> str:
+    """Replace the dataset; the state before stays for running readers, older ones go."""
     spark = rows.sparkSession
-    known = bases(spark, root)
-    base = known[-1] if known else name
-    for failed in _all_commits(spark, root, base)[len(commits(spark, root, base)) :]:
-        delete_path(spark, _commit_path(root, base, failed))
-    path = _commit_path(root, base, name)
-    _write(rows, path, partition_by)
+    before = last_state(spark, root)
+    name = name or run_name()
+    path = f"{root}/{_STATE}{name}"
+    rows.write.mode("overwrite").parquet(path)
+    for folder in list_names(spark, root):
+        if _STATE <= folder < f"{_STATE}{before or name}":
+            delete_path(spark, f"{root}/{folder}")
     return path
 
 
 def append_rows(rows: DataFrame, root: str) -> None:
-    """Add a few rows to the newest commit; Spark makes the new files visible together."""
-    spark = rows.sparkSession
-    known = bases(spark, root)
-    if not known:
+    """Add a few rows to the current state; Spark makes the new files visible together."""
+    name = last_state(rows.sparkSession, root)
+    if name is None:
         publish(rows, root)
-        return
-    newest = commits(spark, root, known[-1])[-1]
-    rows.write.mode("append").parquet(_commit_path(root, known[-1], newest))
-
-
-def _commit_path(root: str, base: str, commit: str) -> str:
-    return f"{root}/{_BASE}{base}/{_COMMIT}{commit}"
-
-
-def _all_commits(spark: SparkSession, root: str, base: str) -> list[str]:
-    names = list_names(spark, f"{root}/{_BASE}{base}")
-    return [n.removeprefix(_COMMIT) for n in names if n.startswith(_COMMIT)]
-
-
-def _write(rows: DataFrame, path: str, partition_by: str | None) -> None:
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    else:
+        rows.write.mode("append").parquet(f"{root}/{_STATE}{name}")

@@ -40,7 +40,7 @@ class TableSpec:
 
     ``mutable`` tables also carry ``atualizacao`` and are extracted again when a row
     changes; the others only ever grow. ``split_column`` is the numeric column that
-    parallel reads are split on.
+    parallel reads are split on. ``parents`` are the tables whose rows its rows refer to.
     """
 
     name: str
@@ -48,6 +48,7 @@ class TableSpec:
     split_column: str
     mutable: bool
     schema: T.StructType
+    parents: tuple[str, ...] = ()
 
     @property
     def version_columns(self) -> tuple[str, ...]:
@@ -86,6 +87,7 @@ TABLES: dict[str, TableSpec] = {
                 ("total", MONEY),
                 ("criacao", _TS),
             ),
+            parents=("clientes", "vendedores"),
         ),
         TableSpec(
             "produtos",
@@ -133,6 +135,7 @@ TABLES: dict[str, TableSpec] = {
                 ("desconto", MONEY),
                 ("criacao", _TS),
             ),
+            parents=("vendas", "produtos"),
         ),
     )
 }
@@ -158,6 +161,28 @@ MANIFEST_SCHEMA = _schema(
     ("since", _TS),
 )
 
+EVENT_STORE_SCHEMA = T.StructType(
+    [*SALE_EVENT_SCHEMA.fields, *_schema(("timestamp", _TS), ("dia", _DATE)).fields]
+)
+
+REJECTED_SCHEMA = _schema(("value", _STR), ("timestamp", _TS), ("motivo", _STR), ("dia", _DATE))
+
+# One row per streaming query: its last micro-batch, rows read and rows behind the watermark.
+STREAM_COUNTS_SCHEMA = _schema(
+    ("consulta", _STR),
+    ("nome", _STR),
+    ("micro", _LONG),
+    ("lidas", _LONG),
+    ("atrasadas", _LONG),
+)
+
+# One row per complete ingest of a table; ``name`` is that of the newest snapshot in it.
+INGEST_SCHEMA = _schema(
+    ("name", _STR),
+    ("mode", _STR),
+    ("rows", _LONG),
+)
+
 
 @dataclass(frozen=True)
 class ViewSpec:
@@ -211,6 +236,30 @@ class ViewSpec:
             ("ticket_medio", T.DecimalType(21, 2)),
         )
 
+    @property
+    def gold_state_schema(self) -> T.StructType:
+        return _schema(
+            (self.key, self.key_type),
+            ("qtd_vendas", T.LongType()),
+            (self.total, T.DecimalType(38, 2)),
+            ("_tickets", T.DecimalType(38, 2)),
+            ("_means", T.LongType()),
+        )
+
+
+# Windows of all views in one store: the view, the text of its key, the day the window began.
+WINDOW_SCHEMA = _schema(
+    ("visao", _STR),
+    ("window", _schema(("start", _TS), ("end", _TS))),
+    ("chave", _STR),
+    ("maior_id", _LONG),
+    ("menor_id", _LONG),
+    ("qtd_vendas", _LONG),
+    ("total", EVENT_TOTAL),
+    ("ticket_medio", T.DecimalType(21, 2)),
+    ("dia", _DATE),
+)
+
 
 DAILY_REVENUE = ViewSpec("faturamento_diario", "data", "data", "total_faturado", _DATE)
 CUSTOMER_TICKET = ViewSpec(
