@@ -1,8 +1,21 @@
 from __future__ import annotations
 
+import random
+from itertools import combinations
+
+import numpy as np
 import pytest
 
-from vendaval.llm.decontaminate import Rule, contaminations, drop_contaminated
+from vendaval.llm.decontaminate import (
+    MASKS,
+    Rule,
+    Vocabulary,
+    contaminations,
+    drop_contaminated,
+    overlaps,
+    required,
+    token_hashes,
+)
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards quietly judge my vow"
 
@@ -62,33 +75,81 @@ def test_odd_rows(documents, odd_rows, benchmark, spark):
     assert contaminations(documents([]), benchmark).collect() == []
 
 
-@pytest.mark.parametrize("n", [7, 8, 15, 18, 27, 48, 90])
-def test_all_substitutions_the_rule_allows_are_found(n):
-    import random
-
-    from vendaval.llm.decontaminate import Vocabulary, overlaps, token_hashes
-
-    chance, rule = random.Random(n), Rule()
-    item = [f"w{chance.randrange(3 * n)}" for _ in range(n)]
-    vocabulary = Vocabulary([(1, " ".join(item))], rule, token_hashes([" ".join(item[::2])])[0])
-    allowed = [k for k in range(n + 1) if n - k >= max(min(rule.tokens, n), rule.share * n)][-1]
-    changes = [chance.sample(range(n), allowed) for _ in range(300)]
-    changes += [list(range(first, n, 4))[:allowed] for first in range(4)]
-    changes += [[i] for i in range(n)]
-    for places in changes:
-        text = [f"other{i}" if i in places else w for i, w in enumerate(item)]
-        tokens = token_hashes([" ".join(["before"] * 3 + text + ["after"] * 2)])[0]
-        assert (1, 3, 3 + n) in [x[:3] for x in overlaps(tokens, vocabulary)]
-
-
-def test_stretches_of_long_items_with_substitutions_are_found():
-    import random
-
-    from vendaval.llm.decontaminate import Vocabulary, overlaps, token_hashes
-
-    chance, item = random.Random(4), [f"w{i}" for i in range(400)]
-    vocabulary = Vocabulary([(1, " ".join(item))], Rule(), token_hashes([""])[0])
-    for _ in range(300):
-        at, places = chance.randrange(376), chance.sample(range(25), 5)
-        text = [f"other{i}" if i in places else w for i, w in enumerate(item[at : at + 25])]
-        assert overlaps(token_hashes([" ".join(text)])[0], vocabulary)
+def compared(texts, items, rule=Rule()):
+    """(text, item, begin, end, matched, item tokens) over lists of words."""
+    vocabulary = Vocabulary([(i, " ".join(t)) for i, t in enumerate(items)], rule)
+    tokens, ends = token_hashes([" ".join(t) for t in texts])
+    return overlaps(tokens, ends, vocabulary)
+
+
+def brute(texts, items, rule=Rule()):
+    """Every item on every text at every shift, by the rule alone."""
+    found = []
+    for d, text in enumerate(texts):
+        for k, item in enumerate(items):
+            n = len(item)
+            for shift in range(-n + 1, len(text)):
+                begin, end = max(0, shift), min(len(text), shift + n)
+                same = [text[p] == item[p - shift] for p in range(begin, end)]
+                hit = sum(same) >= max(min(rule.tokens, n), rule.share * n) - 1e-9
+                if n >= rule.run:
+                    runs = [sum(same[i : i + rule.run]) for i in range(len(same) - rule.run + 1)]
+                    hit |= max(runs, default=0) >= rule.run_share * rule.run
+                if hit:
+                    found.append((d, k, begin, end, sum(same), n))
+    return found
+
+
+@pytest.mark.parametrize("n", range(6, 24))
+def test_masks_meet_every_pattern_the_rule_accepts(n):
+    """All ways to leave as many of n tokens out of place as the rule allows: some mask fits in each."""
+    allowed = n - required(n, Rule())
+    ways = list(combinations(range(n), allowed))
+    bad = np.array(ways, dtype=np.int64).reshape(len(ways), allowed)
+    good = np.ones((len(bad), n), dtype=bool)
+    np.put_along_axis(good, bad, False, axis=1)
+    met = np.zeros(len(good), dtype=bool)
+    for mask in MASKS:
+        places = [i for i, c in enumerate(mask) if c == "1"]
+        for begin in range(n - len(mask) + 1):
+            met |= good[:, [begin + p for p in places]].all(axis=1)
+    assert met.all()
+
+
+def test_equals_every_item_at_every_shift():
+    """Zero to over thirty per cent substituted, cut at either end, several to a text; few words, so chance hits."""
+    chance = random.Random(11)
+    word = lambda: f"w{chance.randrange(40)}"
+    items = [[word() for _ in range(n)] for n in (1, 3, 5, 6, 7, 8, 10, 11, 14, 23, 24, 25, 26, 40, 70)]
+    items.append(list(items[8]))  # two items alike
+    texts = []
+    for step in range(260):
+        text = [word() for _ in range(chance.randrange(12))]
+        for item in chance.sample(items, chance.randrange(3)):
+            part = [word() if chance.random() < step % 8 * 0.05 else w for w in item]
+            text += part[chance.randrange(2) * chance.randrange(len(part)) :][: chance.choice((len(part), 27, 60))]
+            text += [word() for _ in range(chance.randrange(6))]
+        texts.append(text)
+    expected = brute(texts, items)
+    assert compared(texts, items) == expected and len(expected) > 300
+
+
+def test_without_seeds_nothing_is_found():
+    """What is found comes through the seeds alone."""
+    item = [f"w{i}" for i in range(30)]
+    vocabulary = Vocabulary([(1, " ".join(item))], Rule())
+    tokens, ends = token_hashes([" ".join(item)])
+    assert overlaps(tokens, ends, vocabulary) == [(0, 1, 0, 30, 30, 30)]
+    vocabulary.seeds = []
+    assert overlaps(tokens, ends, vocabulary) == []
+
+
+def test_rules_the_masks_do_not_reach_are_refused(documents, benchmark):
+    with pytest.raises(ValueError, match="70 %"):
+        contaminations(documents([(1, ITEM)]), benchmark, Rule(share=0.5))
+
+
+def test_ids_beyond_doubles_beside_a_null(documents, benchmark):
+    far = 1 << 60
+    rows = contaminations(documents([(far + 1, ITEM), (far + 3, ITEM), (None, ITEM)]), benchmark).collect()
+    assert {r.doc_id for r in rows} == {far + 1, far + 3, None}
