@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import math
+
 import pytest
+import zstandard
 
-from vendaval.llm.quality import Training, keep_good, score_quality
+from vendaval.llm.quality import Training, keep_good, score_quality, train_quality
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +54,53 @@ def test_without_labels(documents, spark):
     only_good = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
     many = documents([(i, f"text {i}") for i in range(40)])
     assert all(r.predicted == 1 for r in score_quality(many, only_good, training=Training(calibration=50)).collect())
+
+
+def plain_features(model, text):
+    """The five numbers by zstandard's own calls, one text at a time."""
+    raw = (text or "").encode()
+
+    def size(dictionary):
+        options = {"level": 1, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        if len(dictionary) >= 8:
+            options["dict_data"] = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(**options).compress(raw))
+
+    a, b, c = size(model.good), size(model.bad), size(b"")
+    n = len(raw) + 1
+    return [(a - b) / max(a, b), (a - b) / n, c / n, min(a, b) / n, math.log(n)]
+
+
+def test_scores_by_the_definition(tables, spark):
+    """Score and decision recomputed in plain Python from the trained model."""
+    docs, labels = tables
+    model = train_quality(docs, labels)
+    found = {r.doc_id: r for r in score_quality(docs, labels).collect()}
+    fitted = model.calibrated
+    for row in docs.orderBy("doc_id").limit(150).collect():
+        x = [(v - m) / s for v, m, s in zip(plain_features(model, row.text), fitted.mean, fitted.scale)]
+        x = [min(max(v, -8.0), 8.0) for v in x]
+        terms = x + [x[i] * x[j] for i in range(5) for j in range(i, 5)] + [1.0]
+        score = 1 / (1 + math.exp(-sum(t * w for t, w in zip(terms, fitted.weights))))
+        assert found[row.doc_id].score == pytest.approx(score, abs=1e-9)
+        assert found[row.doc_id].predicted == (found[row.doc_id].score >= 0.3)
+
+
+def test_marks_beyond_the_first_piece_are_learned(spark, documents):
+    """Texts alike at their beginning, good or bad only further on."""
+    same = "the same words open every text of this table whatever comes of it later " * 4
+    good, bad = "kind wise patient calm honest gentle brave ", "buy now cheap pills click here free "
+    rows = [(i, same + (good if i % 2 else bad) * 8 + f"{i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    short = Training(piece=60, pieces=3000)
+    held = [r for r in score_quality(documents(rows), labels, least=0.5, training=short).collect() if r.held_out]
+    assert sum(r.predicted == r.doc_id % 2 for r in held) / len(held) > 0.95
+
+
+def test_repeated_labelled_ids_do_not_make_scores_change(spark, documents):
+    rows = [(i % 20, f"text {i} " + ("good words here " if i % 2 else "junk junk $$$ ") * 9) for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    few = Training(texts=5, pieces=7, calibration=12)
+    once = score_quality(documents(rows), labels, training=few).collect()
+    again = score_quality(documents(rows).repartition(7), labels, training=few).collect()
+    assert {tuple(r) for r in once} == {tuple(r) for r in again}

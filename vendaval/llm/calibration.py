@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,3 +78,14 @@ def labelled_ids(labels: DataFrame, label: str, part: int, limit: int, value: in
     if value is not None:
         chosen = chosen.where(F.col("label") == value)
     return chosen.orderBy(order, "doc_id").limit(limit)
+
+
+def bounded(rows: DataFrame, limit: int) -> pd.DataFrame:
+    """At most ``limit`` rows of numbers, in an order that does not depend on the tasks.
+
+    Labelled ids are bounded before they meet the documents, so only ids that many documents
+    share can exceed the limit; a hash of the numbers then decides which rows stay.
+    """
+    columns = rows.columns
+    chosen = rows.orderBy(F.xxhash64(*columns), *columns).limit(limit).toPandas()
+    return chosen.sort_values(columns, ignore_index=True)

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendaval.llm.calibration import Logistic, fit_logistic, labelled_ids
+from vendaval.llm.calibration import Logistic, bounded, fit_logistic, labelled_ids
 from vendaval.llm.shared import held_out
 
 
@@ -25,7 +25,8 @@ class Training:
     """Bounds of the sample the classifier is fitted on."""
 
     texts: int = 1500  # texts of each label for the dictionaries
-    piece: int = 4000  # characters of each such text
+    piece: int = 4000  # characters of the pieces they are cut into, whole
+    pieces: int = 2500  # pieces of each label a dictionary is trained on, of all texts' pieces
     dictionary: int = 1 << 16  # bytes of a dictionary
     calibration: int = 6000  # labelled rows for the calibration
 
@@ -79,7 +80,8 @@ def train_quality(documents: DataFrame, labels: DataFrame, training: Training =
     """Fits the classifier on bounded samples of labelled rows outside the held-out fifth.
 
     Dictionaries and calibration use disjoint halves of the labels. To the driver come
-    ``2 * texts`` pieces of text and ``calibration`` rows of numbers, whatever the tables hold.
+    ``pieces`` pieces of text of each label and twice ``calibration`` rows of numbers at most,
+    whatever the tables hold. Which they are, hashes decide, so reruns agree.
     Without labels of both kinds the score is the share of label 1, 0.5 without any.
     """
     texts = documents.select("doc_id", "text")
@@ -87,8 +89,12 @@ def train_quality(documents: DataFrame, labels: DataFrame, training: Training =
     def pieces(value: int) -> list[str]:
         ids = labelled_ids(labels, "quality", 0, training.texts, value)
         # The limit bounds the ids, so they can be sent to every task.
-        found = texts.join(F.broadcast(ids), "doc_id").select(F.substring("text", 1, training.piece).alias("t"))
-        return sorted(r["t"] for r in found.limit(2 * training.texts).collect() if r["t"])
+        found = texts.join(F.broadcast(ids), "doc_id").where(F.length("text") > 0)
+        size = training.piece
+        cuts = f"transform(sequence(0, (length(text) - 1) div {size}), i -> substring(text, cast(i * {size} + 1 as int), {size}))"
+        cut = found.select("doc_id", F.posexplode(F.expr(cuts)).alias("at", "t"))
+        chosen = cut.orderBy(F.xxhash64("doc_id", "at", "t"), "t").limit(training.pieces)
+        return sorted(r["t"] for r in chosen.collect())
 
     model = QualityModel(*(_dictionary(pieces(v), training.dictionary) for v in (1, 0)))
 
@@ -98,10 +104,10 @@ def train_quality(documents: DataFrame, labels: DataFrame, training: Training =
             yield features.assign(label=rows["label"].to_numpy())
 
     ids = labelled_ids(labels, "quality", 1, training.calibration)
-    measured = texts.join(F.broadcast(ids), "doc_id").limit(2 * training.calibration)
+    measured = texts.join(F.broadcast(ids), "doc_id")
     rows = measured.select("text", F.col("label").cast("int").alias("label"))
-    table = rows.mapInPandas(measure, "a double, b double, c double, d double, e double, label int").toPandas()
-    table = table.sort_values(list(table.columns))
+    rows = rows.mapInPandas(measure, "a double, b double, c double, d double, e double, label int")
+    table = bounded(rows, 2 * training.calibration)
     fitted = fit_logistic(table[list("abcde")].to_numpy(np.float64), table["label"].to_numpy(np.float64))
     return QualityModel(model.good, model.bad, fitted)
 

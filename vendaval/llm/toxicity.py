@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendaval.llm.batches import letter_tokens
-from vendaval.llm.calibration import Logistic, fit_logistic, labelled_ids
+from vendaval.llm.calibration import Logistic, bounded, fit_logistic, labelled_ids
 from vendaval.llm.shared import held_out
 
 
@@ -195,8 +195,8 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, training: Training =
             _, features = passages(model, part["text"].tolist())
             yield pd.DataFrame(features, columns=list("abc")).assign(label=part["label"].to_numpy())
 
-    table = sample.mapInPandas(featured, "a double, b double, c double, label int").toPandas()
-    table = table.sort_values(list(table.columns))
+    featured_rows = sample.mapInPandas(featured, "a double, b double, c double, label int")
+    table = bounded(featured_rows, 2 * training.calibration)
     fitted = fit_logistic(table[list("abc")].to_numpy(np.float64), table["label"].to_numpy(np.float64))
     return ToxicityModel(scores, low, scale, factor, training.stem, training.expected, fitted)
 
