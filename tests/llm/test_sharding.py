@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from vendaval.llm.sharding import assign_shards, shard_of, shard_report, write_shards
+from vendaval.llm.sharding import SEED, assign_shards, shard_of, shard_report, write_shards
 
 
 def test_report_on_odd_rows(documents, odd_rows):
@@ -55,3 +58,29 @@ def test_written_shards_hold_all_rows(spark, documents, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "out"))
     assert stored.select("doc_id").distinct().count() == stored.count() == 50
     assert (tmp_path / "out" / "shard=0").is_dir()
+
+
+def plain_shard(key, weights):
+    """The shard with the least -ln(u) / weight, u from xxHash64 over seed, shard and key, chained."""
+    best = []
+    for shard, weight in enumerate(weights):
+        h = 42
+        for value, kind in ((SEED, "<i"), (shard, "<i"), (key, "<q")):
+            if value is not None:
+                h = xxhash.xxh64_intdigest(struct.pack(kind, value), h)
+        if weight > 0:
+            best.append((-math.log(((h >> 11) + 0.5) / 2**53) / weight, shard))
+    return min(best)[1]
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 8, [2.0, 0.0, 0.5, 1.0]])
+def test_shards_by_the_definition(spark, weights):
+    keys = [None, 0, 1, -5, 1 << 60, *range(100, 700)]
+    rows = spark.createDataFrame([(k,) for k in keys], "doc_id long").select("doc_id", shard_of(F.col("doc_id"), weights).alias("s"))
+    assert {r.doc_id: r.s for r in rows.collect()} == {k: plain_shard(k, weights) for k in keys}
+
+
+def test_report_by_the_definition(spark, sf):
+    rows = shard_report(spark.read.parquet(f"{sf}/documents.parquet"), 8).collect()
+    assert all(r.shard == plain_shard(r.doc_id, [1.0] * 8) for r in rows)
+    assert all(r.grown_shard == plain_shard(r.doc_id, [1.0] * 9) for r in rows)
