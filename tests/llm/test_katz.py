@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -19,14 +20,15 @@ def trained(i) -> bool:
 
 def brute(rows, katz=Katz()):
     """(doc_id, n_tokens, n_known, N, base, score) of each row, from dictionaries."""
-    k = katz.discounted
+    k, order = katz.discounted, katz.order
     tokens = [[*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), "</s>"] for _, t in rows]
-    words, pairs = Counter(), Counter()
+    runs = [Counter() for _ in range(order + 1)]  # by length
     for (i, _), own in zip(rows, tokens):
         if trained(i):
-            words.update(own)
-            pairs.update(zip(["<s>", *own], own))
-    total, types = sum(words.values()), len(words)
+            for n in range(1, order + 1):
+                padded = ["<s>"] * (n - 1) + own
+                runs[n].update(tuple(padded[j : j + n]) for j in range(len(own)))
+    total, types = sum(runs[1].values()), len(runs[1])
 
     def factors(counts):
         n = Counter(counts.values())
@@ -37,36 +39,43 @@ def brute(rows, katz=Katz()):
                 return found
         return {r: (r - katz.large) / r for r in range(1, k + 1)}
 
-    one, two = factors(words), factors(pairs)
+    by_length = [None, *map(factors, runs[1:])]
 
-    def kept(count, d):
-        return count - katz.large if count > k else count * d[count]
-
-    unknown = total - sum(kept(c, one) for c in words.values())
-
-    def unigram(w):
-        return (kept(words[w], one) if words[w] else unknown) / total
+    def kept(n, run):
+        count = runs[n][run]
+        return count - katz.large if count > k else count * by_length[n][count]
 
+    unknown = total - sum(kept(1, w) for w in runs[1])
     followers = defaultdict(list)
-    for (a, b), c in pairs.items():
-        followers[a].append((b, c))
-    sums = {a: sum(c for _, c in own) for a, own in followers.items()}
-    weight = {
-        a: (1 - sum(kept(c, two) for _, c in own) / sums[a]) / (1 - sum(unigram(b) for b, _ in own))
-        for a, own in followers.items()
-    }
-    for a in [*followers][:3]:  # a context's probabilities sum to one
-        mass = sum(kept(pairs[a, b], two) / sums[a] if pairs[a, b] else weight[a] * unigram(b) for b in words)
-        assert mass + weight[a] * unknown / total == pytest.approx(1)
-
-    def chance(a, b):
-        return kept(pairs[a, b], two) / sums[a] if pairs[a, b] else weight.get(a, 1.0) * unigram(b)
+    for n in range(2, order + 1):
+        for run in runs[n]:
+            followers[run[:-1]].append(run)
+    sums = {c: sum(runs[len(c) + 1][r] for r in own) for c, own in followers.items()}
+
+    @cache
+    def weight(context):
+        if context not in followers:
+            return 1.0
+        own, n = followers[context], len(context) + 1
+        return (1 - sum(kept(n, r) for r in own) / sums[context]) / (1 - sum(chance(r[1:]) for r in own))
+
+    @cache
+    def chance(run):
+        if runs[len(run)][run]:
+            return kept(len(run), run) / (sums[run[:-1]] if len(run) > 1 else total)
+        return unknown / total if len(run) == 1 else weight(run[:-1]) * chance(run[1:])
+
+    for context in [*followers][:3] + [c for c in followers if len(c) == order - 1][:4]:
+        # A context's probabilities sum to one, the unknown type's among them.
+        mass = sum(chance((*context, *w)) for w in runs[1])
+        assert mass + chance((*context, "never seen")) == pytest.approx(1)
 
     out = []
     for (i, _), own in zip(rows, tokens):
-        base = sum(math.log10((words[w] + 0.5) / (total + 0.5 * (types + 1))) for w in own) if total else 0.0
-        score = sum(math.log10(chance(a, b)) for a, b in zip(["<s>", *own], own)) if total else 0.0
-        out.append((i, len(own), sum(w in words for w in own), total, base, score))
+        base = sum(math.log10((runs[1][w,] + 0.5) / (total + 0.5 * (types + 1))) for w in own) if total else 0.0
+        padded = ["<s>"] * (order - 1) + own
+        score = sum(math.log10(chance(tuple(padded[j : j + order]))) for j in range(len(own))) if total else 0.0
+        out.append((i, len(own), sum((w,) in runs[1] for w in own), total, base, score))
     return out
 
 
@@ -86,9 +95,10 @@ def test_whole_table_in_many_blocks(spark, sf):
     check(docs, rows, Katz(block=30_000, bucket=40_000))
 
 
-def test_odd_rows(documents, odd_rows):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_odd_rows(documents, odd_rows, order):
     rows = [*odd_rows, *[(i, f"common words {i % 3} Common") for i in range(40)]]
-    check(documents(rows, clashing=True), rows, Katz(block=50, bucket=100))
+    check(documents(rows, clashing=True), rows, Katz(order=order, block=50, bucket=100))
 
 
 def test_ids_beyond_doubles_beside_a_null(documents):

@@ -1,16 +1,18 @@
-"""Operator 10, LM scoring: a Katz back-off bigram model, trained on and applied to documents.
+"""Operator 10, LM scoring: a Katz back-off trigram model, trained on and applied to documents.
 
 Counts are discounted after Good and Turing; what a context loses goes to the words never
-seen after it, in proportion to their unigram probability, with a weight that makes the
-context's probabilities sum to one exactly. Words never seen at all are one further type,
-which holds what the unigrams lose.
+seen after it, in proportion to their probability after the context shortened by a word, with
+a weight that makes the context's probabilities sum to one exactly. So a token is scored by the
+longest run that training has seen, and by a weight for each context it had to leave. Words
+never seen at all are one further type, which holds what the unigrams lose.
 
 Documents are packed into blocks of tokens, written once. A count travels as follows: each
-block sends its different keys (words, pairs or contexts) with its own sums to the buckets of
+block sends its different keys (words, runs or contexts) with its own sums to the buckets of
 the keys, a bucket adds up and answers every block in the block's order. A key is sent once
-per block however often it occurs, so a word or pair that makes up a third of all tokens
+per block however often it occurs, so a word or run that makes up a third of all tokens
 weighs no more than any other. The answers are the model's tables, partitioned by bucket:
-counts of words, counts of pairs, and the parts of the back-off weight of contexts.
+counts of runs of each length, and the parts of the back-off weight of contexts. Weights are
+made for the contexts that some text to be scored has left, or may have.
 """
 
 from __future__ import annotations
@@ -27,16 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendaval.llm.batches import space_tokens
-from vendaval.llm.shared import held_out, keep
+from vendaval.llm.shared import discard, held_out, keep
 
 
 @dataclass(frozen=True)
 class Katz:
     """Parameters of the model and of the work."""
 
+    order: int = 3  # words of the longest run counted
     discounted: int = 5  # counts up to this are discounted after Good and Turing
     large: float = 0.5  # what larger counts lose, so that every context keeps something
-    block: int = 1_500_000  # tokens of a block (a longer text is a block of its own)
+    block: int = 1_000_000  # tokens of a block (a longer text is a block of its own)
     bucket: int = 1_000_000  # keys sent to a bucket, on average
 
 
@@ -156,24 +159,44 @@ class Block:
         self.trained = np.repeat(trained, self.lengths)  # by token
         self.docs = np.repeat(np.arange(len(self.lengths)), self.lengths)
 
-    def sorted_words(self) -> np.ndarray:
-        return np.argsort(self.words, kind="stable")
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Different pairs in the order of their keys: (keys, left, right, pair of each token).
-
-        ``left`` and ``right`` are codes; a text begins with code ``len(words)``.
-        """
-        begin = len(self.words)
-        before = np.r_[begin, self.codes[:-1]]
-        before[self.ends[:-1]] = begin
-        joined, of_token = np.unique(before << 32 | self.codes, return_inverse=True)
-        left, right = joined >> 32, joined & 0xFFFFFFFF
-        keys = pair_keys(np.r_[self.words, np.uint64(BEGIN)][left], self.words[right])
-        order = np.argsort(keys, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        return keys[order], left[order], right[order], place[of_token]
+    def grams(self, order: int) -> list[Grams]:
+        """The different runs of 1 to ``order`` tokens, by length."""
+        place = np.argsort(self.words, kind="stable")
+        number = np.empty_like(place)
+        number[place] = np.arange(len(place))
+        words = Grams(self.words[place], np.uint64(BEGIN), None, None, number[self.codes])
+        found = [words]
+        for _ in range(1, order):
+            below = found[-1]
+            joined, of_token = np.unique(self.contexts(below) << 32 | words.of_token, return_inverse=True)
+            context, word = joined >> 32, joined & 0xFFFFFFFF
+            keys = pair_keys(np.r_[below.keys, below.begin][context], words.keys[word])
+            place = np.argsort(keys, kind="stable")
+            number = np.empty_like(place)
+            number[place] = np.arange(len(place))
+            of_token = number[of_token]
+            suffix = np.empty(len(keys), dtype=np.int64)
+            suffix[of_token] = below.of_token
+            begin = pair_keys(np.array([below.begin]), np.array([BEGIN], dtype=np.uint64))[0]
+            found.append(Grams(keys[place], begin, context[place], suffix, of_token))
+        return found
+
+    def contexts(self, below: Grams) -> np.ndarray:
+        """For each token the run before it; a text begins with number ``len(below.keys)``."""
+        before = np.r_[len(below.keys), below.of_token[:-1]]
+        before[self.ends[:-1]] = len(below.keys)
+        return before
+
+
+@dataclass
+class Grams:
+    """Runs of one length in the order of their keys."""
+
+    keys: np.ndarray
+    begin: np.uint64  # key of the context a text begins with
+    context: np.ndarray | None  # the run without its last word, numbered a length below
+    suffix: np.ndarray | None  # the run without its first word
+    of_token: np.ndarray  # the run that ends at each token
 
 
 def _requests(block: int, keys: np.ndarray, values: list[np.ndarray], buckets: int) -> list[tuple]:
@@ -260,57 +283,58 @@ def score_documents(documents: DataFrame, katz: Katz = Katz()) -> DataFrame:
     Scores are log10 probabilities of the whole text with its end, under the smoothed
     unigrams of the contract (``base_score``) and the back-off model (``score``), trained on
     all rows that are not held out. A null text counts as empty: its only token is the end.
-    Repeated rows count as often as they occur. A null id is trained on. Without any row to
-    train on every word has probability one and both scores are 0; an empty table gives no
-    rows.
+    Repeated rows count as often as they occur. A null id is trained on. Columns other than
+    doc_id and text are not read. Without any row to train on every word has probability one
+    and both scores are 0; an empty table gives no rows.
     """
-    k = katz.discounted
+    k, order = katz.discounted, katz.order
     blocks = packed_documents(documents, katz)
     tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     buckets = int(tokens // katz.bucket) + 1
 
-    def ask_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for _, row in rows.iterrows():
-                b = Block(row)
-                counts = np.bincount(b.codes, weights=b.trained, minlength=len(b.words)).astype(np.int64)
-                order = b.sorted_words()
-                yield pd.DataFrame(_requests(b.number, b.words[order], [counts[order]], buckets), columns=_COLUMNS)
-
-    def ask_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for _, row in rows.iterrows():
-                b = Block(row)
-                keys, _, _, of_token = b.pairs()
-                counts = np.bincount(of_token, weights=b.trained, minlength=len(keys)).astype(np.int64)
-                yield pd.DataFrame(_requests(b.number, keys, [counts], buckets), columns=_COLUMNS)
-
-    words = pooled(blocks.mapInPandas(ask_words, _REQUEST), k + 1, "katz_words")
-    pairs = pooled(blocks.mapInPandas(ask_pairs, _REQUEST), k + 1, "katz_pairs")
-    by_count, types, total = _statistics(words, k + 1)
-    word_factors = discounts(by_count, katz)
-    pair_factors = discounts(_statistics(pairs, k + 1)[0], katz)
-
-    id_kind = documents.schema["doc_id"].dataType.simpleString()
+    def ask(length: int):
+        def requests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in batches:
+                for _, row in rows.iterrows():
+                    b = Block(row)
+                    own = b.grams(length)[-1]
+                    n = len(own.keys)
+                    counts = np.bincount(own.of_token, weights=b.trained, minlength=n).astype(np.int64)
+                    # Where a text that is not trained on may leave this run as a context.
+                    left = b.contexts(own)[~b.trained.astype(bool)]
+                    asked = np.bincount(left, minlength=n + 1)[:n]
+                    yield pd.DataFrame(_requests(b.number, own.keys, [counts, asked], buckets), columns=_COLUMNS)
+
+        return requests
+
+    counted, answers = [], blocks
+    for length in range(1, order + 1):
+        table = pooled(blocks.mapInPandas(ask(length), _REQUEST), k + 1, f"katz_runs_of_{length}")
+        counted.append(table)
+        answers = answers.join(_by_block(table, f"answers_{length}"), "block")
+    stats = [_statistics(table, k + 1) for table in counted]
+    _, types, total = stats[0]
+    factors = [discounts(by_count, katz) for by_count, _, _ in stats]
+    lost = _lost(stats[0][0], types, factors[0], katz)
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Sums of the documents as far as they are known, and the contexts' own sums."""
         for rows in batches:
             for _, row in rows.iterrows():
-                yield from _weigh_block(row, katz, total, types, by_count, word_factors, pair_factors, buckets)
+                yield from _weigh_block(row, katz, total, types, lost, factors, buckets)
 
-    opened = blocks.join(_by_block(words, "word_answers"), "block").join(_by_block(pairs, "pair_answers"), "block")
-    weighed = keep(
-        opened.mapInPandas(weigh, f"{_REQUEST}, ids array<string>, sums array<binary>"), "katz_contexts"
-    )
+    weighed = keep(answers.mapInPandas(weigh, f"{_REQUEST}, ids array<string>, sums array<binary>"), "katz_contexts")
+    for table in (blocks, *counted):
+        discard(table)
     contexts = pooled(weighed.where("bucket >= 0").select(*_COLUMNS), 1, "katz_weights")
     partial = weighed.where("bucket < 0").select("block", "ids", "sums", "values")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for _, row in rows.iterrows():
-                yield _finish_block(row, katz, total, word_factors, pair_factors)
+                yield _finish_block(row, katz, factors)
 
+    id_kind = documents.schema["doc_id"].dataType.simpleString()
     kind = "doc_id string, n_tokens long, n_known long, base_score double, score double"
     scored = partial.join(_by_block(contexts, "answers"), "block", "left").mapInPandas(finish, kind)
     scored = scored.withColumn("doc_id", F.col("doc_id").cast(id_kind))
@@ -338,72 +362,95 @@ def _lost(by_count: np.ndarray, types: int, factors: np.ndarray, katz: Katz) ->
     return float((small * r * (1.0 - factors[1:])).sum() + (types - small.sum()) * katz.large)
 
 
-def _weigh_block(row, katz, total, types, by_count, word_factors, pair_factors, buckets) -> Iterator[pd.DataFrame]:
+def _weigh_block(row, katz, total, types, lost, factors, buckets) -> Iterator[pd.DataFrame]:
     b, k = Block(row), katz.discounted
     names = [*_COLUMNS, "ids", "sums"]
-    (word_counts, _), (pair_counts, owner) = _columns(row["word_answers"]), _columns(row["pair_answers"])
-    count = np.empty(len(b.words) + 1, dtype=np.int64)
-    count[b.sorted_words()] = word_counts
-    # As many texts begin as end.
-    end = np.flatnonzero(b.words == np.uint64(END))
-    count[-1] = count[end[0]] if len(end) else 0
-    keys, left, right, of_token = b.pairs()
-    lost = _lost(by_count, types, word_factors, katz)
-    unigram = _unigrams(count[:-1], total, word_factors, lost, katz) if total else np.zeros(len(b.words))
-    seen = pair_counts > 0
-    known = count[left] > 0
-    with np.errstate(divide="ignore", invalid="ignore"):
-        given = np.log10(discounted(pair_counts, pair_factors, katz)) - np.log10(count[left])
-    pair_score = np.where(seen, given, unigram[right])
+    grams = b.grams(katz.order)
+    answers = [_columns(row[f"answers_{length}"]) for length in range(1, katz.order + 1)]
+    counts = [a[0] for a in answers]
+    # As many texts begin as end; what a text begins with is a context of any length.
+    end = np.flatnonzero(grams[0].keys == np.uint64(END))
+    texts = counts[0][end[0]] if len(end) else 0
+    of_word = counts[0][grams[0].of_token]
+    score = np.zeros(len(b.codes))
+    if total:
+        score = _unigrams(counts[0], total, factors[0], lost, katz)[grams[0].of_token]
+    # From the longest runs down: the first that was seen gives the score, and every known
+    # context left on the way still lacks its weight.
+    open_tokens = np.ones(len(b.codes), dtype=bool)
+    waiting, keys, tallies, seen_with, below_with, levels = [], [], [], [], [], []
+    for level in range(katz.order - 1, 0, -1):
+        own, below = grams[level], grams[level - 1]
+        _, asked, _ = answers[level - 1]
+        owner = answers[level][2]
+        with_context = np.r_[counts[level - 1], texts]
+        seen, known = counts[level] > 0, with_context[own.context] > 0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            given = np.log10(discounted(counts[level], factors[level], katz)) - np.log10(with_context[own.context])
+        here = open_tokens & seen[own.of_token]
+        score[here] = given[own.of_token[here]]
+        open_tokens &= ~here
+        fallen = np.flatnonzero(open_tokens & known[own.of_token])
+        mine = np.flatnonzero(seen & (owner > 0) & np.r_[asked > 0, True][own.context])
+        left = own.context[own.of_token[fallen]]
+        needed = np.unique(np.r_[own.context[mine], left])
+        waiting.append((b.docs[fallen], np.searchsorted(needed, left) + sum(map(len, keys))))
+        tallies.append(_tallies(np.searchsorted(needed, own.context[mine]), len(needed), counts[level][mine], counts[level - 1][own.suffix[mine]], k))
+        keys.append(np.r_[below.keys, below.begin][needed])
+        seen_with.append(with_context[needed])
+        # What the shortened context was seen with: all tokens, where nothing is left of it.
+        if level == 1:
+            below_with.append(np.full(len(needed), total))
+        else:
+            below_with.append(np.r_[counts[level - 2][below.suffix], texts][needed])
+        levels.append(np.full(len(needed), level))
+    docs, at = (np.concatenate(x) for x in zip(*waiting))
+    key = np.concatenate(keys)
+    place = np.argsort(key, kind="stable")
+    number = np.empty_like(place)
+    number[place] = np.arange(len(place))
+    columns = [np.concatenate(c)[place] for c in zip(*tallies)]
+    yield pd.DataFrame([(*r, None, None) for r in _requests(b.number, key[place], columns, buckets)], columns=names)
+    # What finishes the documents: the contexts waited for, with their counts.
     n = len(b.lengths)
-    own = np.bincount(b.docs, weights=pair_score[of_token], minlength=n)
-    c = count[b.codes]
-    base = np.log10((c + 0.5) / (total + 0.5 * (types + 1))) if total else np.zeros(len(c))
+    own = np.bincount(b.docs, weights=score, minlength=n)
+    base = np.log10((of_word + 0.5) / (total + 0.5 * (types + 1))) if total else np.zeros(len(of_word))
     base = np.bincount(b.docs, weights=base, minlength=n)
-    # Tokens that fall back in a known context still lack its weight.
-    fall = ~seen & known
-    waiting = np.flatnonzero(fall[of_token])
-    mine = seen & (owner > 0)
-    needed = np.unique(np.r_[left[mine], left[fall]])
-    context = np.r_[b.words, np.uint64(BEGIN)][needed]
-    order = np.argsort(context, kind="stable")
-    place = np.full(len(b.words) + 1, -1, dtype=np.int64)
-    place[needed[order]] = np.arange(len(needed))
-    # Per context: pairs by count (1 to k, more), followers by count, sum of larger followers.
-    at = place[left[mine]]
-    m = len(needed)
-    small = np.minimum(pair_counts[mine], k + 1)
-    follower = count[right[mine]]
+    sums = [b.lengths, np.bincount(b.docs, weights=of_word > 0, minlength=n).astype(np.int64), base, own]
+    values = [docs, number[at], *(np.concatenate(x)[place] for x in (seen_with, below_with, levels))]
+    yield pd.DataFrame(
+        [(b.number, -1, None, [pack(v.astype(np.int64)) for v in values], list(b.ids), [pack(s) for s in sums])],
+        columns=names,
+    )
+
+
+def _tallies(at: np.ndarray, m: int, own: np.ndarray, follower: np.ndarray, k: int) -> list[np.ndarray]:
+    """Per context: its runs by count (1 to k, more), the shortened runs by count, sum of larger ones."""
+    small = np.minimum(own, k + 1)
     tally = [np.bincount(at[small == r], minlength=m) for r in range(1, k + 2)]
     tally += [np.bincount(at[follower == r], minlength=m) for r in range(1, k + 1)]
     large = follower > k
     tally.append(np.bincount(at[large], minlength=m))
     tally.append(np.bincount(at[large], weights=follower[large].astype(np.float64), minlength=m).astype(np.int64))
-    requests = _requests(b.number, context[order], tally, buckets)
-    yield pd.DataFrame([(*r, None, None) for r in requests], columns=names)
-    # What finishes the documents: the contexts waited for, with their counts.
-    token_context = place[left[of_token[waiting]]]
-    sums = [b.lengths, np.bincount(b.docs, weights=c > 0, minlength=n).astype(np.int64), base, own]
-    values = [b.docs[waiting], token_context, count[needed[order]]]
-    yield pd.DataFrame(
-        [(b.number, -1, None, [pack(v.astype(np.int64)) for v in values], list(b.ids), [pack(s) for s in sums])],
-        columns=names,
-    )
+    return tally
 
 
-def _finish_block(row, katz, total, word_factors, pair_factors) -> pd.DataFrame:
+def _finish_block(row, katz, factors) -> pd.DataFrame:
     k = katz.discounted
     lengths, known = (unpack(v) for v in row["sums"][:2])
     base, score = (unpack(v, np.float64) for v in row["sums"][2:])
-    docs, at, count = (unpack(v) for v in row["values"])
+    docs, at, seen_with, below_with, level = (unpack(v) for v in row["values"])
     if len(at):
         tally = _columns(row["answers"])[:-1]
+        by_level = np.stack(factors)
         r = np.arange(1, k + 1)
-        free = sum(t * x for t, x in zip(tally[:k], r * (1.0 - pair_factors[1:]))) + katz.large * tally[k]
-        follow = sum(t * x for t, x in zip(tally[k + 1 : 2 * k + 1], r * word_factors[1:]))
-        follow = (follow + tally[2 * k + 2] - katz.large * tally[2 * k + 1]) / total
+        free = katz.large * tally[k].astype(np.float64)
+        follow = tally[2 * k + 2] - katz.large * tally[2 * k + 1]
+        for i in range(k):
+            free += tally[i] * r[i] * (1.0 - by_level[level, i + 1])
+            follow = follow + tally[k + 1 + i] * r[i] * by_level[level - 1, i + 1]
         with np.errstate(divide="ignore", invalid="ignore"):
-            weight = np.log10(free / count / (1.0 - follow))
+            weight = np.log10(free / seen_with / (1.0 - follow / below_with))
         score = score + np.bincount(docs, weights=weight[at], minlength=len(score))
     ids = pd.Series(list(row["ids"]), dtype=object)
     return pd.DataFrame(

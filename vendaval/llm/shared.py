@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vendaval.session import shared_folder
+from vendaval.sources.files import delete_path
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,7 +24,14 @@ def keep(rows: DataFrame, name: str) -> DataFrame:
     spark = rows.sparkSession
     path = f"{shared_folder(spark)}/llm_{name}_{uuid.uuid4().hex}"
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    kept = spark.read.schema(rows.schema).parquet(path)
+    kept.kept_path = path
+    return kept
+
+
+def discard(kept: DataFrame) -> None:
+    """Delete what ``keep`` wrote; only once nothing that still runs reads it."""
+    delete_path(kept.sparkSession, kept.kept_path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
