@@ -244,7 +244,6 @@ def mix_texts(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     texts = documents.select(
         "doc_id",
         "source",
-        "text",
         F.xxhash64("text").alias("tie"),
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
     )
@@ -252,11 +251,13 @@ def mix_texts(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     alike = F.col("d.tie") == F.col("c.tie")
     for c in ("doc_id", "source"):
         alike &= F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}"))
-    joined = single.join(copies, alike).select("d.text", "d.row", "c.copy")
-    words = F.expr(f"regexp_extract_all(text, r'({WORD})', 1)")
-    part = F.col("copy.n") < F.col("copy.size")
-    made = joined.withColumn("words", F.when(part, words))
-    pieces = F.expr("flatten(transform(copy.parts, p -> slice(words, cast(p.begin + 1 as int), cast(p.words as int))))")
-    made = made.withColumn("cut", F.when(part, F.concat_ws(" ", pieces)).otherwise(F.col("text")))
+    joined = single.join(copies, alike).select("d.row", "c.copy")
+    # An array of one, so that a text is parted into words once and not for each of its parts.
+    pieces = F.expr(
+        f"transform(array(regexp_extract_all(row.text, r'({WORD})', 1)), words -> concat_ws(' ', flatten("
+        "transform(copy.parts, p -> slice(words, cast(p.begin + 1 as int), cast(p.words as int))))))[0]"
+    )
+    whole = F.col("copy.n") == F.col("copy.size")
+    made = joined.withColumn("cut", F.when(whole, F.col("row.text")).otherwise(pieces))
     out = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
     return made.select(*[out[c].alias(c) if c in out else F.col(f"row.`{c}`").alias(c) for c in documents.columns])
