@@ -54,7 +54,8 @@ _NUMBERS = (
     " parameters parameter_length has_fragment is_secure"
 ).split()
 #: Suffix statistics: the last one, two and three labels of the host, and the end of the path.
-_SUFFIXES = ("top", "domain", "site", "ending")
+#: Rules speak of host suffixes and path beginnings, so the path's first segment has one as well.
+_SUFFIXES = ("top", "domain", "site", "ending", "segment")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -132,6 +133,7 @@ def lexical(pages: DataFrame) -> DataFrame:
             "domain": F.substring_index(host, ".", -2),
             "site": F.substring_index(host, ".", -3),
             "ending": F.regexp_extract(path, r"(?:\.[^./]*|/)\z", 0),
+            "segment": F.regexp_extract(path, r"\A/[^/]*/?", 0),
         }
     ).withColumns({c: F.col(c).cast("double") for c in _NUMBERS})
 
