@@ -13,6 +13,7 @@ import submit
 from vendaval.operators import (
     append_missing,
     changed_since,
+    insert_if_absent,
     orphans,
     price_lines,
     rollup,
@@ -271,3 +272,16 @@ def test_large_lot_is_split_into_several_files(spark, hot_shop, layout):
     files = [n for n in list_names(spark, path) if n.endswith(".parquet")]
     assert len(files) > layout.buckets + 3
     assert read_master(spark, layout, TABLES["itens_venda"]).count() == LINES
+
+
+def test_few_arrivals_do_not_shuffle_the_stored_keys(spark, hot_shop, tmp_path):
+    stored = hot_shop["produtos"].select("id_produto", "produto")
+    rows = [(1, "produto 5"), (2, "novo"), (3, "novo"), (4, None)]
+    path = str(tmp_path / "arrivals")
+    spark.createDataFrame(rows, "id_produto int, produto string").write.parquet(path)
+    new = insert_if_absent(spark.read.parquet(path), stored, "produto", ["id_produto"])
+    assert sorted(r.id_produto for r in new.collect()) == [2, 4]
+    plan = optimized(new)
+    # From the scan of the stored keys up to the join with what arrived there is no shuffle.
+    above = plan[: plan.index("/produtos")]
+    assert "Exchange" not in above[above.rindex("LeftSemi") :]

@@ -123,7 +123,10 @@ def insert_if_absent(
         Window.partitionBy(natural_key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     )
     first_arrivals = keyed.withColumn("_position", first).where("_position = 1").drop("_position")
-    new = first_arrivals.join(existing.select(natural_key).distinct(), natural_key, "left_anti")
+    # Only the keys in question: few arrivals leave the stored keys out of the shuffle.
+    arrived = incoming.select(natural_key).distinct()
+    stored = existing.select(natural_key).join(arrived, natural_key, "left_semi").distinct()
+    new = first_arrivals.join(stored, natural_key, "left_anti")
     return new.unionByName(incoming.where(key.isNull()))
 
 
