@@ -1,4 +1,4 @@
-"""Operator 10, LM scoring: a Katz back-off trigram model, trained on and applied to documents.
+"""Operator 10, LM scoring: a Katz back-off model of any order, trained on and applied to documents.
 
 Counts are discounted after Good and Turing; what a context loses goes to the words never
 seen after it, in proportion to their probability after the context shortened by a word, with
@@ -36,7 +36,7 @@ from vendaval.llm.shared import discard, held_out, keep
 class Katz:
     """Parameters of the model and of the work."""
 
-    order: int = 3  # words of the longest run counted
+    order: int = 2  # words of the longest run counted; see README for what 3 costs
     discounted: int = 5  # counts up to this are discounted after Good and Turing
     large: float = 0.5  # what larger counts lose, so that every context keeps something
     block: int = 1_000_000  # tokens of a block (a longer text is a block of its own)
@@ -168,17 +168,13 @@ class Block:
         found = [words]
         for _ in range(1, order):
             below = found[-1]
-            joined, of_token = np.unique(self.contexts(below) << 32 | words.of_token, return_inverse=True)
-            context, word = joined >> 32, joined & 0xFFFFFFFF
-            keys = pair_keys(np.r_[below.keys, below.begin][context], words.keys[word])
-            place = np.argsort(keys, kind="stable")
-            number = np.empty_like(place)
-            number[place] = np.arange(len(place))
-            of_token = number[of_token]
-            suffix = np.empty(len(keys), dtype=np.int64)
-            suffix[of_token] = below.of_token
+            before = self.contexts(below)
+            own = pair_keys(np.r_[below.keys, below.begin][before], words.keys[words.of_token])
+            keys, of_token = np.unique(own, return_inverse=True)
+            context, suffix = np.empty(len(keys), dtype=np.int64), np.empty(len(keys), dtype=np.int64)
+            context[of_token], suffix[of_token] = before, below.of_token
             begin = pair_keys(np.array([below.begin]), np.array([BEGIN], dtype=np.uint64))[0]
-            found.append(Grams(keys[place], begin, context[place], suffix, of_token))
+            found.append(Grams(keys, begin, context, suffix, of_token))
         return found
 
     def contexts(self, below: Grams) -> np.ndarray:
