@@ -28,6 +28,7 @@ from vendaval.plans import (
     register_views,
     reports,
 )
+from vendaval.plans import masters as master_tables
 from vendaval.plans.masters import read_facts
 from vendaval.session import shared_folder
 from vendaval.sources import FrameSource, encode_events
@@ -274,6 +275,32 @@ def test_large_lot_is_split_into_several_files(spark, hot_shop, layout):
     assert read_master(spark, layout, TABLES["itens_venda"]).count() == LINES
 
 
+def test_buckets_follow_the_first_load(spark, hot_shop, layout, monkeypatch, no_broadcast_and_small_partitions):
+    """A task joins a whole bucket, so a larger first load has more of them, all facts as many."""
+    monkeypatch.setattr(master_tables, "BUCKET_BYTES", 2_000)
+    names = ["itens_venda", "vendas"]
+    lines = hot_shop["itens_venda"].dropDuplicates(["id_produto", "id_venda"])
+    tables = {"itens_venda": lines, "vendas": hot_shop["vendas"]}
+    assert all(o.error is None for o in extract_all(spark, FrameSource(tables), layout, names))
+    paths = [o.path for o in ingest_all(spark, layout, names)]
+    numbers = {int(path.rsplit("=", 1)[-1]) for path in paths}
+    assert len(numbers) == 1 and numbers.pop() > 2 * layout.buckets
+    facts = {name: read_master(spark, layout, TABLES[name]) for name in names}
+    assert exchanges(encode_events(facts["vendas"], facts["itens_venda"])) == 0
+    assert facts["itens_venda"].count() == lines.count()
+
+
+def test_outgrown_buckets_are_shuffled_in_joins(spark, hot_shop, masters, monkeypatch, no_broadcast_and_small_partitions):
+    layout, facts = masters
+    monkeypatch.setattr(master_tables, "FULL_BUCKET_BYTES", 100)
+    plain = {name: read_master(spark, layout, TABLES[name]) for name in facts}
+    encoded = encode_events(plain["vendas"], plain["itens_venda"])
+    assert exchanges(encoded) == 2 and "Bucketed: true" not in optimized(encoded)
+    for name in facts:
+        assert plain[name].exceptAll(facts[name]).count() == 0
+        assert plain[name].count() == facts[name].count()
+
+
 def test_few_arrivals_do_not_shuffle_the_stored_keys(spark, hot_shop, tmp_path):
     stored = hot_shop["produtos"].select("id_produto", "produto")
     rows = [(1, "produto 5"), (2, "novo"), (3, "novo"), (4, None)]

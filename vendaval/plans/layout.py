@@ -9,9 +9,10 @@ from dataclasses import dataclass
 class Layout:
     """Paths under one root, which all executors must be able to reach.
 
-    ``buckets`` and ``range_width`` count when a master is first written: choose as many
-    buckets as files of a few hundred MB the larger fact table will have, and so many keys to
-    a range that its rows make one such file. An existing master keeps its own.
+    ``buckets`` and ``range_width`` count when a master is first written. ``buckets`` is the least
+    number: a first load that is larger gets more, see :func:`vendaval.plans.masters.first_buckets`.
+    Choose more yourself if later loads will be many times the first, and so many keys to
+    a range that its rows make one file of a few hundred MB. An existing master keeps its own.
     """
 
     root: str

@@ -1,7 +1,9 @@
 """Master datasets: bucketed tables of Spark's catalog, and tables partitioned by key range.
 
 Tables that only grow are bucketed and sorted by the sale's id, all in as many buckets, so that
-joins, key checks and aggregates on that id read them without a shuffle. Every row carries the
+joins, key checks and aggregates on that id read them without a shuffle. A task takes a whole
+bucket then, so their number follows the size of the first load, and a master whose buckets have
+outgrown a task is read without them. Every row carries the
 lot it came with, and readers take the lots the table's log lists: an append that failed half
 way stays invisible, and running it again adds only what is missing.
 
@@ -20,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vendaval.plans.layout import Layout
-from vendaval.sources.files import delete_path, empty, list_names, path_exists
+from vendaval.sources.files import delete_path, empty, folder_bytes, list_names, path_exists
 from vendaval.sources.versioned import append_rows, read_current
-from vendaval.specs import INGEST_SCHEMA, TableSpec
+from vendaval.specs import INGEST_SCHEMA, TABLES, TableSpec
 
 LOT = "lote"
 """Name of the newest snapshot in the ingest that stored a row; names sort in time."""
@@ -30,6 +32,12 @@ LOT = "lote"
 RANGE = "faixa"
 """Partition of mutable masters: the key divided by the width of a range."""
 
+BUCKET_BYTES = 16 << 20
+"""Snapshots of the first load to a bucket; sorting a bucket takes some ten times as much memory."""
+
+FULL_BUCKET_BYTES = 128 << 20
+"""Stored size from which on a bucket is too much for one task."""
+
 _BUCKETS, _WIDTH, _REDO = "baldes=", "largura=", "refazer"
 
 
@@ -56,14 +64,33 @@ def record_ingest(spark: SparkSession, layout: Layout, table: str, name: str, mo
 
 def facts_path(spark: SparkSession, layout: Layout, spec: TableSpec) -> str:
     """Where an append-only master lies; the folder tells its number of buckets."""
-    root = layout.master(spec.name)
-    known = [n for n in list_names(spark, root) if n.startswith(_BUCKETS)]
-    return f"{root}/{known[0] if known else f'{_BUCKETS}{layout.buckets}'}"
+    buckets = _known_buckets(spark, layout, spec) or first_buckets(spark, layout)
+    return f"{layout.master(spec.name)}/{_BUCKETS}{buckets}"
 
 
-def facts_table(spark: SparkSession, layout: Layout, spec: TableSpec) -> str:
+def first_buckets(spark: SparkSession, layout: Layout) -> int:
+    """Buckets of an append-only master that is not there yet.
+
+    As many as another one has, else those of the layout; doubled until the snapshots of the
+    largest such table fit, so that all tables of a first load get the same number.
+    """
+    facts = [spec for spec in TABLES.values() if not spec.mutable]
+    known = [n for n in (_known_buckets(spark, layout, spec) for spec in facts) if n]
+    buckets = max(known, default=layout.buckets)
+    largest = max(folder_bytes(spark, layout.snapshots(spec.name)) for spec in facts)
+    while buckets * BUCKET_BYTES < largest:
+        buckets *= 2
+    return buckets
+
+
+def _known_buckets(spark: SparkSession, layout: Layout, spec: TableSpec) -> int | None:
+    known = [n for n in list_names(spark, layout.master(spec.name)) if n.startswith(_BUCKETS)]
+    return int(known[0].removeprefix(_BUCKETS)) if known else None
+
+
+def facts_table(spark: SparkSession, layout: Layout, spec: TableSpec, path: str | None = None) -> str:
     """Name in the catalog of an append-only master, declared there if it is not yet."""
-    path = facts_path(spark, layout, spec)
+    path = path or facts_path(spark, layout, spec)
     name = f"mestre_{spec.name}_{hashlib.md5(path.encode()).hexdigest()[:12]}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
     by, buckets = spec.split_column, path.rsplit("=", 1)[-1]
@@ -82,12 +109,18 @@ def read_facts(
 ) -> DataFrame:
     """Rows of an append-only master, those of the lots after ``after``.
 
-    Without ``listed`` also those of an append that is not complete.
+    Without ``listed`` also those of an append that is not complete. Buckets that have grown
+    too large for a task each are left aside: joins shuffle the rows then, in partitions that
+    adaptive execution sizes.
     """
-    done = last_ingest(spark, layout, spec.name)
-    if not path_exists(spark, facts_path(spark, layout, spec)) or (listed and done is None):
+    done, buckets = last_ingest(spark, layout, spec.name), _known_buckets(spark, layout, spec)
+    if buckets is None or (listed and done is None):
         return empty(spark, spec.schema)
-    rows = spark.table(facts_table(spark, layout, spec))
+    path = facts_path(spark, layout, spec)
+    if folder_bytes(spark, path) > buckets * FULL_BUCKET_BYTES:
+        rows = spark.read.schema(T.StructType([*spec.schema.fields, T.StructField(LOT, T.StringType())])).parquet(path)
+    else:
+        rows = spark.table(facts_table(spark, layout, spec, path))
     if listed:
         rows = rows.where(F.col(LOT) <= F.lit(done))
     if after is not None:
@@ -102,8 +135,8 @@ def write_facts(rows: DataFrame, layout: Layout, spec: TableSpec, lot: str, *, r
     splits a bucket that is much larger than the others.
     """
     spark = rows.sparkSession
-    name = facts_table(spark, layout, spec)
     path = facts_path(spark, layout, spec)
+    name = facts_table(spark, layout, spec, path)
     laid = rows.select(*spec.schema.fieldNames(), F.lit(lot).alias(LOT))
     laid = laid.hint("rebalance", int(path.rsplit("=", 1)[-1]), spec.split_column)
     laid.write.insertInto(name, overwrite=replace)

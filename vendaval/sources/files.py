@@ -58,6 +58,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a directory; none when it does not exist."""
+    fs, hadoop = _resolve(spark, path)
+    return fs.getContentSummary(hadoop).getLength() if fs.exists(hadoop) else 0
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, hadoop = _resolve(spark, path)
     return fs.delete(hadoop, True)
