@@ -19,7 +19,7 @@ from vendaval.operators import (
     rollup,
     upsert,
 )
-from vendaval.operators.quality import orphan_keys
+from vendaval.operators.quality import orphan_keys, unmatched_keys
 from vendaval.plans import (
     Layout,
     extract_all,
@@ -29,6 +29,7 @@ from vendaval.plans import (
     reports,
 )
 from vendaval.plans import masters as master_tables
+from vendaval.plans.checks import referential_report
 from vendaval.plans.masters import read_facts
 from vendaval.session import shared_folder
 from vendaval.sources import FrameSource, encode_events
@@ -275,6 +276,22 @@ def test_large_lot_is_split_into_several_files(spark, hot_shop, layout):
     assert read_master(spark, layout, TABLES["itens_venda"]).count() == LINES
 
 
+def test_key_checks_sort_and_join_nothing(hot_shop, no_broadcast_and_small_partitions):
+    """A task of the report holds each key once: an aggregate, and no join of two sorted sides."""
+    tables = [hot_shop[n] for n in ("vendas", "itens_venda", "produtos", "vendedores", "vendedores")]
+    tables[3] = tables[3].withColumnRenamed("id_vendedor", "id_cliente")
+    plan = optimized(referential_report(*tables))
+    assert "Join" not in plan and "Sort" not in plan and plan.count("Exchange hashpartitioning") == 5
+
+
+def test_unmatched_keys_are_the_orphans(spark):
+    child = spark.createDataFrame([(1,), (9,), (9,), (7,), (None,), (None,)], "k int")
+    parent = spark.createDataFrame([(1,), (1,), (3,), (None,), (1 << 40,)], "p bigint")
+    found = unmatched_keys(child, parent, "k", "p")
+    assert found.dtypes == [("k", "int"), ("linhas", "bigint")]
+    assert shop.rows_of(found) == shop.rows_of(orphan_keys(child, parent, "k", "p")) == [("7", "1"), ("9", "2")]
+
+
 def test_buckets_follow_the_first_load(spark, hot_shop, layout, monkeypatch, no_broadcast_and_small_partitions):
     """A task joins a whole bucket, so a larger first load has more of them, all facts as many."""
     monkeypatch.setattr(master_tables, "BUCKET_BYTES", 2_000)

@@ -86,7 +86,9 @@ def orphan_keys(
 ) -> DataFrame:
     """Orphaned keys with their number of child rows.
 
-    Counts per key before the join, so a hot key crosses the shuffle as one row per task.
+    Counts per key before the join, so a hot key crosses the shuffle as one row per task. Suits
+    masters bucketed by the key, which it reads without a shuffle; for others see
+    :func:`unmatched_keys`.
     """
     counted = (
         child.where(F.col(child_key).isNotNull())
@@ -97,6 +99,30 @@ def orphan_keys(
     return counted.join(keys, child_key, "left_anti")
 
 
+def unmatched_keys(
+    child: DataFrame,
+    parent: DataFrame,
+    child_key: str,
+    parent_key: str | None = None,
+) -> DataFrame:
+    """Same result as :func:`orphan_keys`, by one aggregate over the keys of both sides.
+
+    Suits tables that are shuffled anyway: a task holds each key once and sorts nothing, where a
+    join holds and sorts the keys of both sides.
+    """
+    key, none = F.col(child_key), F.lit(None).cast("int")
+    children = child.select(key, F.lit(1).alias("linhas"), none.alias("_parents"))
+    parents = parent.select(F.col(parent_key or child_key), none, F.lit(1))
+    return (
+        children.union(parents)
+        .where(key.isNotNull())
+        .groupBy(child_key)
+        .agg(F.count("linhas").alias("linhas"), F.count("_parents").alias("_parents"))
+        .where("_parents = 0")
+        .select(key.cast(child.schema[child_key].dataType).alias(child_key), "linhas")
+    )
+
+
 def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with the number of rows."""
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("linhas")).where("linhas > 1")

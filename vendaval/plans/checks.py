@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaval.operators.quality import flag_failures, orphan_keys
+from vendaval.operators.quality import flag_failures, unmatched_keys
 
 
 def referential_report(
@@ -27,7 +27,7 @@ def referential_report(
         "vendas sem itens_venda": (sales, lines, "id_venda"),
     }
     found = [
-        orphan_keys(child, parent, key).select(
+        unmatched_keys(child, parent, key).select(
             F.lit(name).alias("regra"), F.col(key).cast("long").alias("chave"), "linhas"
         )
         for name, (child, parent, key) in checks.items()
