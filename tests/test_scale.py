@@ -318,6 +318,20 @@ def test_outgrown_buckets_are_shuffled_in_joins(spark, hot_shop, masters, monkey
         assert plain[name].count() == facts[name].count()
 
 
+def test_ingest_into_outgrown_buckets(spark, hot_shop, layout, monkeypatch):
+    """The second lot repeats the first and adds to it; each sale is stored once."""
+    monkeypatch.setattr(master_tables, "FULL_BUCKET_BYTES", 1)
+    for most, seconds in ((100, 0), (5003, 1)):
+        later = F.col("criacao") + F.expr(f"make_interval(0, 0, 0, 0, 0, 0, {seconds})")
+        sales = hot_shop["vendas"].where(F.col("id_venda") < most).withColumn("criacao", later)
+        for run in (extract_all, ingest_all):
+            arguments = (FrameSource({"vendas": sales}),) if run is extract_all else ()
+            assert all(o.error is None for o in run(spark, *arguments, layout, ["vendas"]))
+    stored = read_master(spark, layout, TABLES["vendas"])
+    assert "Bucketed: true" not in optimized(stored)
+    assert stored.count() == stored.select("id_venda").distinct().count() == 5003
+
+
 def test_few_arrivals_do_not_shuffle_the_stored_keys(spark, hot_shop, tmp_path):
     stored = hot_shop["produtos"].select("id_produto", "produto")
     rows = [(1, "produto 5"), (2, "novo"), (3, "novo"), (4, None)]
